@@ -56,9 +56,9 @@ def month_slice(table: DataFrame, month: date, column: str = "Data") -> DataFram
     return table.where((quoted(column) >= F.lit(month)) & (quoted(column) < F.lit(following)))
 
 
-def unfrozen(table: DataFrame, manifest: DataFrame, column: str = "Data") -> DataFrame:
-    """The dated rows whose month has no snapshot yet, with the manifest key of that month."""
-    keyed = table.where(quoted(column).isNotNull()).withColumn(
-        "key", F.concat(F.lit(L.FROZEN_PREFIX), F.date_format(quoted(column), "yyyy-MM"))
-    )
-    return lookup_join(keyed, manifest.select("key").distinct(), {"key": "key"}, "left_anti")
+def unfrozen_month(table: DataFrame, manifest: DataFrame, month: date, column: str = "Data") -> DataFrame:
+    """The rows of a month with their manifest key; none if the month has been frozen before."""
+    key = f"{L.FROZEN_PREFIX}{month:%Y-%m}"
+    rows = month_slice(table, month, column).withColumn("key", F.lit(key))
+    frozen = manifest.where(F.col("key") == key).select("key").distinct()
+    return lookup_join(rows, frozen, {"key": "key"}, "left_anti")
