@@ -1,6 +1,6 @@
 """Whole runs: landed files to marts, all open months in one job.
 
-Layout below the root folder: ``landed/{legs,combined,fares,schedule}``, ``dims/{airports,aircraft,
+Layout below the root folder: ``landed/{legs,combined,fares_dom,fares_int,schedule}``, ``dims/{airports,aircraft,
 airlines,rates}``, ``mart``, ``finished``, ``schedule``, ``frozen``, ``running_year`` and
 ``manifest``.
 """
@@ -16,17 +16,18 @@ from skyledger import layout as L
 from skyledger.operators.lookup import lookup_join
 from skyledger.operators.sums import set_digest
 from skyledger.plans import dimensions, fares, legs, markets, mart, schedule, state, years
-from skyledger.sinks.tables import NothingToWrite, Snapshots, append_once, exists, observed_write
+from skyledger.sinks.tables import NothingToWrite, Snapshots, append_once, exists, observed_write, write_periods
 from skyledger.sources import archives
 from skyledger.sources.tables import with_period
 
 PERIOD = ["year", "month"]
 # kind of landed file -> (file name pattern, columns, encoding, lines above the header)
 LANDING = {
-    "legs": (r"^(?i)basica\d{4}-?\d{2}\.txt$", L.LEG_RAW, "cp1252", 0),
-    "combined": (r"^(?i)combinada\d{4}-?\d{2}\.txt$", L.COMBINED_RAW, "cp1252", 0),
-    "fares": (r"^(?i)(INTERNACIONAL.*|\d{6}.*)\.csv$", L.FARE_RAW, "cp1252", 0),
-    "schedule": (r"^(?i)voos\.csv$", list(L.SCHEDULE_RAW.values()), "utf-8-sig", 1),
+    "legs": (r"(?i)^basica\d{4}-?\d{2}\.txt$", L.LEG_RAW, "cp1252", 0),
+    "combined": (r"(?i)^combinada\d{4}-?\d{2}\.txt$", L.COMBINED_RAW, "cp1252", 0),
+    "fares_dom": (r"(?i)^\d{6}.*\.csv$", L.FARE_RAW, "cp1252", 0),
+    "fares_int": (r"(?i)^INTERNACIONAL.*\.csv$", L.FARE_RAW, "cp1252", 0),
+    "schedule": (r"(?i)^voos\.csv$", list(L.SCHEDULE_RAW.values()), "utf-8-sig", 1),
 }
 
 
@@ -35,9 +36,11 @@ def landed_rows(source: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     pattern, columns, encoding, skip = LANDING[kind]
     rows = archives.file_rows(source, columns, encoding, skip)
     named = rows.withColumn("file", F.coalesce("member", F.regexp_extract("path", r"([^/]*)$", 1)))
-    mine = named.where(F.col("file").rlike(pattern) | F.col("problem").isNotNull())
+    mine = named.where(F.col("file").rlike(pattern) | F.col("member").isNull())
     good = archives.good_rows(mine).drop("path", "member")
-    return (good if kind == "schedule" else with_period(good)), archives.run_issues(mine)
+    if kind != "schedule":
+        good = with_period(good).where(F.col("month").isNotNull())
+    return good, archives.run_issues(mine)
 
 
 def land(spark: SparkSession, root: str, kind: str, inbox: str, pattern: str | None = None) -> DataFrame:
@@ -46,8 +49,6 @@ def land(spark: SparkSession, root: str, kind: str, inbox: str, pattern: str | N
     if kind == "schedule":
         Snapshots(spark, f"{root}/landed/schedule").replace(rows)
     else:
-        from skyledger.sinks.tables import write_periods
-
         write_periods(rows, f"{root}/landed/{kind}")
     return issues
 
@@ -61,12 +62,10 @@ def _content(table: DataFrame, columns: list[str]) -> DataFrame:
     return set_digest(table, PERIOD, columns).select(*PERIOD, "fingerprint")
 
 
-def available_months(leg_rows: DataFrame, combined_rows: DataFrame, fare_rows: DataFrame | None) -> DataFrame:
+def available_months(raw: dict[str, DataFrame]) -> DataFrame:
     """Months that have both movement files, with one fingerprint over all their input."""
-    parts = [_content(leg_rows, L.LEG_RAW), _content(combined_rows, L.COMBINED_RAW)]
-    pairs = state.complete_pairs(parts[0], parts[1])
-    if fare_rows is not None:
-        parts.append(_content(fare_rows, L.FARE_RAW))
+    parts = [_content(rows, LANDING[kind][1]) for kind, rows in raw.items()]
+    pairs = state.complete_pairs(raw["legs"].select(*PERIOD), raw["combined"].select(*PERIOD))
     inputs = parts[0]
     for part in parts[1:]:
         inputs = inputs.unionByName(part)
@@ -83,12 +82,12 @@ def fill_in(
     is open when the content of its input is not the one it was last built from.
     """
     wanted = (F.col("year") == year) if year else (F.col("year") >= oldest_year)
-    raw = {kind: _landed(spark, root, kind) for kind in ("legs", "combined", "fares")}
-    if raw["legs"] is None or raw["combined"] is None:
+    found = {kind: _landed(spark, root, kind) for kind in ("legs", "combined", "fares_dom", "fares_int")}
+    if found["legs"] is None or found["combined"] is None:
         raise NothingToWrite("no landed movement files")
-    raw = {kind: rows.where(wanted) if rows is not None else None for kind, rows in raw.items()}
+    raw = {kind: rows.where(wanted) for kind, rows in found.items() if rows is not None}
 
-    available = available_months(raw["legs"], raw["combined"], raw["fares"])
+    available = available_months(raw)
     finished = Snapshots(spark, f"{root}/finished")
     done = finished.read() if finished.present() else spark.createDataFrame([], available.schema)
     # one row per open month, used to prune the landed folders
@@ -96,15 +95,13 @@ def fill_in(
     if not months:
         return {"rows": 0, "with_fare": 0, "departures": 0}
     chosen = F.concat_ws("-", "year", "month").isin([f"{y}-{m}" for y, m, _ in months])
-    open_rows = {kind: rows.where(chosen) if rows is not None else None for kind, rows in raw.items()}
+    open_rows = {kind: rows.where(chosen) for kind, rows in raw.items()}
 
     dims = {name: spark.read.parquet(f"{root}/dims/{name}") for name in ("airports", "aircraft", "airlines", "rates")}
     leg_table = legs.leg_table(
         open_rows["legs"], open_rows["combined"], dimensions.aircraft(dims["aircraft"]), dimensions.airports(dims["airports"])
     )
-    routes = None
-    if open_rows["fares"] is not None:
-        routes = fare_routes(open_rows["fares"], dimensions.rates(dims["rates"]))
+    routes = fare_routes(open_rows.get("fares_dom"), open_rows.get("fares_int"), dimensions.rates(dims["rates"]))
     counts = observed_write(mart.mart(leg_table, routes), f"{root}/mart")
 
     built = spark.createDataFrame(months, done.select(*PERIOD, "impressao").schema)
@@ -113,13 +110,16 @@ def fill_in(
     return counts
 
 
-def fare_routes(rows: DataFrame, rates: DataFrame) -> DataFrame:
-    """Routes of domestic and international fare files; the name of the file tells which one it is."""
-    abroad = F.upper("file").startswith("INTERNACIONAL")
-    domestic = fares.fare_rows(rows.where(~abroad), comma=True)
-    international = fares.fare_rows(rows.where(abroad), comma=False)
-    fares.require_rates(international, rates)
-    return fares.all_routes(fares.domestic_routes(domestic), fares.international_routes(international, rates))
+def fare_routes(domestic: DataFrame | None, international: DataFrame | None, rates: DataFrame) -> DataFrame | None:
+    """Routes of both kinds of fare files; None without any."""
+    home = abroad = None
+    if domestic is not None:
+        home = fares.domestic_routes(fares.fare_rows(domestic, comma=True))
+    if international is not None:
+        rows = fares.fare_rows(international, comma=False)
+        fares.require_rates(rows, rates)
+        abroad = fares.international_routes(rows, rates)
+    return None if home is None and abroad is None else fares.all_routes(home, abroad)
 
 
 def refresh_schedule(spark: SparkSession, root: str, today: date) -> None:

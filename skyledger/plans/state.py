@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from skyledger import layout as L
 from skyledger.operators.dedup import last_rows
@@ -22,7 +21,7 @@ FIELDS = {
     "situacao": "string", "meses": "map<string,string>", "coletado_em": "string", "verificado_em": "string",
     "detalhe": "string",
 }
-MANIFEST = StructType.fromDDL(", ".join(["key string"] + [f"{name} {kind}" for name, kind in FIELDS.items()]))
+MANIFEST = ", ".join(["key string"] + [f"{name} {kind}" for name, kind in FIELDS.items()])
 _GIVEN = [name for name in FIELDS if name not in ("coletado_em", "verificado_em")]
 _ENTRY = ", ".join(f"{name}: {kind}" for name, kind in FIELDS.items())
 

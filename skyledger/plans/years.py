@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from skyledger import layout as L
 from skyledger.operators.lookup import lookup_join
@@ -71,10 +70,14 @@ def without_known(
     return fresh.drop(*[f"_s{i}" for i in range(len(plain))])
 
 
-def running_year(history: DataFrame, schedule: DataFrame, year: int, types: StructType | None = None) -> DataFrame:
-    """The closed months of a year and, from the next day on, the scheduled flights."""
+def running_year(
+    history: DataFrame, schedule: DataFrame, year: int, columns: Sequence[str] = L.MART_COLUMNS
+) -> DataFrame:
+    """The closed months of a year and, from the next day on, the scheduled flights.
+
+    History gives the types; a column the schedule does not have is null in its rows.
+    """
     closed = year_table(history, year)
     cutoff = closed_through(closed)
     future = without_known(after_cutoff(schedule, cutoff), closed, L.BORDER_KEY, "Data", cutoff)
-    types = types or closed.select(*[quoted(name) for name in L.MART_COLUMNS]).schema
-    return align(closed, L.MART_COLUMNS, types).unionByName(align(future, L.MART_COLUMNS, types))
+    return align(closed, columns).unionByName(align(future, columns, closed.schema))
