@@ -67,7 +67,7 @@ ROUTE = """
 
 LEGS = f"""
   select
-    year(o_orderdate) as year, month(o_orderdate) as month, {ROUTE},
+    cast(year(o_orderdate) as int) as year, cast(month(o_orderdate) as int) as month, {ROUTE},
     nullif(substr(c_mktsegment, 1, 2), 'BU') as sg_empresa_iata,
     cast(l_linenumber as string) as nr_voo,
     case l_returnflag when 'A' then 'REGULAR' when 'N' then 'NÃO REGULAR' end as ds_di,
@@ -109,7 +109,7 @@ LEGS = f"""
 
 COMBINED = f"""
   select
-    year(o_orderdate) as year, month(o_orderdate) as month, {ROUTE},
+    cast(year(o_orderdate) as int) as year, cast(month(o_orderdate) as int) as month, {ROUTE},
     case when l_tax < 0.08 then cast(l_linenumber as string) end as nr_voo,
     {iso('o_orderdate')} as dt_referencia,
     case when l_linestatus = 'F' then 'D' when l_returnflag = 'N' then 'X' else 'I' end as cd_cotran,
@@ -120,7 +120,7 @@ COMBINED = f"""
   {LINES}"""
 
 _FARE = f"""
-    year(o_orderdate) as year, month(o_orderdate) as month, {ROUTE},
+    cast(year(o_orderdate) as int) as year, cast(month(o_orderdate) as int) as month, {ROUTE},
     cast(year(o_orderdate) as string) as nr_ano_referencia, cast(month(o_orderdate) as string) as nr_mes_referencia,
     cast(l_quantity as string) as nr_assentos"""
 

@@ -10,16 +10,21 @@ from __future__ import annotations
 import csv
 import hashlib
 import io
+import sys
 import zipfile
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyarrow import csv as arrow_csv
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.layout import NULL_TOKENS
 
+# tasks get the functions below by value, so workers need no copy of this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MEMBERS = (
     "path string, member string, bytes bigint, crc bigint, sha256 string, fingerprint string, status string"
 )
