@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger import layout as L
@@ -10,15 +10,21 @@ from skyledger.bindings.raw import table
 from skyledger.operators.sums import set_digest
 from skyledger.plans import state
 
-SEGMENT = F.concat_ws("-", "source", "lang")
-REF = F.lpad(F.col("doc_id").cast("string"), 9, "0")
 NOW = "2026-12-01T06:00:00+00:00"
 
 
+def _segment() -> Column:
+    return F.concat_ws("-", "source", "lang")
+
+
+def _ref() -> Column:
+    return F.lpad(F.col("doc_id").cast("string"), 9, "0")
+
+
 def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as the archives on offer: source and language are the segment, the id is the ref."""
     return table(spark, sf_dir, "documents").select(
-        SEGMENT.alias("segment"), REF.alias("ref"), F.col("n_chars").alias("bytes"), F.md5("text").alias("impressao")
+        _segment().alias("segment"), _ref().alias("ref"), F.col("n_chars").alias("bytes"), F.md5("text").alias("impressao")
     )
 
 
@@ -28,7 +34,7 @@ def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     changed = F.col("toxic") == 1
     known = documents.join(labels, "doc_id").select(
-        F.concat(SEGMENT, F.lit("/"), REF).alias("key"),
+        F.concat(_segment(), F.lit("/"), _ref()).alias("key"),
         F.when(changed, F.md5(F.concat("text", F.lit("!")))).otherwise(F.md5("text")).alias("impressao"),
         (F.col("n_chars") + F.col("toxic")).cast("bigint").alias("bytes_zip"),
         F.when(F.col("quality") == 1, F.when(changed, L.REPUBLISHED).otherwise(L.NEW)).otherwise(
@@ -89,7 +95,7 @@ def manifest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def manifest_forget(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All entries of toxic documents are forgotten."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", SEGMENT.alias("segment"), REF.alias("ref"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", _segment().alias("segment"), _ref().alias("ref"))
     toxic = table(spark, sf_dir, "labels").where("toxic = 1").join(documents, "doc_id").select(F.concat_ws("/", "segment", "ref").alias("key"))
     return state.forget(manifest(spark, sf_dir), toxic).select("key", "situacao")
 
@@ -102,14 +108,12 @@ def _months(orders: DataFrame, key) -> DataFrame:
     return days.groupBy("key").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("m", "d")))).alias("meses"))
 
 
-_YEAR_KEY = F.concat(F.lit("tarifas/dom/"), F.date_format("o_orderdate", "yyyy"))
-
-
 def fare_months_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fare years whose months are new or have another date than when only filled orders were known."""
     orders = table(spark, sf_dir, "orders").select("o_orderdate", "o_orderstatus")
-    before = _months(orders.where((F.col("o_orderstatus") == "F") & (F.col("o_orderdate") < F.lit("2001-03-01"))), _YEAR_KEY)
-    now = _months(orders, _YEAR_KEY)
+    year_key = F.concat(F.lit("tarifas/dom/"), F.date_format("o_orderdate", "yyyy"))
+    before = _months(orders.where((F.col("o_orderstatus") == "F") & (F.col("o_orderdate") < F.lit("2001-03-01"))), year_key)
+    now = _months(orders, year_key)
     return state.month_changes(now, before).select(
         "key", "situacao", F.array_join(F.array_sort(F.map_keys("new_months")), ",").alias("new_months"),
         F.array_join(F.array_sort(F.map_keys("changed_months")), ",").alias("changed_months"),
@@ -162,7 +166,7 @@ def schedule_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as an announced schedule, some without a date."""
     documents = table(spark, sf_dir, "documents")
     listing = documents.select(
-        F.concat(SEGMENT, F.lit("/"), REF).alias("key"), F.when(F.col("lang") != "en", F.col("lang")).alias("published_at"),
+        F.concat(_segment(), F.lit("/"), _ref()).alias("key"), F.when(F.col("lang") != "en", F.col("lang")).alias("published_at"),
         F.col("n_chars").alias("bytes"),
     )
     before = manifest(spark, sf_dir).withColumn("publicado_em", F.lit("fr"))

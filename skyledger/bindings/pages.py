@@ -74,7 +74,7 @@ def publication_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def discover_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Movement and fare files among the file names made of the orders, one per kind and month."""
-    return landing.discover(_names(spark, sf_dir))
+    return landing.discover(_names(spark, sf_dir).drop("o_orderkey"))
 
 
 QUERIES = {

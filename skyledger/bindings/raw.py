@@ -7,13 +7,16 @@ the same raw text: ``spark_rows`` runs one in Spark, and the expected SQL takes
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages labels".split()
 
 
+@lru_cache(maxsize=256)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table; kept, because every opening reads the file footers again."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

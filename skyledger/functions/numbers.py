@@ -55,28 +55,20 @@ def round_half_even(x: Column, places: int) -> Column:
 def rounded_share(part: Column, total: Column, places: int) -> Column:
     """``part / total`` rounded by the exact value of the double quotient; null if ``total`` <= 0.
 
-    The quotient of two whole numbers lies on a rounding tie only when the whole-number
-    remainder says so. Then the double is above, below or exactly on the tie, which the sign of
-    the division error tells: the double is split in two halves (Veltkamp) so that each product
-    with ``total`` is exact.
+    Off a rounding tie the scaled double rounds right. Whole numbers meet a tie only when an odd
+    multiple of ``total`` says so; then the double may be above, below or exactly on the tie, which
+    the sign of the division error tells. To see that error the double is split in two halves
+    (Veltkamp), so that each product with ``total`` is exact.
     """
-    part, total = part.cast("bigint"), total.cast("bigint")
     scale = 10**places
-    size = F.abs(part) * scale
-    divisor = F.when(total > 0, total)
-    remainder = size % divisor
-    floor = ((size - remainder) / divisor).cast("bigint")
-    quotient = F.abs(part).cast("double") / divisor.cast("double")
+    size, divisor = F.abs(part.cast("bigint")), F.when(total > 0, total.cast("bigint"))
+    quotient = size.cast("double") / divisor.cast("double")
+    doubled = size * (2 * scale)
+    tie = (doubled % divisor == 0) & ((doubled / divisor).cast("bigint") % 2 == 1)
     spread = quotient * 134217729.0
     high = spread - (spread - quotient)
-    low = quotient - high
-    error = (F.abs(part).cast("double") - high * divisor.cast("double")) - low * divisor.cast("double")
-    twice = remainder * 2
-    up = (
-        F.when(twice > divisor, 1)
-        .when(twice < divisor, 0)
-        .when(error < 0, 1)
-        .when(error > 0, 0)
-        .otherwise(floor % 2)
-    )
-    return F.signum(part.cast("double")) * ((floor + up).cast("double") / F.lit(float(scale)))
+    error = (size.cast("double") - high * divisor.cast("double")) - (quotient - high) * divisor.cast("double")
+    below = F.floor(doubled / divisor / 2)
+    on_tie = below + F.when(error < 0, 1).when(error > 0, 0).otherwise(below % 2)
+    rounded = F.when(tie, on_tie.cast("double")).otherwise(F.rint(quotient * float(scale)))
+    return F.signum(part.cast("double")) * (rounded / F.lit(float(scale)))

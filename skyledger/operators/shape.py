@@ -1,4 +1,7 @@
-"""Column sets: aligning, renaming, and mirroring departures to arrivals."""
+"""Column sets: aligning, renaming, and mirroring departures to arrivals.
+
+The wide projections are written as SQL text, which is one call for all columns.
+"""
 
 from __future__ import annotations
 
@@ -22,14 +25,16 @@ def align(df: DataFrame, columns: Iterable[str], types: StructType | None = None
 
     ``types`` gives the type of each column; without it an absent column is text.
     """
-    kinds = {field.name: field.dataType for field in types} if types else {}
+    kinds = {field.name: field.dataType.simpleString() for field in types} if types else {}
+    present = set(df.columns)
 
-    def one(name: str) -> Column:
-        if name in df.columns:
-            return quoted(name).cast(kinds[name]).alias(name) if name in kinds else quoted(name)
-        return F.lit(None).cast(kinds.get(name, "string")).alias(name)
+    def one(name: str) -> str:
+        value = f"`{name}`" if name in present else "null"
+        if name in kinds or name not in present:
+            value = f"cast({value} as {kinds.get(name, 'string')})"
+        return f"{value} as `{name}`"
 
-    return df.select(*[one(name) for name in columns])
+    return df.selectExpr(*[one(name) for name in columns])
 
 
 def mirror(
@@ -51,27 +56,25 @@ def mirror(
     """
     partner = {**pairs, **{b: a for a, b in pairs.items()}}
     moved = {new: old for old, new in renames.items()}
-    names = [name for name in df.columns if name != tag] + [new for new in moved if new not in df.columns]
-    types = {field.name: field.dataType for field in df.schema}
+    types = {field.name: field.dataType.simpleString() for field in df.schema}
+    names = [name for name in types if name != tag] + [new for new in moved if new not in types]
 
-    def empty(name: str) -> Column:
-        return F.lit(None).cast(types[moved.get(name, name)])
+    def value(source: str | None, name: str) -> str:
+        if source in types:
+            return f"`{source}` as `{name}`"
+        return f"cast(null as {types[moved.get(name, name)]}) as `{name}`"
 
-    def straight(name: str) -> Column:
-        return quoted(name) if name in types else empty(name)
+    def straight(name: str) -> str:
+        return value(name, name)
 
-    def turned(name: str) -> Column:
-        if name in partner:
-            return quoted(partner[name]) if partner[name] in types else empty(name)
-        if name in moved:
-            return quoted(moved[name])
-        return empty(name) if name in renames else quoted(name)
+    def turned(name: str) -> str:
+        return value(partner.get(name, moved.get(name, None if name in renames else name)), name)
 
-    sides = {labels[0]: straight, labels[1]: turned}
     rows = {
-        label: [F.lit(label).alias(tag)] + [side(name).alias(name) for name in names]
-        for label, side in sides.items()
+        label: ", ".join([f"'{label}' as `{tag}`", *map(side, names)])
+        for label, side in zip(labels, (straight, turned))
     }
     if view is not None:
-        return df.select(*rows[view])
-    return df.select(F.inline(F.array(*[F.struct(*row) for row in rows.values()])))
+        return df.selectExpr(*[f"'{view}' as `{tag}`", *map(dict(zip(labels, (straight, turned)))[view], names)])
+    both = ", ".join(f"struct({row})" for row in rows.values())
+    return df.selectExpr(f"inline(array({both}))")

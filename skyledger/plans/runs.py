@@ -1,76 +1,81 @@
-"""Whole runs: landed files to marts, all open months in one job.
+"""Whole runs: new files to landed rows, landed rows to marts, all open months in one job.
 
-Layout below the root folder: ``landed/{legs,combined,fares_dom,fares_int,schedule}``, ``dims/{airports,aircraft,
-airlines,rates}``, ``mart``, ``finished``, ``schedule``, ``frozen``, ``running_year`` and
-``manifest``.
+Layout below the root folder: ``landed/{legs,combined,fares_dom,fares_int,schedule}``, ``index`` (what
+has been landed, with its content hash), ``dims/{airports,aircraft,airlines,rates}``, ``mart``,
+``finished``, ``schedule``, ``frozen``, ``running_year``, ``manifest`` and ``run_issues``.
 """
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger import layout as L
+from skyledger.operators.dedup import upsert
 from skyledger.operators.lookup import lookup_join
-from skyledger.operators.sums import set_digest
 from skyledger.plans import dimensions, fares, legs, markets, mart, schedule, state, years
 from skyledger.sinks.tables import NothingToWrite, Snapshots, append_once, exists, observed_write, write_periods
 from skyledger.sources import archives
-from skyledger.sources.tables import with_period
+from skyledger.sources.landing import discover
 
 PERIOD = ["year", "month"]
-# kind of landed file -> (file name pattern, columns, encoding, lines above the header)
+INDEX = "folder string, year int, month int, impressao string"
+# kind of file -> (landing folder, columns, encoding, lines above the header)
 LANDING = {
-    "legs": (r"(?i)^basica\d{4}-?\d{2}\.txt$", L.LEG_RAW, "cp1252", 0),
-    "combined": (r"(?i)^combinada\d{4}-?\d{2}\.txt$", L.COMBINED_RAW, "cp1252", 0),
-    "fares_dom": (r"(?i)^\d{6}.*\.csv$", L.FARE_RAW, "cp1252", 0),
-    "fares_int": (r"(?i)^INTERNACIONAL.*\.csv$", L.FARE_RAW, "cp1252", 0),
-    "schedule": (r"(?i)^voos\.csv$", list(L.SCHEDULE_RAW.values()), "utf-8-sig", 1),
+    "basica": ("legs", L.LEG_RAW, "cp1252", 0),
+    "combinada": ("combined", L.COMBINED_RAW, "cp1252", 0),
+    "tarifas/dom": ("fares_dom", L.FARE_RAW, "cp1252", 0),
+    "tarifas/int": ("fares_int", L.FARE_RAW, "cp1252", 0),
 }
+SCHEDULE_FILE = "voos.csv"
 
 
-def landed_rows(source: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of one kind of file with the month of the file, and the problems met."""
-    pattern, columns, encoding, skip = LANDING[kind]
-    rows = archives.file_rows(source, columns, encoding, skip)
-    named = rows.withColumn("file", F.coalesce("member", F.regexp_extract("path", r"([^/]*)$", 1)))
-    mine = named.where(F.col("file").rlike(pattern) | F.col("member").isNull())
-    good = archives.good_rows(mine).drop("path", "member")
-    if kind != "schedule":
-        good = with_period(good).where(F.col("month").isNotNull())
-    return good, archives.run_issues(mine)
+def _table(spark: SparkSession, path: str, schema: str) -> tuple[Snapshots, DataFrame]:
+    """A replaceable table and its rows, none if it has not been written yet."""
+    book = Snapshots(spark, path)
+    return book, book.read() if book.present() else spark.createDataFrame([], schema)
 
 
-def land(spark: SparkSession, root: str, kind: str, inbox: str, pattern: str | None = None) -> DataFrame:
-    """Write the rows of new files as typed-by-name text columns, one folder per month; returns the problems."""
-    rows, issues = landed_rows(archives.files(spark, inbox, pattern), kind)
-    if kind == "schedule":
-        Snapshots(spark, f"{root}/landed/schedule").replace(rows)
-    else:
-        write_periods(rows, f"{root}/landed/{kind}")
-    return issues
+def landed_rows(source: DataFrame, kind: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of one kind of files with the month of their file, the index of these files, and the
+    problems met. Of two files for one month the one with the dashed name counts."""
+    folder, columns, encoding, skip = LANDING[kind]
+    members = archives.archive_members(source).where(F.col("status") == "ok")
+    chosen = discover(members.select("path", "member", "sha256"), "member").where(F.col("kind") == kind)
+    index = chosen.select(F.lit(folder).alias("folder"), *PERIOD, F.col("sha256").alias("impressao"))
+    rows = archives.file_rows(source, columns, encoding, skip)
+    months = chosen.select(F.col("path").alias("p"), F.col("member").alias("m"), *PERIOD)
+    mine = lookup_join(archives.good_rows(rows), months, {"path": "p", "member": "m"}, "inner").drop("path", "member")
+    return mine, index, archives.run_issues(rows)
 
 
-def _landed(spark: SparkSession, root: str, kind: str) -> DataFrame | None:
-    path = f"{root}/landed/{kind}"
-    return spark.read.parquet(path) if exists(spark, path) else None
+def land(spark: SparkSession, root: str, kind: str, inbox: DataFrame) -> None:
+    """Write the rows of new files as text columns, one folder per month, and note their content.
 
+    ``inbox`` is what ``archives.files`` lists. A month that comes again replaces its folder.
+    """
+    rows, index, issues = landed_rows(inbox, kind)
+    write_periods(rows, f"{root}/landed/{LANDING[kind][0]}")
+    issues.write.mode("append").parquet(f"{root}/run_issues")
+    book, before = _table(spark, f"{root}/index", INDEX)
+    book.replace(upsert(before, index, ["folder", *PERIOD]), allow_empty=True)
 
-def _content(table: DataFrame, columns: list[str]) -> DataFrame:
-    return set_digest(table, PERIOD, columns).select(*PERIOD, "fingerprint")
 
+def land_schedule(spark: SparkSession, root: str, inbox: DataFrame) -> None:
+    """Replace the landed schedule; without a schedule file the old one stays."""
+    rows = archives.file_rows(inbox, list(L.SCHEDULE_RAW.values()), "utf-8-sig", 1)
+    mine = archives.good_rows(rows).where(F.lower("member") == SCHEDULE_FILE).drop("path", "member")
+    Snapshots(spark, f"{root}/landed/schedule").replace(mine)
 
-def available_months(raw: dict[str, DataFrame]) -> DataFrame:
-    """Months that have both movement files, with one fingerprint over all their input."""
-    parts = [_content(rows, LANDING[kind][1]) for kind, rows in raw.items()]
-    pairs = state.complete_pairs(raw["legs"].select(*PERIOD), raw["combined"].select(*PERIOD))
-    inputs = parts[0]
-    for part in parts[1:]:
-        inputs = inputs.unionByName(part)
-    whole = inputs.groupBy(*PERIOD).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("fingerprint")), "|"), 256).alias("impressao"))
-    return lookup_join(whole, pairs, {name: name for name in PERIOD}, "left_semi")
+
+def available_months(index: DataFrame) -> DataFrame:
+    """Months that have both movement files, with one fingerprint over all their files."""
+    pairs = state.complete_pairs(index.where("folder = 'legs'"), index.where("folder = 'combined'"))
+    entries = F.array_sort(F.collect_list(F.concat_ws("=", "folder", "impressao")))  # at most four per month
+    months = index.groupBy(*PERIOD).agg(F.sha2(F.array_join(entries, "|"), 256).alias("impressao"))
+    return lookup_join(months, pairs, {name: name for name in PERIOD}, "left_semi")
 
 
 def fill_in(
@@ -79,34 +84,31 @@ def fill_in(
     """Build every open month of the mart in one job and note it as finished.
 
     With ``year`` that year alone, whatever its age; else all years from ``oldest_year`` on. A month
-    is open when the content of its input is not the one it was last built from.
+    is open when its files are not the ones it was last built from.
     """
     wanted = (F.col("year") == year) if year else (F.col("year") >= oldest_year)
-    found = {kind: _landed(spark, root, kind) for kind in ("legs", "combined", "fares_dom", "fares_int")}
-    if found["legs"] is None or found["combined"] is None:
-        raise NothingToWrite("no landed movement files")
-    raw = {kind: rows.where(wanted) for kind, rows in found.items() if rows is not None}
-
-    available = available_months(raw)
-    finished = Snapshots(spark, f"{root}/finished")
-    done = finished.read() if finished.present() else spark.createDataFrame([], available.schema)
-    # one row per open month, used to prune the landed folders
-    months = sorted((row["year"], row["month"], row["impressao"]) for row in state.pending(available, done, forced).collect())
-    if not months:
+    _, index = _table(spark, f"{root}/index", INDEX)
+    finished, done = _table(spark, f"{root}/finished", "year int, month int, impressao string")
+    # one row per calendar month, which then prunes the landed folders
+    open_months = state.pending(available_months(index.where(wanted)), done, forced).collect()
+    if not open_months:
         return {"rows": 0, "with_fare": 0, "departures": 0}
-    chosen = F.concat_ws("-", "year", "month").isin([f"{y}-{m}" for y, m, _ in months])
-    open_rows = {kind: rows.where(chosen) for kind, rows in raw.items()}
+    chosen = F.array(*[F.lit(row["year"] * 100 + row["month"]) for row in open_months])
+
+    def landed(folder: str) -> DataFrame | None:
+        path = f"{root}/landed/{folder}"
+        if not exists(spark, path):
+            return None
+        return spark.read.parquet(path).where(F.array_contains(chosen, F.col("year") * 100 + F.col("month")))
 
-    dims = {name: spark.read.parquet(f"{root}/dims/{name}") for name in ("airports", "aircraft", "airlines", "rates")}
+    dims = {name: spark.read.parquet(f"{root}/dims/{name}") for name in ("airports", "aircraft", "rates")}
     leg_table = legs.leg_table(
-        open_rows["legs"], open_rows["combined"], dimensions.aircraft(dims["aircraft"]), dimensions.airports(dims["airports"])
+        landed("legs"), landed("combined"), dimensions.aircraft(dims["aircraft"]), dimensions.airports(dims["airports"])
     )
-    routes = fare_routes(open_rows.get("fares_dom"), open_rows.get("fares_int"), dimensions.rates(dims["rates"]))
+    routes = fare_routes(landed("fares_dom"), landed("fares_int"), dimensions.rates(dims["rates"]))
     counts = observed_write(mart.mart(leg_table, routes), f"{root}/mart")
-
-    built = spark.createDataFrame(months, done.select(*PERIOD, "impressao").schema)
-    kept = lookup_join(done.select(*PERIOD, "impressao"), built, {name: name for name in PERIOD}, "left_anti")
-    finished.replace(kept.unionByName(built))
+    built = spark.createDataFrame(open_months, done.schema)
+    finished.replace(upsert(done, built, PERIOD))
     return counts
 
 
@@ -125,33 +127,42 @@ def fare_routes(domestic: DataFrame | None, international: DataFrame | None, rat
 def refresh_schedule(spark: SparkSession, root: str, today: date) -> None:
     """Rebuild the schedule, and freeze the running month unless that was done before."""
     raw = Snapshots(spark, f"{root}/landed/schedule").read()
-    dims = {name: spark.read.parquet(f"{root}/dims/{name}") for name in ("airports", "aircraft", "airlines")}
+    dims = {name: spark.read.parquet(f"{root}/dims/{name}") for name in ("airports", "airlines", "aircraft")}
     flown = schedule.departures(
         raw, dimensions.airports(dims["airports"]), dimensions.airlines(dims["airlines"]), dimensions.aircraft(dims["aircraft"])
     )
     current = Snapshots(spark, f"{root}/schedule")
     current.replace(schedule.schedule(flown))
 
-    book = Snapshots(spark, f"{root}/manifest")
-    manifest = book.read() if book.present() else spark.createDataFrame([], state.MANIFEST)
+    book, manifest = _table(spark, f"{root}/manifest", state.MANIFEST)
     rows = markets.unfrozen_month(current.read(), manifest, today.replace(day=1))
     if rows.isEmpty():
         return
     append_once(rows, f"{root}/frozen", ["key"])
-    note = spark.range(1).select(
-        F.lit(f"{L.FROZEN_PREFIX}{today:%Y-%m}").alias("key"), F.lit(L.FROZEN).alias("situacao")
-    )
+    note = rows.limit(1).select("key", F.lit(L.FROZEN).alias("situacao"))
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
     book.replace(state.register(manifest, note, now))
 
 
-def refresh_running_year(spark: SparkSession, root: str, year: int) -> bool:
+def market_tables(spark: SparkSession, root: str, extracted: date) -> None:
+    """The two market summaries of the current schedule, replaced by every run."""
+    current = Snapshots(spark, f"{root}/schedule").read()
+    daily = Snapshots(spark, f"{root}/international_daily")
+    daily.replace(markets.international_daily(current, extracted), allow_empty=True)
+    monthly = Snapshots(spark, f"{root}/domestic_monthly")
+    monthly.replace(markets.domestic_monthly(current, extracted), allow_empty=True)
+
+
+def refresh_running_year(spark: SparkSession, root: str, year: int) -> dict[str, int] | None:
     """History and scheduled flights of the running year; without a schedule the old table stays."""
     current = Snapshots(spark, f"{root}/schedule")
     if not current.present() or not exists(spark, f"{root}/mart"):
-        return False
+        return None
     history = spark.read.parquet(f"{root}/mart")
     if years.year_table(history, year).isEmpty():
-        return False
-    Snapshots(spark, f"{root}/running_year").replace(years.running_year(history, current.read(), year))
-    return True
+        return None
+    after, added = Observation("after"), Observation("added")
+    whole = years.running_year(history, current.read(), year, counts=(after, added))
+    # written without the check for emptiness, which would run the plan twice: history has rows
+    Snapshots(spark, f"{root}/running_year").replace(whole, allow_empty=True)
+    return {"after_cutoff": after.get["rows"], "added": added.get["rows"]}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from skyledger import layout as L
@@ -66,18 +66,26 @@ def without_known(
     leaked = history if cutoff is None else history.where(quoted(date) > cutoff)
     known = leaked.select(*[part.alias(f"_h{i}") for i, part in enumerate(plain.values())]).distinct()
     keyed = schedule.withColumns({f"_s{i}": part for i, part in enumerate(plain.values())})
-    fresh = lookup_join(keyed, known, {f"_s{i}": f"_h{i}" for i in range(len(plain))}, "left_anti")
+    fresh = lookup_join(keyed, known, {f"_s{i}": f"_h{i}" for i in range(len(plain))}, "left_anti", spread=True)
     return fresh.drop(*[f"_s{i}" for i in range(len(plain))])
 
 
 def running_year(
-    history: DataFrame, schedule: DataFrame, year: int, columns: Sequence[str] = L.MART_COLUMNS
+    history: DataFrame, schedule: DataFrame, year: int, columns: Sequence[str] = L.MART_COLUMNS,
+    counts: tuple[Observation, Observation] | None = None,
 ) -> DataFrame:
     """The closed months of a year and, from the next day on, the scheduled flights.
 
-    History gives the types; a column the schedule does not have is null in its rows.
+    History gives the types; a column the schedule does not have is null in its rows. ``counts`` are
+    told the flights after the cutoff and those of them that are not in history, while the result is
+    written.
     """
     closed = year_table(history, year)
     cutoff = closed_through(closed)
-    future = without_known(after_cutoff(schedule, cutoff), closed, L.BORDER_KEY, "Data", cutoff)
+    after = after_cutoff(schedule, cutoff)
+    if counts:
+        after = after.observe(counts[0], F.count("*").alias("rows"))
+    future = without_known(after, closed, L.BORDER_KEY, "Data", cutoff)
+    if counts:
+        future = future.observe(counts[1], F.count("*").alias("rows"))
     return align(closed, columns).unionByName(align(future, columns, closed.schema))

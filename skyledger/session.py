@@ -10,6 +10,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -32,7 +32,7 @@ _TARGETS = (".csv", ".txt")
 
 
 def files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """Whole files with their content hash."""
+    """Whole files."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
@@ -60,7 +60,11 @@ def _targets(archive: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
 
 
 def archive_members(archives: DataFrame) -> DataFrame:
-    """One row per data member of each archive, or one row that tells why there is none."""
+    """One row per data member of each archive, or one row that tells why there is none.
+
+    ``sha256`` is the content of the member, ``fingerprint`` that of the whole archive. A bare file
+    is its own only member.
+    """
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([
@@ -69,13 +73,18 @@ def archive_members(archives: DataFrame) -> DataFrame:
         ])
         for batch in batches:
             for path, content in zip(batch.column("path"), batch.column("content")):
-                found = []
-                archive, status = _open(content.as_py())
+                found, body = [], content.as_py()
+                if path.as_py().lower().endswith(_TARGETS):
+                    own = hashlib.sha256(body).hexdigest()
+                    row = (path.as_py(), path.as_py().rsplit("/", 1)[-1], len(body), None, own, own, "ok")
+                    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row))], schema)
+                    continue
+                archive, status = _open(body)
                 digest = _directory_hash(archive) if archive else None
                 if status == "ok":
                     for info in _targets(archive):
-                        body = hashlib.sha256(archive.read(info)).hexdigest()
-                        found.append((info.filename.rsplit("/", 1)[-1], info.file_size, info.CRC, body, digest, "ok"))
+                        own = hashlib.sha256(archive.read(info)).hexdigest()
+                        found.append((info.filename.rsplit("/", 1)[-1], info.file_size, info.CRC, own, digest, "ok"))
                     status = "no_target"
                 found = found or [(None, None, None, None, digest, status)]
                 rows = [dict(zip(schema.names, (path.as_py(), *row))) for row in found]
@@ -140,7 +149,7 @@ def file_rows(
     fields = "path string, member string, line bigint, problem string, " + ", ".join(f"`{n}` string" for n in columns)
 
     def members(path: str, content: bytes):
-        if not path.lower().endswith(".zip"):
+        if path.lower().endswith(_TARGETS):
             yield path.rsplit("/", 1)[-1], io.BytesIO(content), None
             return
         archive, status = _open(content)

@@ -5,25 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.functions.text import base_name, fare_kind
+from skyledger.functions.text import base_name, fare_kind, period_in_name
 from skyledger.operators.dedup import keep_first
 
 
 def discover(files: DataFrame, path: str = "path") -> DataFrame:
-    """Kind, year, month and path of every movement and fare file, one per kind and month.
+    """The movement and fare files among ``files``, with kind, year and month: one per kind and month.
 
-    ``2026-01`` in a name goes before ``202601``.
+    ``2026-01`` in a name goes before ``202601``; other columns of the files are kept.
     """
     name = F.lower(base_name(F.col(path)))
     movement = F.when(name.endswith(".txt"), F.regexp_extract(name, r"^(basica|combinada)\d{4}-?\d{2}", 1))
     fares = fare_kind(F.col(path))
-    kind = F.when(movement != "", movement).when(fares.isNotNull(), F.concat(F.lit("tarifas/"), fares))
-    dashed = name.rlike(r"\d{4}-\d{2}")
-    digits = F.when(dashed, F.regexp_replace(F.regexp_extract(name, r"(\d{4}-\d{2})", 1), "-", "")).otherwise(
-        F.regexp_extract(name, r"(\d{6})", 1)
-    )
-    found = files.select(
-        kind.alias("kind"), F.left(digits, F.lit(4)).try_cast("int").alias("year"),
-        F.right(digits, F.lit(2)).try_cast("int").alias("month"), F.col(path).alias("path"), (~dashed).alias("plain"),
-    ).where(F.col("kind").isNotNull() & F.col("year").isNotNull())
-    return keep_first(found, ["kind", "year", "month"], ["plain", "path"]).drop("plain")
+    period = period_in_name(F.col(path))
+    found = files.withColumns({
+        "kind": F.when(movement != "", movement).when(fares.isNotNull(), F.concat(F.lit("tarifas/"), fares)),
+        "year": F.year(period), "month": F.month(period), "_plain": ~name.rlike(r"\d{4}-\d{2}"),
+    }).where(F.col("kind").isNotNull() & F.col("year").isNotNull())
+    return keep_first(found, ["kind", "year", "month"], ["_plain", path]).drop("_plain")

@@ -8,9 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyledger.plans.runs import landed_rows
+from skyledger.plans.runs import land
 from skyledger.session import shared_folder
-from skyledger.sinks.tables import write_periods
 
 BINARY = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -20,18 +19,16 @@ def land_new_files(
 ):
     """Run over the files that have arrived since the last run, then stop; returns the query.
 
-    A month that comes again replaces its folder, as in a batch run.
+    A batch does what a batch run does, so a batch that runs again after a failure changes nothing.
     """
     reader = spark.readStream.format("binaryFile").schema(BINARY).option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
 
-    def land(batch: DataFrame, _: int) -> None:
-        rows, issues = landed_rows(batch, kind)
-        write_periods(rows, f"{root}/landed/{kind}")
-        issues.write.mode("append").parquet(f"{root}/run_issues/{kind}")
+    def land_batch(batch: DataFrame, _: int) -> None:
+        land(spark, root, kind, batch)
 
-    place = checkpoint or f"{shared_folder(spark)}/skyledger-landing/{kind}"
+    place = checkpoint or f"{shared_folder(spark)}/skyledger-landing/{kind.replace('/', '-')}"
     return (
-        reader.load(inbox).writeStream.foreachBatch(land).option("checkpointLocation", place).trigger(availableNow=True).start()
+        reader.load(inbox).writeStream.foreachBatch(land_batch).option("checkpointLocation", place).trigger(availableNow=True).start()
     )
