@@ -16,7 +16,7 @@ from skyledger import layout as L
 from skyledger.operators.dedup import upsert
 from skyledger.operators.lookup import lookup_join
 from skyledger.plans import dimensions, fares, legs, markets, mart, schedule, state, years
-from skyledger.sinks.tables import NothingToWrite, Snapshots, append_once, exists, observed_write, write_periods
+from skyledger.sinks.tables import Snapshots, exists, observed_write, write_periods
 from skyledger.sources import archives
 from skyledger.sources.landing import discover
 
@@ -138,7 +138,8 @@ def refresh_schedule(spark: SparkSession, root: str, today: date) -> None:
     rows = markets.unfrozen_month(current.read(), manifest, today.replace(day=1))
     if rows.isEmpty():
         return
-    append_once(rows, f"{root}/frozen", ["key"])
+    # the month has no manifest entry, so a folder of it can only be left from a run that broke off
+    write_periods(rows, f"{root}/frozen", ["key"])
     note = rows.limit(1).select("key", F.lit(L.FROZEN).alias("situacao"))
     now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
     book.replace(state.register(manifest, note, now))

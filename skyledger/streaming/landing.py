@@ -26,7 +26,7 @@ def land_new_files(
         reader = reader.option("pathGlobFilter", pattern)
 
     def land_batch(batch: DataFrame, _: int) -> None:
-        land(spark, root, kind, batch)
+        land(batch.sparkSession, root, kind, batch)
 
     place = checkpoint or f"{shared_folder(spark)}/skyledger-landing/{kind.replace('/', '-')}"
     return (
