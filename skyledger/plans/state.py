@@ -84,9 +84,13 @@ def current_month_keys(manifest: DataFrame, today: Column) -> DataFrame:
 
 def year_keys(months: DataFrame, year: str = "year") -> DataFrame:
     """Every key of each given year: twelve months of both segments, the schedule, both fares."""
-    months_of = F.transform(F.sequence(F.lit(1), F.lit(12)), lambda m: F.format_string("%d%02d", F.col(year), m))
+
+    def months_of(segment: str) -> Column:
+        month = F.sequence(F.lit(1), F.lit(12))
+        return F.transform(month, lambda m: F.format_string(f"{segment}/%d%02d", F.col(year), m))
+
     keys = F.concat(
-        *[F.transform(months_of, lambda ref, seg=seg: F.concat(F.lit(f"{seg}/"), ref)) for seg in L.SEGMENTS],
+        *[months_of(segment) for segment in L.SEGMENTS],
         F.array(F.lit(L.SCHEDULE_KEY)),
         F.array(*[F.concat(F.lit(f"tarifas/{kind}/"), F.col(year).cast("string")) for kind in ("dom", "int")]),
     )

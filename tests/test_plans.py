@@ -1,0 +1,317 @@
+from __future__ import annotations
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from skyledger import layout as L
+from skyledger.plans import dimensions, fares, legs, markets, mart, schedule, years
+
+
+def table(spark, columns, *records):
+    ddl = ", ".join(f"`{name}` string" for name in columns)
+    return spark.createDataFrame([tuple(r.get(name) for name in columns) for r in records], ddl)
+
+
+def leg(**given):
+    base = dict(
+        sg_empresa_icao="GLO", sg_empresa_iata="G3", nr_voo="1000", dt_referencia="2026-01-05", nr_ano_referencia="2026",
+        nr_ano_mes_partida_real="202601", dt_partida_real="2026-01-05", dt_chegada_real="2026-01-05", sg_icao_origem="SBPA",
+        sg_icao_destino="SBGR", sg_equipamento_icao="B738", ds_tipo_linha="DOMÉSTICA MISTA", nr_assentos_ofertados="160",
+        nr_passag_pagos="1", nr_passag_gratis="x", nm_municipio_origem="PORTO ALEGRE/RS", kg_correio="7",
+    )
+    return {**base, **given}
+
+
+def leg_rows(spark, *records, year=2026, month=1):
+    return table(spark, L.LEG_RAW, *records).withColumns({"year": F.lit(year), "month": F.lit(month)})
+
+
+def combined_rows(spark, *records, year=2026, month=1):
+    return table(spark, L.COMBINED_RAW, *records).withColumns({"year": F.lit(year), "month": F.lit(month)})
+
+
+def combined(code, paid, **given):
+    base = dict(sg_empresa_icao="GLO", nr_voo="1000", dt_referencia="2026-01-05", sg_icao_origem="SBPA", sg_icao_destino="SBGR",
+                cd_cotran=code, nr_passag_pagos=paid)
+    return {**base, **given}
+
+
+AIRPORTS = [("SBPA", "POA", "Brazil", "South", "-03:00", 0), ("SBGR", "GRU", "Brazil", "Southeast", "−03:00", 1),
+            ("SBPA", "XXX", "later", "later", "+01:00", 2), (None, "NUL", "Nowhere", "None", "+05:00", 3), ("SBEG", "MAO", "Brazil", "North", "-04:00", 4)]
+
+
+def airports(spark):
+    landed = spark.createDataFrame(
+        [("o", "o", *row) for row in AIRPORTS],
+        "`ICAO` string, `IATA` string, ` OD ICAO` string, `OD IATA` string, `State/Country` string, `Region` string, `UTC Offset` string, line bigint")
+    return dimensions.airports(landed)
+
+
+def aircraft(spark):
+    return dimensions.aircraft(spark.createDataFrame(
+        [("B738", "N", "79000", "2", 1), ("B738", "dup", "0", "0", 2), (None, "none", "1", "1", 3)],
+        "Name string, Group string, MTOWF string, GROUPF string, line bigint"))
+
+
+def airlines(spark):
+    return dimensions.airlines(spark.createDataFrame([("GLO", "G3", 1), ("GLO", "XX", 2)], "ICAO string, `IATA/ICAO` string, line bigint"))
+
+
+def test_dimensions_keep_the_first_row(spark):
+    got = {r["ICAO"]: r for r in airports(spark).collect()}
+    assert got["SBPA"]["IATA"] == "POA" and got["SBPA"]["offset"] == -3 and got[None]["offset"] == 5 and len(got) == 4
+
+
+def test_rates(spark):
+    landed = spark.createDataFrame([("2026 - 01", "5,84", 1), ("2026 - 01", "5.9", 2), ("2026 - 02", "x", 3), (" ", "1", 4), (None, "1", 5)],
+                                   "KeyDolar string, taxa string, line bigint")
+    assert [(r.rate_key, float(r.rate)) for r in dimensions.rates(landed).collect()] == [("2026 - 01", 5.9)]
+
+
+def test_leg_table(spark):
+    raw = leg_rows(
+        spark, leg(), leg(nr_voo="2000", sg_equipamento_icao=None, sg_icao_origem=None),
+        leg(nr_voo=None), leg(nr_voo="3000", nr_assentos_ofertados="0", ds_tipo_linha=None, nr_passag_pagos="0", kg_correio="0"),
+    )
+    sums = combined_rows(spark, combined("D", "5"), combined("D", "7"), combined("I", "2"), combined("X", "9"),
+                         combined("X", "9", nr_voo="3000"), combined("D", "1", nr_voo=None))
+    out = legs.leg_table(raw, sums, aircraft(spark), airports(spark))
+    assert out.columns == ["year", "month", *L.LEG_COLUMNS] and out.count() == 4
+    got = {r["Voo"]: r for r in out.collect()}
+    first = got["1000"]
+    assert (first["Pax Total"], first["LF"], first["Cargo Total"], first["Group"]) == (1, 0.0063, 7, "Pax")
+    assert first["CD Dest: PAX Pagos"] == 12 and first["CI Dest: PAX Pagos"] == 2 and first["CI Dest: Correios (kg)"] == 0
+    assert (first["Cidade"], first["Fln Icao"], first["Fln"], first["Tipo"], first["Base"]) == ("Porto Alegre/Rs", "GLO1000", "G31000", "DEP", "Anac")
+    assert (first["Acft Group"], first["State/Country"], first["OD Region"]) == ("N", "Brazil", "Southeast")
+    assert (first["Chave"], first["KeyTkt"]) == ("GLO-1000-2026-01-05-SBPA-SBGR", "2026 - 01 - GLO - SBPA - SBGR")
+    # a null dimension key meets the null row of the dimension; no combined rows: null, not 0
+    assert (got["2000"]["Acft Group"], got["2000"]["State/Country"], got["2000"]["CD Dest: PAX Pagos"]) == ("none", "Nowhere", None)
+    assert got["2000"]["KeyTkt"] is None
+    # a null flight number stays null and so does its key
+    assert got[None]["Fln"] is None and got[None]["Chave"] is None and got[None]["CD Dest: PAX Pagos"] is None
+    # only another code: sums of 0
+    assert (got["3000"]["CD Dest: PAX Pagos"], got["3000"]["LF"], got["3000"]["Group"]) == (0, None, "Others")
+
+
+def test_leg_table_without_dimensions(spark):
+    out = legs.leg_table(leg_rows(spark, leg()), combined_rows(spark))
+    row = out.head()
+    assert row["Mtow"] is None and row["OD Region"] is None and row["CD Dest: PAX Pagos"] is None
+
+
+def test_months_do_not_mix(spark):
+    raw = leg_rows(spark, leg()).unionByName(leg_rows(spark, leg(), month=2))
+    sums = combined_rows(spark, combined("D", "5"), month=2)
+    got = {r["month"]: r["CD Dest: PAX Pagos"] for r in legs.leg_table(raw, sums).collect()}
+    assert got == {1: None, 2: 5}
+
+
+def fare(**given):
+    base = dict(nr_ano_referencia="2026", nr_mes_referencia="1", sg_empresa_icao="GLO", sg_icao_origem="SBPA", sg_icao_destino="SBGR",
+                nr_tarifa="100,00", nr_assentos="10")
+    return {**base, **given}
+
+
+def fare_rows(spark, *records, comma=True, month=1):
+    raw = table(spark, L.FARE_RAW, *records).withColumns({"year": F.lit(2026), "month": F.lit(month)})
+    return fares.fare_rows(raw, comma)
+
+
+def test_domestic_routes(spark):
+    out = fares.domestic_routes(fare_rows(
+        spark, fare(), fare(nr_mes_referencia="01", nr_tarifa="1.200,50", nr_assentos="1"), fare(nr_tarifa="x", nr_assentos="4"),
+        fare(sg_icao_destino=None), fare(sg_icao_origem="SBCT", nr_assentos="0"), fare(sg_icao_origem="SBFL", nr_assentos=None),
+    ))
+    got = {r["Key"]: r for r in out.collect()}
+    assert set(got) == {"2026 - 01 - GLO - SBPA - SBGR", "2026 - 01 - GLO - SBCT - SBGR", "2026 - 01 - GLO - SBFL - SBGR"}
+    row = got["2026 - 01 - GLO - SBPA - SBGR"]
+    # both spellings of the month are one route; the row without a fare adds its seats only
+    assert (row["Pax"], row["Tkt Avg"], row["Tkt Min"], row["Tkt Max"], row["TktEco Avg"]) == (15, round(2200 / 15, 2), 100.0, 1200.0, None)
+    assert got["2026 - 01 - GLO - SBCT - SBGR"]["Tkt Avg"] is None
+    assert got["2026 - 01 - GLO - SBFL - SBGR"]["Pax"] == 0
+
+
+def rates(spark):
+    return spark.sql("select '2026 - 01' as rate_key, cast(5.5 as decimal(18,6)) as rate")
+
+
+def abroad(spark, *records):
+    return fare_rows(spark, *[fare(sg_icao_destino="KMIA", **r) for r in records], comma=False)
+
+
+def test_international_routes(spark):
+    out = fares.international_routes(abroad(
+        spark,
+        dict(nr_tarifa="620.0", cd_classe_ida="Y", sg_icao_retorno="9999", nr_assentos="2"),
+        dict(nr_tarifa="800.0", cd_classe_ida="Y", sg_icao_retorno="SBPA", nr_assentos="1"),
+        dict(nr_tarifa="800.0", cd_classe_ida="J", sg_icao_retorno=None, nr_assentos="3"),
+        dict(nr_tarifa="9000.0", cd_classe_ida="W", sg_icao_retorno="9999", nr_assentos="1"),
+        dict(nr_tarifa="10.0", cd_classe_ida="F", sg_icao_retorno="9999", nr_assentos="0"),
+    ), rates(spark))
+    row = out.head()
+    assert row["Pax"] == 7
+    assert row["TktEco Avg"] == row["Tkt Avg"] == round((620 * 5.5 * 2 + 400 * 5.5) / 3, 2)
+    assert row["TktBsn Avg"] == 2200.0 and row["TktFst Avg"] is None
+    assert (row["Tkt Min"], row["Tkt Max"]) == (55.0, 49500.0)
+
+
+def test_missing_rates_stop_the_run(spark):
+    rows = abroad(spark, {}, dict(nr_mes_referencia="3"), dict(nr_mes_referencia="2"), dict(nr_mes_referencia="3"))
+    assert sorted(map(tuple, fares.missing_rates(rows, rates(spark)).collect())) == [("2026 - 02", 1), ("2026 - 03", 2)]
+    with pytest.raises(fares.MissingRate, match=r"\['2026 - 02', '2026 - 03'\] \(3 rows\)"):
+        fares.require_rates(rows, rates(spark))
+
+
+def test_one_kind_of_fares_is_enough(spark):
+    home = fares.domestic_routes(fare_rows(spark, fare()))
+    assert fares.all_routes(home, None).columns == ["year", "month", *L.FARE_COLUMNS, "kind"]
+    with pytest.raises(ValueError):
+        fares.all_routes(None, None)
+
+
+def test_domestic_fare_comes_first(spark):
+    home = fares.domestic_routes(fare_rows(spark, fare()))
+    other = fares.international_routes(fare_rows(spark, fare(nr_tarifa="7.0", cd_classe_ida="Y"), comma=False), rates(spark))
+    unique = fares.unique_routes(fares.all_routes(home, other)).collect()
+    assert len(unique) == 1 and unique[0]["Tkt Avg"] == 100.0
+
+
+def test_fares_of_the_file_month_only(spark):
+    left_later = leg(nr_voo="2000", nr_ano_mes_partida_real="202602")
+    table_ = legs.leg_table(leg_rows(spark, leg(), left_later), combined_rows(spark))
+    routes = fares.all_routes(
+        fares.domestic_routes(fare_rows(spark, fare()).unionByName(fare_rows(spark, fare(nr_mes_referencia="2"), month=2))), None)
+    got = {r["Voo"]: r["Tkt Avg"] for r in mart.with_fares(table_, routes).collect()}
+    assert got == {"1000": 100.0, "2000": None}
+    assert mart.with_fares(table_, None).where("`Tkt Avg` is not null").count() == 0
+
+
+def test_mart_views(spark):
+    raw = leg_rows(
+        spark, leg(dt_chegada_real="06/01/2026"), leg(nr_voo="2000", dt_partida_real=None), leg(nr_voo="3000", dt_chegada_real="  "),
+        leg(nr_voo="4000", dt_partida_real="soon"),
+    )
+    table_ = legs.leg_table(raw, combined_rows(spark, combined("D", "5")))
+    routes = fares.all_routes(fares.domestic_routes(fare_rows(spark, fare())), None)
+    whole = mart.mart(table_, routes)
+    assert whole.columns == ["year", "month", *L.MART_COLUMNS]
+    got = {(r["Voo"], r["Tipo"]): r for r in whole.collect()}
+    # a row stays when its own view has a date text, whatever the other view has
+    assert set(got) == {("1000", "DEP"), ("1000", "ARR"), ("2000", "ARR"), ("3000", "DEP"), ("4000", "DEP"), ("4000", "ARR")}
+    there, back = got["1000", "DEP"], got["1000", "ARR"]
+    assert (there["Data"], there["OD Data"], back["Data"]) == (date(2026, 1, 5), date(2026, 1, 6), date(2026, 1, 6))
+    assert (there["Aero Icao"], back["Aero Icao"], back["OD Icao"]) == ("SBPA", "SBGR", "SBPA")
+    assert there["CD Dest: PAX Pagos"] == back["CD Orig: PAX Pagos"] == 5
+    assert there["CD Orig: PAX Pagos"] is None and back["CD Dest: PAX Pagos"] is None
+    assert there["Tkt Avg"] == back["Tkt Avg"] == 100.0
+    assert got["4000", "DEP"]["Data"] is None
+
+
+def flight(**given):
+    base = dict(airline="GLO", flight="1000", leg_number="1", aircraft="B738", seats="186", origin="SBPA", destination="SBEG",
+                departs="01/03/2026 01:00:00", arrives="01/03/2026 05:30:00", flight_type="REGULAR DE PASSAGEIROS DOMÉSTICA")
+    return {L.SCHEDULE_RAW[k]: v for k, v in {**base, **given}.items()}
+
+
+def flights_table(spark, *records):
+    return table(spark, list(L.SCHEDULE_RAW.values()), *records)
+
+
+def test_schedule(spark):
+    raw = flights_table(spark, flight(), flight(flight=None, origin="ZZZZ", seats="x", departs="never", flight_type=None))
+    out = schedule.schedule(schedule.departures(raw, airports(spark), airlines(spark), aircraft(spark)))
+    assert out.columns == L.SCHEDULE_COLUMNS and out.count() == 4
+    got = {(r["Fln Icao"], r["Tipo"]): r for r in out.collect()}
+    there, back = got["GLO1000", "DEP"], got["GLO1000", "ARR"]
+    assert (there["Data"], there["Hora"], there["OD Data"], there["OD Hora"]) == (date(2026, 2, 28), "22:00:00", date(2026, 3, 1), "02:30:00")
+    assert (back["Data"], back["Aero"], back["OD"], there["Pax Total"], there["Mtow"]) == (date(2026, 3, 1), "MAO", "POA", 149, "79000")
+    odd = got["GLO", "DEP"]
+    assert (odd["Fln"], odd["Data"], odd["OD Hora"], odd["Seats"], odd["Pax Total"], odd["Group"], odd["Natureza"]) == (
+        "G3", None, "02:30:00", None, None, "Others", None)
+
+
+def test_arrival_in_the_time_of_the_destination(spark):
+    flown = schedule.departures(flights_table(spark, flight()), airports(spark), airlines(spark), aircraft(spark), "destination")
+    assert flown.head()["OD Hora"] == "01:30:00"
+
+
+def test_state_offsets(spark):
+    raw = flights_table(spark, flight(origin="ZZZZ")).withColumn("state", F.lit("AC"))
+    offsets = spark.createDataFrame(list(L.STATE_OFFSET.items()), "state string, state_offset int")
+    flown = schedule.departures(raw, airports(spark), airlines(spark), aircraft(spark), state_offsets=offsets)
+    assert flown.head()["Hora"] == "20:00:00"
+
+
+HISTORY = ["year int", "month int", "`Airline Icao` string", "`Voo` string", "`Aero Icao` string", "`OD Icao` string", "`Data` date", "Base string"]
+
+
+def test_running_year(spark):
+    def past(month, flight, day):
+        return (2026, month, "GLO", flight, "SBPA", "SBGR", day, "Anac")
+
+    history = spark.createDataFrame([
+        past(1, "1", date(2026, 1, 5)), past(2, "2", date(2026, 2, 3)), past(2, "9", date(2026, 3, 1)), past(2, None, date(2026, 3, 2)),
+        (2025, 12, "GLO", "7", "SBPA", "SBGR", date(2026, 3, 3), "Anac"),
+    ], ", ".join(HISTORY))
+
+    def future(flight, day):
+        return ("GLO", flight, "SBPA", "SBGR", day, "Siros", "extra")
+
+    planned = spark.createDataFrame([
+        future("3", date(2026, 2, 28)), future("4", date(2026, 3, 1)), future(" 9 ", date(2026, 3, 1)), future("", date(2026, 3, 2)),
+        future("7", date(2026, 3, 3)), future("5", None), future("4", date(2026, 3, 1)),
+    ], "`Airline Icao` string, Voo string, `Aero Icao` string, `OD Icao` string, Data date, Base string, more string")
+    columns = [*L.BORDER_KEY, "Base"]
+    out = years.running_year(history, planned, 2026, columns)
+    assert out.columns == columns
+    added = sorted((r["Voo"], r["Data"]) for r in out.where("Base = 'Siros'").collect())
+    # cut on the last day of the closed months, double of a leaked flight out, copies within the schedule stay
+    assert added == [("4", date(2026, 3, 1)), ("4", date(2026, 3, 1)), ("7", date(2026, 3, 3))]
+    assert out.where("Base = 'Anac'").count() == 4
+
+
+def test_years(spark):
+    months = spark.createDataFrame([(2025, m) for m in range(1, 13)] * 2 + [(2026, 3)], "year int, month int")
+    got = {r["year"]: (r["months"], r["first"], r["last"], r["rows"], r["complete"]) for r in years.month_completeness(months).collect()}
+    assert got == {2025: (12, 1, 12, 24, True), 2026: (1, 3, 3, 1, False)}
+    assert years.stack_label(years.stack(months, 2020, 2026)).head()["label"] == "2025-2026"
+
+
+def market(spark):
+    def row(kind, nature, origin, day, flight, seats):
+        return (kind, nature, origin, "POA", "XXXX", None, None, "GLO", None, flight, "B738", seats, "Pax", "10:00:00", day)
+
+    return spark.createDataFrame([
+        row("DEP", "Internacional", "SBPA", date(2026, 3, 1), "1", 100), row("ARR", "Internacional", "SBPA", date(2026, 3, 1), "1", 100),
+        row("DEP", "Internacional", "SBPA", None, "2", 100), row("DEP", "Internacional", "SAEZ", date(2026, 3, 1), "3", 100),
+        row("DEP", "Doméstica", "SBPA", date(2026, 3, 1), "4", 100), row("DEP", "Doméstica", "SBPA", date(2026, 3, 31), None, None),
+        row("DEP", "Doméstica", "SBPA", None, "5", 50), row("DEP", "Doméstica", "SBSG", date(2026, 3, 1), "6", 100),
+    ], "Tipo string, Natureza string, `Aero Icao` string, Aero string, `OD Icao` string, OD string, `OD State/Country` string, "
+       "`Airline Icao` string, Airline string, Voo string, Aircraft string, Seats bigint, `Group` string, Hora string, Data date")
+
+
+def test_markets(spark):
+    daily = markets.international_daily(market(spark), date(2026, 2, 1))
+    assert len(daily.columns) == 16
+    row = daily.collect()
+    assert len(row) == 1 and (row[0]["dia_semana"], row[0]["mes_ref"], row[0]["voo"]) == ("domingo", date(2026, 3, 1), "1")
+    monthly = markets.domestic_monthly(market(spark), date(2026, 2, 1))
+    assert len(monthly.columns) == 9
+    got = {r["mes_ref"]: (r["partidas_mes"], r["assentos_totais_mes"]) for r in monthly.collect()}
+    assert got == {date(2026, 3, 1): (1, 100), None: (1, 50)}
+
+
+def test_empty_markets_keep_their_columns(spark):
+    nothing = market(spark).where("false")
+    assert len(markets.international_daily(nothing, date(2026, 2, 1)).columns) == 16
+    assert markets.domestic_monthly(nothing, date(2026, 2, 1)).count() == 0
+
+
+def test_month_slice_uses_half_open_range(spark):
+    days = spark.createDataFrame([(date(2026, 11, 30),), (date(2026, 12, 1),), (date(2026, 12, 31),), (date(2027, 1, 1),), (None,)], "Data date")
+    assert markets.month_slice(days, date(2026, 12, 1)).count() == 2
+    manifest = spark.createDataFrame([("siros/mensal/2026-12",)], "key string")
+    assert markets.unfrozen_month(days, manifest, date(2026, 12, 1)).count() == 0
+    assert markets.unfrozen_month(days, manifest, date(2026, 11, 1)).count() == 1
