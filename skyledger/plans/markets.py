@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from skyledger import layout as L
 from skyledger.functions.dates import month_start, weekday_label
-from skyledger.operators.lookup import lookup_join
 from skyledger.operators.shape import quoted
 from skyledger.operators.sums import sum_or_zero
 
@@ -59,6 +58,5 @@ def month_slice(table: DataFrame, month: date, column: str = "Data") -> DataFram
 def unfrozen_month(table: DataFrame, manifest: DataFrame, month: date, column: str = "Data") -> DataFrame:
     """The rows of a month with their manifest key; none if the month has been frozen before."""
     key = f"{L.FROZEN_PREFIX}{month:%Y-%m}"
-    rows = month_slice(table, month, column).withColumn("key", F.lit(key))
-    frozen = manifest.where(F.col("key") == key).select("key").distinct()
-    return lookup_join(rows, frozen, {"key": "key"}, "left_anti")
+    frozen = manifest.where(F.col("key") == key)
+    return month_slice(table, month, column).withColumn("key", F.lit(key)).where(~frozen.exists())

@@ -1,0 +1,160 @@
+from __future__ import annotations
+
+from datetime import date
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from skyledger import layout as L
+from skyledger.plans import fares, runs
+from skyledger.sinks.tables import NothingToWrite, Snapshots
+from skyledger.sources import archives
+from skyledger.streaming.landing import land_new_files
+from tests.test_files import pack
+from tests.test_plans import combined, fare, flight, leg
+
+
+def text(columns, *records) -> str:
+    lines = [";".join(columns)] + [";".join(r.get(c) or "" for c in columns) for r in records]
+    return "\r\n".join(lines) + "\r\n"
+
+
+def put(inbox: Path, name: str, member: str, columns, *records):
+    pack(inbox / name, {member: text(columns, *records).encode("cp1252")})
+
+
+@pytest.fixture
+def root(spark, folder):
+    ddl = {
+        "airports": ("`OD ICAO` string, `OD IATA` string, `State/Country` string, Region string, `UTC Offset` string, line bigint",
+                     [("SBPA", "POA", "Brazil", "South", "-03:00", 1), ("SBEG", "MAO", "Brazil", "North", "-04:00", 2)]),
+        "aircraft": ("Name string, Group string, MTOWF string, GROUPF string, line bigint", [("B738", "N", "79", "2", 1)]),
+        "airlines": ("ICAO string, `IATA/ICAO` string, line bigint", [("GLO", "G3", 1)]),
+        "rates": ("KeyDolar string, taxa string, line bigint", [("2026 - 01", "5,5", 1)]),
+    }
+    for name, (schema, rows) in ddl.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/dims/{name}")
+    return folder
+
+
+def month(inbox: Path, m: int, paid: str = "5"):
+    given = dict(dt_referencia=f"2026-{m:02d}-05", dt_partida_real=f"2026-{m:02d}-05", dt_chegada_real=f"05/{m:02d}/2026", nr_ano_mes_partida_real=f"2026{m:02d}")
+    put(inbox, f"basica{m}.zip", f"basica2026-{m:02d}.txt", L.LEG_RAW, leg(**given), leg(**given, nr_voo="2"))
+    put(inbox, f"combinada{m}.zip", f"combinada2026{m:02d}.txt", L.COMBINED_RAW, combined("D", paid, dt_referencia=f"2026-{m:02d}-05"))
+    put(inbox, f"dom{m}.zip", f"2026{m:02d} (1).CSV", L.FARE_RAW, fare(nr_mes_referencia=str(m)))
+
+
+def land_all(spark, root, inbox):
+    for kind in runs.LANDING:
+        runs.land(spark, root, kind, archives.files(spark, str(inbox)))
+
+
+def inbox(root: str, name: str) -> Path:
+    path = Path(root) / name
+    path.mkdir()
+    return path
+
+
+def test_months_from_archives_to_mart(spark, root):
+    first = inbox(root, "in1")
+    month(first, 1)
+    month(first, 2)
+    put(first, "alone.zip", "basica2026-03.txt", L.LEG_RAW, leg())
+    put(first, "int.zip", "INTERNACIONAL_2026-01.CSV", L.FARE_RAW, fare(sg_icao_destino="KMIA", nr_tarifa="100.0", cd_classe_ida="Y"))
+    (first / "page.zip").write_bytes(b"<html>")
+    land_all(spark, root, first)
+    assert runs.fill_in(spark, root) == {"rows": 8, "with_fare": 8, "departures": 4}
+    mart = spark.read.parquet(f"{root}/mart")
+    assert sorted(mart.columns) == sorted(["year", "month", *L.MART_COLUMNS])
+    assert mart.where("Tipo = 'DEP' and Voo = '1000'").select("`CD Dest: PAX Pagos`").distinct().collect() == [(5,)]
+    # the bad archive and no other is in the issues of each kind
+    issues = spark.read.parquet(f"{root}/run_issues")
+    assert {r["problem"] for r in issues.collect()} == {"bad_zip"}
+    # nothing new: nothing to do
+    assert runs.fill_in(spark, root)["rows"] == 0
+
+    # one month comes again with other content: it alone is built again
+    again = inbox(root, "in2")
+    month(again, 2, paid="9")
+    land_all(spark, root, again)
+    assert runs.fill_in(spark, root)["rows"] == 4
+    paid = {r["month"]: r["p"] for r in spark.read.parquet(f"{root}/mart").groupBy("month").agg(F.max("`CD Dest: PAX Pagos`").alias("p")).collect()}
+    assert paid == {1: 5, 2: 9}
+    # the same content again is not open; by force it is
+    land_all(spark, root, again)
+    assert runs.fill_in(spark, root)["rows"] == 0
+    assert runs.fill_in(spark, root, year=2026, forced=True)["rows"] == 8
+    assert runs.fill_in(spark, root, year=2025)["rows"] == 0
+
+
+def test_missing_rate_leaves_the_mart(spark, root):
+    first = inbox(root, "in1")
+    month(first, 1)
+    put(first, "int.zip", "INTERNACIONAL_2026-01.CSV", L.FARE_RAW, fare(nr_mes_referencia="7", nr_tarifa="100.0"))
+    land_all(spark, root, first)
+    with pytest.raises(fares.MissingRate):
+        runs.fill_in(spark, root)
+    assert not Snapshots(spark, f"{root}/finished").present()
+
+
+def schedule_file(folder: Path, *records):
+    columns = list(L.SCHEDULE_RAW.values())
+    body = "﻿Dados previstos\r\n" + text(columns, *records)
+    pack(folder / "voos.zip", {"voos.csv": body.encode("utf-8")})
+
+
+def test_schedule_freeze_and_running_year(spark, root):
+    first = inbox(root, "in1")
+    month(first, 1)
+    land_all(spark, root, first)
+    runs.fill_in(spark, root)
+    # without a schedule the running year is not written
+    assert runs.refresh_running_year(spark, root, 2026) is None
+
+    plans = inbox(root, "in2")
+    schedule_file(plans, flight(), flight(flight="7", departs="05/01/2026 12:00:00", arrives="05/01/2026 14:00:00"))
+    runs.land_schedule(spark, root, archives.files(spark, str(plans)))
+    runs.refresh_schedule(spark, root, date(2026, 3, 10))
+    assert Snapshots(spark, f"{root}/schedule").read().count() == 4
+    frozen = spark.read.parquet(f"{root}/frozen")
+    assert [(r["key"], r["Tipo"]) for r in frozen.collect()] == [("siros/mensal/2026-03", "ARR")]
+    manifest = Snapshots(spark, f"{root}/manifest")
+    assert [(r["key"], r["situacao"]) for r in manifest.read().collect()] == [("siros/mensal/2026-03", "congelado")]
+
+    # a later schedule replaces the first, the frozen month stays as it is
+    later = inbox(root, "in3")
+    schedule_file(later, flight(flight="8"), flight(flight="9"))
+    runs.land_schedule(spark, root, archives.files(spark, str(later)))
+    runs.refresh_schedule(spark, root, date(2026, 3, 11))
+    assert spark.read.parquet(f"{root}/frozen").count() == 1 and manifest.version() == 1
+    runs.market_tables(spark, root, date(2026, 3, 11))
+    assert Snapshots(spark, f"{root}/domestic_monthly").read().head()["partidas_mes"] == 2
+
+    assert runs.refresh_running_year(spark, root, 2026) == {"after_cutoff": 4, "added": 4}
+    year = Snapshots(spark, f"{root}/running_year").read()
+    assert year.columns == L.MART_COLUMNS and year.groupBy("Base").count().orderBy("Base").collect() == [("Anac", 4), ("Siros", 4)]
+
+    # an empty schedule file does not replace anything
+    empty = inbox(root, "in4")
+    schedule_file(empty)
+    with pytest.raises(NothingToWrite):
+        runs.land_schedule(spark, root, archives.files(spark, str(empty)))
+
+
+def test_stream_lands_what_a_batch_lands(spark, root, folder):
+    first = inbox(root, "in1")
+    month(first, 1)
+    land_all(spark, f"{root}/batch", first)
+    for _ in range(2):  # the second run has no new files
+        for kind in runs.LANDING:
+            land_new_files(spark, str(first), f"{root}/stream", kind, f"{root}/ck/{kind}").awaitTermination(120)
+    for place in ("legs", "combined", "fares_dom"):
+        columns = spark.read.parquet(f"{root}/batch/landed/{place}").columns
+        both = [spark.read.parquet(f"{root}/{how}/landed/{place}").select(columns) for how in ("batch", "stream")]
+        assert both[0].count() > 0 and both[0].exceptAll(both[1]).count() == both[1].exceptAll(both[0]).count() == 0
+    month(first, 2)
+    for name in ("basica2.zip", "combinada2.zip", "dom2.zip"):
+        assert (first / name).exists()
+    land_new_files(spark, str(first), f"{root}/stream", "basica", f"{root}/ck/basica").awaitTermination(120)
+    assert spark.read.parquet(f"{root}/stream/landed/legs").select("month").distinct().count() == 2
