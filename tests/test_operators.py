@@ -72,11 +72,20 @@ def test_spread_join_splits_a_heavy_key(spark):
 
 
 def test_size_decides_about_the_spread(spark):
-    facts = spark.range(100).select(F.col("id").alias("k"))
+    facts = spark.range(0, 3000, 1, 4).select(F.when(F.col("id") < 1500, 1).otherwise(F.col("id")).alias("k"))
     small = spark.range(10).select(F.col("id").alias("c"), F.lit("x").alias("v"))
-    assert "approx_top_k" not in plan(lookup_join(facts, small, {"k": "c"})).lower()
+    assert "_way" not in plan(lookup_join(facts, small, {"k": "c"}))
     large = spark.range(10_000_000).select(F.col("id").alias("c"), F.lit("x").alias("v"))
-    assert "approx_top_k" in plan(lookup_join(facts, large, {"k": "c"})).lower()
+    assert "_way" in plan(lookup_join(facts, large, {"k": "c"}))
+    # without a heavy key nothing is added
+    assert "_way" not in plan(lookup_join(spark.range(3000).select(F.col("id").alias("k")), large, {"k": "c"}))
+
+
+def test_spread_needs_keys_of_one_type(spark):
+    facts = spark.createDataFrame([(1,)] * 50 + [(2,)], "k int")
+    assert lookup_join(facts, spark.createDataFrame([(1, "a")], "c bigint, v string"), {"k": "c"}, spread=True).where("v = 'a'").count() == 50
+    with pytest.raises(TypeError):
+        lookup_join(facts, spark.createDataFrame([("1", "a")], "c string, v string"), {"k": "c"}, spread=True)
 
 
 def test_null_safe_join(spark):

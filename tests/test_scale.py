@@ -27,19 +27,16 @@ def test_no_python_no_cross_join_no_single_task(spark, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     # a single partition is for aggregates without keys, which get one row per task
     for block in re.split(r"Exchange SinglePartition", text)[1:]:
-        assert re.search(r"partial_|approx_top_k|accumulate", block[:1500]), name
+        assert "partial_" in block[:1500], name
 
 
 def test_nothing_is_broadcast_unasked_beyond_the_limit(spark):
-    """With no table small enough, the big joins are sort-merge joins; only the bounded heavy keys and
-    one-row results are broadcast."""
+    """With no table small enough, the joins are sort-merge joins and nothing is broadcast."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         for name in ("leg_fare_merge", "border_anti_join", "final_mart"):
             text = plan(all_queries()[name](spark, SMALL))
-            assert "SortMergeJoin" in text
-            for block in re.split(r"BroadcastExchange", text)[1:]:
-                assert "approx_top_k" in block.lower()[:2500], name
+            assert "SortMergeJoin" in text and "BroadcastExchange" not in text
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
 
