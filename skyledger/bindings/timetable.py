@@ -11,7 +11,7 @@ from skyledger import layout as L
 from skyledger.bindings import raw
 from skyledger.bindings.raw import spark_rows, table
 from skyledger.functions import dates, flights
-from skyledger.plans import dimensions, markets, schedule, state
+from skyledger.plans import dimensions, markets, schedule
 
 WATCHED = ["A0", "A1", "A2", "A3", "A5", "A8", "A13", "A21", "A28"]
 EXTRACTED = date(2024, 2, 1)
@@ -64,11 +64,13 @@ def flight_type_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def market_intl_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return markets.international_daily(schedule_mart(spark, sf_dir), EXTRACTED, WATCHED)
+    departures = schedule.schedule(_departures(spark, sf_dir), view=L.DEPARTURE)
+    return markets.international_daily(departures, EXTRACTED, WATCHED)
 
 
 def market_dom_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return markets.domestic_monthly(schedule_mart(spark, sf_dir), EXTRACTED, WATCHED[:6])
+    departures = schedule.schedule(_departures(spark, sf_dir), view=L.DEPARTURE)
+    return markets.domestic_monthly(departures, EXTRACTED, WATCHED[:6])
 
 
 def month_freeze(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,26 +1,27 @@
 """Whole runs: new files to landed rows, landed rows to marts, all open months in one job.
 
 Layout below the root folder: ``landed/{legs,combined,fares_dom,fares_int,schedule}``, ``index`` (what
-has been landed, with its content hash), ``dims/{airports,aircraft,airlines,rates}``, ``mart``,
-``finished``, ``schedule``, ``frozen``, ``running_year``, ``manifest`` and ``run_issues``.
+has been landed, with its content hash), ``dims/{airports,aircraft,airlines,rates}``, ``rates``,
+``mart``, ``finished``, ``schedule``, ``frozen``, ``running_year``, ``manifest`` and ``run_issues``.
 """
 
 from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger import layout as L
 from skyledger.operators.dedup import upsert
 from skyledger.operators.lookup import lookup_join
 from skyledger.plans import dimensions, fares, legs, markets, mart, schedule, state, years
-from skyledger.sinks.tables import Snapshots, exists, observed_write, write_periods
+from skyledger.sinks.tables import Snapshots, exists, observed_write, rate_table, write_periods
 from skyledger.sources import archives
 from skyledger.sources.landing import discover
 
 PERIOD = ["year", "month"]
+ISSUES = "path string, member string, problem string, lines bigint"
 INDEX = "folder string, year int, month int, impressao string"
 # kind of file -> (landing folder, columns, encoding, lines above the header)
 LANDING = {
@@ -85,6 +86,9 @@ def fill_in(
 
     With ``year`` that year alone, whatever its age; else all years from ``oldest_year`` on. A month
     is open when its files are not the ones it was last built from.
+
+    A month whose international fares lack a rate does not stop the others: it is built without these
+    fares, is noted in ``run_issues`` and stays open. ``failed`` counts such months.
     """
     wanted = (F.col("year") == year) if year else (F.col("year") >= oldest_year)
     _, index = _table(spark, f"{root}/index", INDEX)
@@ -92,24 +96,36 @@ def fill_in(
     # one row per calendar month, which then prunes the landed folders
     open_months = state.pending(available_months(index.where(wanted)), done, forced).collect()
     if not open_months:
-        return {"rows": 0, "with_fare": 0, "departures": 0}
-    chosen = F.array(*[F.lit(row["year"] * 100 + row["month"]) for row in open_months])
+        return {"rows": 0, "with_fare": 0, "departures": 0, "failed": 0}
 
     def landed(folder: str) -> DataFrame | None:
         path = f"{root}/landed/{folder}"
-        if not exists(spark, path):
-            return None
-        return spark.read.parquet(path).where(F.array_contains(chosen, F.col("year") * 100 + F.col("month")))
+        return spark.read.parquet(path).where(_months(open_months)) if exists(spark, path) else None
 
-    dims = {name: spark.read.parquet(f"{root}/dims/{name}") for name in ("airports", "aircraft", "rates")}
+    dims = {name: spark.read.parquet(f"{root}/dims/{name}") for name in ("airports", "aircraft")}
     leg_table = legs.leg_table(
         landed("legs"), landed("combined"), dimensions.aircraft(dims["aircraft"]), dimensions.airports(dims["airports"])
     )
-    routes = fare_routes(landed("fares_dom"), landed("fares_int"), dimensions.rates(dims["rates"]))
+    domestic, international, rates = landed("fares_dom"), landed("fares_int"), _rates(spark, root)
+    failed = []
+    if international is not None:
+        failed = fares.missing_rates(fares.fare_rows(international, comma=False), rates, PERIOD).collect()
+    if failed:
+        issues = [("fares_int", f"{r['year']}-{r['month']:02d}", f"no rate for {r['rate_key']}", r["rows"]) for r in failed]
+        spark.createDataFrame(issues, ISSUES).write.mode("append").parquet(f"{root}/run_issues")
+        international = international.where(~_months(failed))
+
+    routes = fare_routes(domestic, international, rates)
     counts = observed_write(mart.mart(leg_table, routes), f"{root}/mart")
-    built = spark.createDataFrame(open_months, done.schema)
-    finished.replace(upsert(done, built, PERIOD))
-    return counts
+    late = {(row["year"], row["month"]) for row in failed}
+    built = [row for row in open_months if (row["year"], row["month"]) not in late]
+    finished.replace(upsert(done, spark.createDataFrame(built, done.schema), PERIOD), allow_empty=True)
+    return {**counts, "failed": len(late)}
+
+
+def _months(rows) -> Column:
+    """Whether a row is of one of these months: a filter on the folders."""
+    return (F.col("year") * 100 + F.col("month")).isin([row["year"] * 100 + row["month"] for row in rows])
 
 
 def fare_routes(domestic: DataFrame | None, international: DataFrame | None, rates: DataFrame) -> DataFrame | None:
@@ -118,12 +134,20 @@ def fare_routes(domestic: DataFrame | None, international: DataFrame | None, rat
     if domestic is not None:
         home = fares.domestic_routes(fares.fare_rows(domestic, comma=True))
     if international is not None:
-        rows = fares.fare_rows(international, comma=False)
-        fares.require_rates(rows, rates)
-        abroad = fares.international_routes(rows, rates)
+        abroad = fares.international_routes(fares.fare_rows(international, comma=False), rates)
     return None if home is None and abroad is None else fares.all_routes(home, abroad)
 
 
+def _rates(spark: SparkSession, root: str) -> DataFrame:
+    book = Snapshots(spark, f"{root}/rates")
+    return book.read() if book.present() else dimensions.rates(spark.read.parquet(f"{root}/dims/rates"))
+
+
+def refresh_rates(spark: SparkSession, root: str, new: DataFrame) -> None:
+    """Put new rates (``rate_key``, ``rate``) over the known ones; months the new source lacks stay."""
+    Snapshots(spark, f"{root}/rates").replace(rate_table(upsert(rate_table(_rates(spark, root)), rate_table(new), ["rate_key"])))
+
+
 def refresh_schedule(spark: SparkSession, root: str, today: date) -> None:
     """Rebuild the schedule, and freeze the running month unless that was done before."""
     raw = Snapshots(spark, f"{root}/landed/schedule").read()
@@ -132,7 +156,7 @@ def refresh_schedule(spark: SparkSession, root: str, today: date) -> None:
         raw, dimensions.airports(dims["airports"]), dimensions.airlines(dims["airlines"]), dimensions.aircraft(dims["aircraft"])
     )
     current = Snapshots(spark, f"{root}/schedule")
-    current.replace(schedule.schedule(flown))
+    current.replace(schedule.schedule(flown), by=["Tipo"])  # the summaries read one view only
 
     book, manifest = _table(spark, f"{root}/manifest", state.MANIFEST)
     rows = markets.unfrozen_month(current.read(), manifest, today.replace(day=1))

@@ -244,8 +244,9 @@ def years_to_check(manifest: DataFrame, offered: DataFrame, oldest_year: int = L
 
 
 def complete_pairs(legs: DataFrame, combined: DataFrame, keys: Sequence[str] = ("year", "month")) -> DataFrame:
-    """Months that have both sides."""
-    return legs.select(*keys).intersect(combined.select(*keys))
+    """Months that have both sides; each side is made unique first, so what meets is one row per month."""
+    sides = [side.select(*keys).distinct() for side in (legs, combined)]
+    return lookup_join(sides[0], sides[1], {key: key for key in keys}, "left_semi")
 
 
 def incomplete_pairs(legs: DataFrame, combined: DataFrame, keys: Sequence[str] = ("year", "month")) -> DataFrame:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyledger import layout as L
-from skyledger.plans import fares, runs
+from skyledger.plans import runs
 from skyledger.sinks.tables import NothingToWrite, Snapshots
 from skyledger.sources import archives
 from skyledger.streaming.landing import land_new_files
@@ -64,7 +64,7 @@ def test_months_from_archives_to_mart(spark, root):
     put(first, "int.zip", "INTERNACIONAL_2026-01.CSV", L.FARE_RAW, fare(sg_icao_destino="KMIA", nr_tarifa="100.0", cd_classe_ida="Y"))
     (first / "page.zip").write_bytes(b"<html>")
     land_all(spark, root, first)
-    assert runs.fill_in(spark, root) == {"rows": 8, "with_fare": 8, "departures": 4}
+    assert runs.fill_in(spark, root) == {"rows": 8, "with_fare": 8, "departures": 4, "failed": 0}
     mart = spark.read.parquet(f"{root}/mart")
     assert sorted(mart.columns) == sorted(["year", "month", *L.MART_COLUMNS])
     assert mart.where("Tipo = 'DEP' and Voo = '1000'").select("`CD Dest: PAX Pagos`").distinct().collect() == [(5,)]
@@ -88,14 +88,23 @@ def test_months_from_archives_to_mart(spark, root):
     assert runs.fill_in(spark, root, year=2025)["rows"] == 0
 
 
-def test_missing_rate_leaves_the_mart(spark, root):
+def test_a_missing_rate_fails_its_month_only(spark, root):
     first = inbox(root, "in1")
     month(first, 1)
+    month(first, 2)
     put(first, "int.zip", "INTERNACIONAL_2026-01.CSV", L.FARE_RAW, fare(nr_mes_referencia="7", nr_tarifa="100.0"))
     land_all(spark, root, first)
-    with pytest.raises(fares.MissingRate):
-        runs.fill_in(spark, root)
-    assert not Snapshots(spark, f"{root}/finished").present()
+    counts = runs.fill_in(spark, root)
+    assert (counts["rows"], counts["failed"]) == (8, 1)
+    assert [tuple(r) for r in spark.read.parquet(f"{root}/run_issues").where("problem like 'no rate%'").collect()] == [
+        ("fares_int", "2026-01", "no rate for 2026 - 07", 1)]
+    assert [r["month"] for r in Snapshots(spark, f"{root}/finished").read().collect()] == [2]
+    # with the rate of that month the same run goes through
+    runs.refresh_rates(spark, root, spark.sql("select '2026 - 07' as rate_key, 6.0 as rate"))
+    assert runs.fill_in(spark, root)["rows"] == 4
+    runs.refresh_rates(spark, root, spark.sql("select '2026 - 07' as rate_key, 7.0 as rate"))
+    rates = Snapshots(spark, f"{root}/rates").read()
+    assert {r["rate_key"]: float(r["rate"]) for r in rates.collect()} == {"2026 - 01": 5.5, "2026 - 07": 7.0}
 
 
 def schedule_file(folder: Path, *records):
