@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from skyledger import layout as L
 from skyledger.operators.dedup import upsert
@@ -19,6 +20,7 @@ from skyledger.plans import dimensions, fares, legs, markets, mart, schedule, st
 from skyledger.sinks.tables import Snapshots, exists, observed_write, rate_table, write_periods
 from skyledger.sources import archives
 from skyledger.sources.landing import discover
+from skyledger.sources.tables import with_period
 
 PERIOD = ["year", "month"]
 ISSUES = "path string, member string, problem string, lines bigint"
@@ -39,29 +41,28 @@ def _table(spark: SparkSession, path: str, schema: str) -> tuple[Snapshots, Data
     return book, book.read() if book.present() else spark.createDataFrame([], schema)
 
 
-def landed_rows(source: DataFrame, kind: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Rows of one kind of files with the month of their file, the index of these files, and the
-    problems met. Of two files for one month the one with the dashed name counts."""
-    folder, columns, encoding, skip = LANDING[kind]
-    members = archives.archive_members(source).where(F.col("status") == "ok")
-    chosen = discover(members.select("path", "member", "sha256"), "member").where(F.col("kind") == kind)
-    index = chosen.select(F.lit(folder).alias("folder"), *PERIOD, F.col("sha256").alias("impressao"))
-    rows = archives.file_rows(source, columns, encoding, skip)
-    months = chosen.select(F.col("path").alias("p"), F.col("member").alias("m"), *PERIOD)
-    mine = lookup_join(archives.good_rows(rows), months, {"path": "p", "member": "m"}, "inner").drop("path", "member")
-    return mine, index, archives.run_issues(rows)
-
-
 def land(spark: SparkSession, root: str, kind: str, inbox: DataFrame) -> None:
     """Write the rows of new files as text columns, one folder per month, and note their content.
 
-    ``inbox`` is what ``archives.files`` lists. A month that comes again replaces its folder.
+    ``inbox`` is what ``archives.files`` lists. Of two files for one month the one with the dashed
+    name counts. A month that comes again replaces its folder.
     """
-    rows, index, issues = landed_rows(inbox, kind)
-    write_periods(rows, f"{root}/landed/{LANDING[kind][0]}")
-    issues.write.mode("append").parquet(f"{root}/run_issues")
+    folder, columns, encoding, skip = LANDING[kind]
+    members = archives.archive_members(inbox).where(F.col("status") == "ok")
+    # at most one file per calendar month
+    found = discover(members.select("path", "member", "sha256"), "member").where(F.col("kind") == kind).collect()
+    chosen = F.concat_ws("/", "path", "member").isin([f"{row['path']}/{row['member']}" for row in found])
+    # parsed once for the rows and the problems; a lost block is parsed again
+    parsed = archives.file_rows(inbox, columns, encoding, skip).persist(StorageLevel.DISK_ONLY)
+    try:
+        rows = with_period(archives.good_rows(parsed).where(chosen), "member")
+        write_periods(rows.drop("path", "member"), f"{root}/landed/{folder}")
+        archives.run_issues(parsed).write.mode("append").parquet(f"{root}/run_issues")
+    finally:
+        parsed.unpersist()
+    contents = [(folder, row["year"], row["month"], row["sha256"]) for row in found]
     book, before = _table(spark, f"{root}/index", INDEX)
-    book.replace(upsert(before, index, ["folder", *PERIOD]), allow_empty=True)
+    book.replace(upsert(before, spark.createDataFrame(contents, INDEX), ["folder", *PERIOD]), allow_empty=True)
 
 
 def land_schedule(spark: SparkSession, root: str, inbox: DataFrame) -> None:
