@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import unicodedata
 from functools import reduce
 
 from pyspark.sql import Column
@@ -58,19 +59,29 @@ def without_tags(html: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(html, r"<[^>]+>", " "), r"\s+", " ")
 
 
-def contains_folded(text: Column, part: str) -> Column:
-    """Containment that ignores case and accents."""
-    return F.contains(F.collate(text, "UNICODE_CI_AI"), F.lit(part))
+def _plain_letters() -> tuple[str, str, str]:
+    """Accented Latin letters, their plain letters, and the combining marks, by Unicode decomposition."""
+    pairs = [(chr(code), unicodedata.normalize("NFKD", chr(code))) for code in range(0xC0, 0x180)]
+    accented = [(letter, parts[0]) for letter, parts in pairs if len(parts) > 1 and unicodedata.combining(parts[1])]
+    marks = "".join(chr(code) for code in range(0x300, 0x370))
+    return "".join(a for a, _ in accented), "".join(b for _, b in accented), marks
+
+
+_ACCENTED, _PLAIN, _MARKS = _plain_letters()
+
+
+def folded(text: Column) -> Column:
+    """Small letters without accents, without white space at the ends."""
+    return F.trim(F.lower(F.translate(text, _ACCENTED + _MARKS, _PLAIN)))
 
 
 def fare_theme(label: Column) -> Column:
     """``int`` / ``dom`` for the label of a fare theme, null for any other label."""
-    return F.when(
-        contains_folded(label, "tarifa"),
-        F.when(contains_folded(label, "internacion"), "int").when(
-            contains_folded(label, "domestic") | contains_folded(label, "nacion"), "dom"
-        ),
-    )
+
+    def has(part: str) -> Column:
+        return F.contains(folded(label), F.lit(part))
+
+    return F.when(has("tarifa"), F.when(has("internacion"), "int").when(has("domestic") | has("nacion"), "dom"))
 
 
 def base_name(path: Column) -> Column:

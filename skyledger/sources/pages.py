@@ -6,21 +6,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger import layout as L
-from skyledger.functions.text import absolute_link, contains_folded, without_tags
+from skyledger.functions.text import absolute_link, folded, without_tags
 from skyledger.operators.dedup import keep_last
 
 
-def links(pages: DataFrame, keep: list[str], html: str = "html", url: str = "url") -> DataFrame:
-    """Every link of each page in page order (``position``), resolved and without its query."""
+def links(pages: DataFrame, keep: list[str], html: str = "html", url: str = "url", ending: str | None = None) -> DataFrame:
+    """Every link of each page in page order (``position``), resolved and without its query.
+
+    ``ending`` is a pattern for the end of a link; it is tried before the link is resolved, which does
+    not change its last part.
+    """
     found = F.posexplode(F.regexp_extract_all(F.col(html), F.lit(L.HREF), F.lit(1))).alias("position", "href")
-    return pages.select(*keep, F.col(url).alias("_page"), found).select(
-        *keep, "position", absolute_link(F.col("href"), F.col("_page")).alias("link")
-    )
+    hits = pages.select(*keep, F.col(url).alias("_page"), found)
+    if ending:
+        hits = hits.where(F.split_part("href", F.lit("?"), F.lit(1)).rlike(ending))
+    return hits.select(*keep, "position", absolute_link(F.col("href"), F.col("_page")).alias("link"))
 
 
 def inventory(pages: DataFrame, page_id: str, html: str = "html", url: str = "url") -> DataFrame:
     """Segment, month and link of every archive on the pages; the last link of a month counts."""
-    found = links(pages, [page_id], html, url).where(F.col("link").rlike(L.ARCHIVE_NAME)).select(
+    found = links(pages, [page_id], html, url, L.ARCHIVE_NAME).select(
         F.lower(F.regexp_extract("link", L.ARCHIVE_NAME, 1)).alias("segment"),
         F.concat(F.regexp_extract("link", L.ARCHIVE_NAME, 2), F.regexp_extract("link", L.ARCHIVE_NAME, 3)).alias("ref"),
         F.col("link").alias("url"), page_id, "position",
@@ -30,32 +35,23 @@ def inventory(pages: DataFrame, page_id: str, html: str = "html", url: str = "ur
 
 def page_dates(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
     """Publication and update dates shown on a page, the last one of each label; null if not shown."""
-    plain = without_tags(F.col(html))
-    label, day, time = (F.regexp_extract_all(plain, F.lit(L.PAGE_DATE), F.lit(i)) for i in (1, 2, 3))
-    marks = F.arrays_zip(label.alias("label"), day.alias("day"), time.alias("time"))
+    marks = F.regexp_extract_all(without_tags(F.col(html)), F.lit(L.PAGE_DATE), F.lit(0))
 
-    def last(name: str) -> Column:
-        hits = F.filter(F.col("marks"), lambda mark: F.lower(mark["label"]) == name)
-        mark = F.try_element_at(hits, F.lit(-1))
-        return F.trim(F.concat_ws(" ", mark["day"], mark["time"]))
+    def last(label: str) -> Column:
+        mark = F.try_element_at(F.filter("marks", lambda text: F.lower(text).startswith(label)), F.lit(-1))
+        parts = F.concat_ws(" ", F.regexp_extract(mark, L.PAGE_DATE, 2), F.regexp_extract(mark, L.PAGE_DATE, 3))
+        return F.when(mark.isNotNull(), F.trim(parts))
 
     found = pages.select(*keep, marks.alias("marks"))
-    return found.select(
-        *keep,
-        *[F.when(last(name) != "", last(name)).alias(new) for name, new in (("publicado", "published"), ("atualizado", "updated"))],
-    )
+    return found.select(*keep, last("publicado").alias("published"), last("atualizado").alias("updated"))
 
 
 def listing(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
     """Name, time and size of each archive in a directory listing."""
-    plain = without_tags(F.col(html))
-    day, time, size, name = (F.regexp_extract_all(plain, F.lit(L.LISTING_ITEM), F.lit(i)) for i in (1, 2, 3, 4))
-    items = F.arrays_zip(name.alias("name"), day.alias("day"), time.alias("time"), size.alias("size"))
+    items = F.regexp_extract_all(without_tags(F.col(html)), F.lit(L.LISTING_ITEM), F.lit(0))
+    day, time, size, name = (F.regexp_extract("item", L.LISTING_ITEM, i) for i in (1, 2, 3, 4))
     return pages.select(*keep, F.explode(items).alias("item")).select(
-        *keep,
-        F.col("item.name").alias("name"),
-        F.concat_ws(" ", "item.day", "item.time").alias("published_at"),
-        F.col("item.size").cast("bigint").alias("bytes"),
+        *keep, name.alias("name"), F.concat_ws(" ", day, time).alias("published_at"), size.cast("bigint").alias("bytes")
     )
 
 
@@ -66,12 +62,17 @@ def publications(rows: DataFrame, keep: list[str], header: str = "header", cells
     """
 
     def cell(part: str) -> Column:
-        spots = F.transform(F.col(header), lambda title, i: F.when(contains_folded(title, part), i + 1))
+        spots = F.transform(F.col("titles"), lambda title, i: F.when(F.contains(title, F.lit(part)), i + 1))
         spot = F.array_min(spots)
-        return F.coalesce(F.trim(F.when(spot.isNotNull(), F.try_element_at(F.col(cells), spot))), F.lit(""))
+        return F.coalesce(F.trim(F.when(spot.isNotNull(), F.try_element_at(F.col("cells"), spot))), F.lit(""))
 
-    found = rows.where(F.size(cells) >= 3).select(
-        *keep, *[cell(title).alias(name) for name, title in L.PUBLICATION_HEADERS.items()]
+    titled = rows.where(F.size(cells) >= 3).select(
+        *keep, F.transform(header, folded).alias("titles"), F.col(cells).alias("cells")
+    )
+    dated = titled.withColumn("published_at", cell(L.PUBLICATION_HEADERS["published_at"])).where(
+        F.col("published_at").rlike(L.PUBLICATION_STAMP)
     )
+    others = [cell(title).alias(name) for name, title in L.PUBLICATION_HEADERS.items() if name != "published_at"]
+    found = dated.select(*keep, "published_at", *others)
     month = F.when(F.length("month") < 2, F.lpad("month", 2, "0")).otherwise(F.col("month"))
-    return found.where(F.col("published_at").rlike(L.PUBLICATION_STAMP)).withColumn("month", month)
+    return found.withColumn("month", month)

@@ -140,6 +140,21 @@ def test_links(one, href, page, link):
     assert one(text.absolute_link, href, page) == link
 
 
+@pytest.mark.parametrize("value", ["Mês Referência", " AÇÃO ", "naïve Œuvre Ÿ", "Tarífa", "İstanbul", "e\u0301tude", "Ñandú ø đ"])
+def test_folded(one, value):
+    import unicodedata
+
+    plain = "".join(c for c in unicodedata.normalize("NFKD", value) if not unicodedata.combining(c)).lower().strip()
+    assert one(text.folded, value) == plain
+
+
+@pytest.mark.parametrize("label, theme", [
+    ("TARIFAS AÉREAS DOMÉSTICAS", "dom"), ("Tarifas Internacionais", "int"), ("tarifa nacional", "dom"), ("Microdados domésticos", None), ("Tarifas", None),
+])
+def test_fare_theme(one, label, theme):
+    assert one(text.fare_theme, label) == theme
+
+
 def test_routes(one):
     assert one(lambda k: text.route_of(k, "processed"), "siros/mensal/2026-01") == "siros_mensal"
     assert one(lambda k: text.route_of(k, "raw_mode"), "siros/voos") == "replace"
