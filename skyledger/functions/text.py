@@ -27,10 +27,14 @@ def fare_key(*parts: Column) -> Column:
     return joined(" - ", *parts)
 
 
+def month_number(text: Column) -> Column:
+    """``1`` and ``01`` are the same month; bad text becomes null."""
+    return text.try_cast("double").try_cast("int")
+
+
 def two_digits(month: Column) -> Column:
-    """``1``, ``01`` or ``1.0`` -> ``01``; longer numbers stay whole, bad text becomes null."""
-    value = month.try_cast("double").try_cast("int")
-    return F.when(value.isNotNull(), F.format_string("%02d", value))
+    """``1`` -> ``01``; longer numbers stay whole."""
+    return F.when(month.between(0, 9), F.concat(F.lit("0"), month.cast("string"))).otherwise(month.cast("string"))
 
 
 def flight_label(airline: Column, flight: Column, null_as_blank: bool = False) -> Column:

@@ -69,7 +69,7 @@ def test_keys_are_null_with_a_null_part(one):
 
 @pytest.mark.parametrize("value, month", [("1", "01"), ("01", "01"), ("12", "12"), ("x", None), ("123", "123")])
 def test_two_digits(one, value, month):
-    assert one(text.two_digits, value) == month
+    assert one(lambda c: text.two_digits(text.month_number(c)), value) == month
 
 
 @pytest.mark.parametrize("line, pax, cargo, seats, group", [
