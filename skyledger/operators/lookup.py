@@ -56,6 +56,7 @@ def lookup_join(
     how: str = "left",
     null_safe: bool = False,
     spread: bool | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``facts`` with ``lookup``, which has at most one row per key.
 
@@ -69,7 +70,8 @@ def lookup_join(
     (null included) are looked up first; their rows go to as many reducers as their share asks for,
     by the number of the task that read them, and the one matching lookup row is repeated for each
     of these numbers. A task number does not change when a task runs again, so a lost executor
-    changes nothing. ``spread`` overrides the choice by size.
+    changes nothing. ``spread`` overrides the choice by size. ``keys_from`` is a table that has the
+    same key columns and rows as ``facts`` but costs less to read; heavy keys are looked up there.
     """
     partners = {theirs: f"_on{i}" for i, theirs in enumerate(on.values())}
     right, left = lookup.withColumnsRenamed(partners), facts
@@ -81,7 +83,7 @@ def lookup_join(
     if spread:
         mine_hash, theirs_hash = _hashes(facts, lookup, on, pairs)
         ways = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        heavy = heavy_keys(facts, mine_hash, 1.0 / (4 * ways))
+        heavy = heavy_keys(facts if keys_from is None else keys_from, mine_hash, 1.0 / (4 * ways))
         if heavy:
             way, ways_of_key = F.lit(0), F.array(F.lit(0))
             for tasks, keys in _tiers(heavy, ways).items():

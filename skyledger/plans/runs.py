@@ -104,8 +104,9 @@ def fill_in(
         return spark.read.parquet(path).where(_months(open_months)) if exists(spark, path) else None
 
     dims = {name: spark.read.parquet(f"{root}/dims/{name}") for name in ("airports", "aircraft")}
+    raw = landed("legs")
     leg_table = legs.leg_table(
-        landed("legs"), landed("combined"), dimensions.aircraft(dims["aircraft"]), dimensions.airports(dims["airports"])
+        raw, landed("combined"), dimensions.aircraft(dims["aircraft"]), dimensions.airports(dims["airports"])
     )
     domestic, international, rates = landed("fares_dom"), landed("fares_int"), _rates(spark, root)
     failed = []
@@ -117,7 +118,7 @@ def fill_in(
         international = international.where(~_months(failed))
 
     routes = fare_routes(domestic, international, rates)
-    counts = observed_write(mart.mart(leg_table, routes), f"{root}/mart")
+    counts = observed_write(mart.mart(leg_table, routes, keys=legs.fare_keys(raw)), f"{root}/mart")
     late = {(row["year"], row["month"]) for row in failed}
     built = [row for row in open_months if (row["year"], row["month"]) not in late]
     finished.replace(upsert(done, spark.createDataFrame(built, done.schema), PERIOD), allow_empty=True)
