@@ -4,10 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skyledger.llm import shards
-from skyledger.llm.common import table
+from skyledger.llm import packing, shards, token_files
+from skyledger.llm.common import scratch, stored, table
+
+
+def op4_range_coded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as entropy-coded ids, read back from the files."""
+    folder = scratch(spark, "token-files")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    token_files.write(docs, folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_files.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +25,17 @@ def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), 24)
 
 
+def op6_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1,024 ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    slim = stored(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
+    return packing.assign(slim)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_range_coded_ids": op4_range_coded_ids,
     "op5_kd_shards": op5_kd_shards,
+    "op6_best_fit": op6_best_fit,
 }
 SQL: dict[str, str] = {}
