@@ -4,7 +4,7 @@ A packer keeps at most ``open_bins`` unfinished sequences. A bitset has one bit
 open sequence offers; a piece goes to the open sequence with the least free space that still holds it, found by
 shifting the bitset. Where none fits, a new sequence opens, and where that would be one too many the fullest closes
 first. Pieces are dealt evenly by a hash, ``pieces_per_task`` to a packer, so packers work side by side and each
-leaves only its last open sequences unfilled.
+leaves only its last open sequences unfilled. They arrive longest first, which leaves the short ones to fill gaps.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from skyledger.llm.common import arrow_schema, batch_of, map_rows
 from skyledger.llm.encode import encoder
 
-CAPACITY, OPEN_BINS, PIECES_PER_TASK = 1024, 4096, 100_000
+CAPACITY, OPEN_BINS, PIECES_PER_TASK = 1024, 1 << 16, 100_000
 _PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids binary"
 
 
@@ -94,7 +94,7 @@ def assign(
     Rows that are alike in all three are packed each for itself. Null document ids are ids like any other.
     """
     tasks = tasks or max(1, math.ceil(cut.count() / pieces_per_task))
-    dealt = cut.repartition(tasks, "doc_id", "piece").sortWithinPartitions(F.xxhash64("doc_id", "piece"), "doc_id", "piece", "length")
+    dealt = cut.repartition(tasks, "doc_id", "piece").sortWithinPartitions(F.desc("length"), "doc_id", "piece")
     names, at = cut.columns, cut.columns.index("length")
     fields = ", ".join(f"`{n}` {kind}" for n, kind in cut.dtypes) + ", sequence_id bigint, offset bigint"
 
