@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import chat, html_text, packing, pii, quality, shards, token_files
+from skyledger.llm import chat, html_text, order_minhash, packing, pii, quality, shards, tiling, token_files
 from skyledger.llm.common import scratch, stored, table
 
 
@@ -44,6 +44,11 @@ def op6_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.assign(slim)
 
 
+def op7_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that leak into documents, for all documents."""
+    return tiling.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_likelihood_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and the ratio of trusted to raw n-grams for all documents."""
     return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -58,13 +63,20 @@ def op9_spliced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.assemble(turns, path), path)
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of all documents."""
+    return order_minhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_text_density": op2_text_density,
     "op3_disclosure": op3_disclosure,
     "op4_range_coded_ids": op4_range_coded_ids,
     "op5_kd_shards": op5_kd_shards,
     "op6_best_fit": op6_best_fit,
+    "op7_string_tiling": op7_string_tiling,
     "op8_likelihood_ratio": op8_likelihood_ratio,
     "op9_spliced_chat": op9_spliced_chat,
+    "op10_order_minhash": op10_order_minhash,
 }
 SQL: dict[str, str] = {}
