@@ -8,19 +8,22 @@ Two kinds of tokenizer files are sped up by remembering the ids of words; both g
 
 A word of common characters is cut by the splitter's own pattern and its pieces go to the library's model;
 a word with any other character goes to the library's ``encode`` as it is. A text whose white space could tie
-words together goes to ``encode`` whole. The memory of words is cleared when it is full, so it has a bound.
+words together goes to ``encode`` whole. The memory of words and pieces is cleared when it is full, so it has a bound.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from array import array
 from functools import lru_cache
+from operator import attrgetter
 
 import numpy as np
 from tokenizers import Tokenizer
 
-WORDS_KEPT, PIECES_KEPT = 600_000, 400_000
+KEPT = 1_000_000
+_ID = attrgetter("id")
 _LETTERS, _NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-įı-ſ", "0-9²³¹¼-¾"
 #: Characters that every step of the tokenizers treats one by one.
 _UNCOMMON = re.compile("[^\t\n\r\x20-\x7e\xa0-įı-ſ]")
@@ -61,55 +64,59 @@ class Encoder:
             )
         self.specials = [t["content"] for t in spec.get("added_tokens", [])]
         self.table = str.maketrans({chr(b): letter for b, letter in _byte_letters().items()})
-        self.words: dict[str, bytes] = {}
+        self.marks = re.compile("|".join(map(re.escape, self.specials)) or r"(?!)")
+        self.letter = "I" if width == 4 else "H"
+        self.known: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
-    def _packed(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.dtype).tobytes()
-
     def whole(self, text: str) -> bytes:
         """By the library alone."""
-        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return array(self.letter, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _model(self, piece: str) -> bytes:
+        spelled = piece.translate(self.table) if piece.isascii() else piece.encode().decode("latin-1").translate(self.table)
+        return array(self.letter, map(_ID, self.model.tokenize(spelled))).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
+        """A piece that is a unit by itself is remembered once for both."""
+        if self.lowers:
+            held, name = self.known, piece
+        elif len(piece) > 1 and piece[0] == " " and piece[1] != " ":
+            held, name = self.known, piece[1:]
+        else:
+            held, name = self.pieces, piece
+        found = held.get(name)
         if found is None:
-            if len(self.pieces) >= PIECES_KEPT:
-                self.pieces.clear()
-            spelled = piece.encode().decode("latin-1").translate(self.table)
-            found = self.pieces[piece] = self._packed([token.id for token in self.model.tokenize(spelled)])
+            found = held[name] = self._model(piece)
         return found
 
     def _word(self, word: str) -> bytes:
-        if _UNCOMMON.search(word) or any(s in word for s in self.specials):
+        if _UNCOMMON.search(word) or self.marks.search(word):
             return self.whole(word)
-        if self.lowers:
-            word = word.lower()
-        return b"".join([self._piece(piece) for piece in self.pattern.findall(word)])
-
-    def _units(self, text: str) -> list[str] | None:
-        if self.lowers:
-            return None if _SEPARATORS.search(text) else text.split()
-        if not self.spaced or _SEPARATORS.search(text) or _LONG_SPACE.search(text):
-            return None
-        first, *rest = text.split(" ")
-        return [first, *[" " + word for word in rest]] if first else [" " + word for word in rest]
+        pieces = self.pattern.findall(word.lower() if self.lowers else word)
+        return self._piece(pieces[0]) if len(pieces) == 1 else b"".join([self._piece(piece) for piece in pieces])
 
     def ids(self, text: str) -> bytes:
         """The ids of a whole text."""
-        units = self._units(text)
-        if units is None:
+        if _SEPARATORS.search(text) or not self.lowers and (not self.spaced or _LONG_SPACE.search(text)):
             return self.whole(text)
-        words = self.words
+        if self.lowers:
+            units, first, lead = text.split(), b"", ""
+        else:  # every unit but the first begins with the space at which it was cut
+            units, lead = text.split(" "), " "
+            first = self._word(units.pop(0))
+        known = self.known
         try:
-            return b"".join([words[unit] for unit in units])
+            return first + b"".join([known[unit] for unit in units])
         except KeyError:
-            if len(words) >= WORDS_KEPT:
-                words.clear()
+            if len(known) >= KEPT:
+                known.clear()
+            if len(self.pieces) >= KEPT // 4:
+                self.pieces.clear()
             for unit in units:
-                if unit not in words:
-                    words[unit] = self._word(unit)
-            return b"".join([words[unit] for unit in units])
+                if unit not in known:
+                    known[unit] = self._word(lead + unit)
+            return first + b"".join([known[unit] for unit in units])
 
 
 @lru_cache(maxsize=4)
