@@ -255,3 +255,17 @@ def classes(docs: DataFrame, text: str = "text", id_column: str = "doc_id", simi
     return placed.join(heads, "root").select(
         "doc_id", "class_id", "n_links", "node", (F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("node") == F.col("head"))).alias("kept")
     )
+
+
+def representatives(docs: DataFrame, text: str = "text", id_column: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` with one row of each class: the one with the least id (see ``classes``); all columns stay. Of rows that
+    repeat that id and text one stays."""
+    kept = stored(classes(docs, text, id_column, similarity).where("kept").groupBy("node", "doc_id").agg(F.count("*").alias("n")), "omh-kept")
+    body = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    marked = docs.withColumn("_omh_node", F.unhex(F.md5(body.cast("binary"))))
+    heads = kept.select(F.col("node").alias("_omh_head"), F.col("doc_id").alias("_omh_id"))
+    own = (F.col("_omh_node") == F.col("_omh_head")) & F.col(id_column).cast("bigint").eqNullSafe(F.col("_omh_id"))
+    chosen = marked.join(heads, own, "left_semi")
+    if not kept.where("n > 1").isEmpty():
+        chosen = chosen.dropDuplicates(["_omh_node"])
+    return chosen.drop("_omh_node")

@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.llm import chat, html_text, order_minhash, packing, pii, quality, shards, tiling, token_files
+from skyledger.llm import chat, html_text, order_minhash, packing, pii, quality, shards, tiling, token_files, toxicity
 from skyledger.llm.common import scratch, stored, table
 
 
+def op1_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of all documents."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_text_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of all pages."""
     return html_text.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("bigint"))
@@ -69,6 +74,7 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_kneser_ney": op1_kneser_ney,
     "op2_text_density": op2_text_density,
     "op3_disclosure": op3_disclosure,
     "op4_range_coded_ids": op4_range_coded_ids,

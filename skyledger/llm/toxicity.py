@@ -1,19 +1,24 @@
-"""Toxicity by two class-conditional Kneser-Ney models over the letters of words.
-
-Expressions are letter n-grams of order five inside words (with marks before and behind), so a rare form of a word is
-judged by the parts it shares with others. The class models take their highest order from labelled documents (in how
-many of them a word occurs); all lower orders are continuation counts over the whole corpus, labelled or not, and are
-shared: where a class has not seen a context, it falls back on what both have, and the classes do not differ.
-A word's score is the difference of its log-likelihoods. A document's are length-normalised: the mean difference a
-letter over the whole text, and those of the words that differ most. A logistic regression, fitted on labelled
-documents that the counts have not seen, turns them into a probability.
+"""Toxicity by two class-conditional Kneser-Ney models.
+
+Expressions are words, and a context is a document: as Kneser and Ney count in how many contexts an expression occurs,
+not how often, so do these models. The class models hold in how many toxic and in how many ordinary training
+documents a word occurs, less a discount; what the discounts free goes to the shared backoff, in how many documents of
+the whole corpus, labelled or not, the word occurs. A rare word keeps nothing of its own, falls back in both classes, and
+so tells them apart as little as a word never seen.
+A word's difference is that of its log-likelihoods under both models. A document's are length-normalised: the mean
+difference a word, and the largest differences beside the logarithm of its length, since a longer text has larger ones by
+chance. A logistic regression turns them into a probability; it is fitted on labelled documents that the counts of a
+first pair of models have not seen, and applied to a second pair that has counted all of them.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,27 +27,23 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.common import arrow_schema, batch_of, map_rows, stored
 
-ORDER, DISCOUNT = 5, 0.75
+DISCOUNT = 2.5
 #: The classifier is fitted on at most so many labelled rows of each class (smallest hashes of their ids), and
-#: keeps at most so many n-grams (the most frequent in those rows).
-LABELLED_ROWS, CLASS_GRAMS = 20_000, 1_000_000
-WORDS_KEPT, LONG_WORD = 300_000, 64
+#: keeps at most so many words that are above the discount in a class (those of most documents).
+LABELLED_ROWS, CLASS_WORDS = 20_000, 500_000
+WORDS_KEPT = 400_000
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 4
 _WORD = re.compile(r"\w+")
-_COUNTS = "gram string, n_toxic bigint, n_ordinary bigint"
-_FEATURES = "doc_id bigint, words bigint, mean double, first double, second double, strong double, long_first double"
-FEATURES = ("mean", "first", "second", "strong", "long_first", "log_words")
+_CLASSES = ("toxic", "ordinary", "toxic_late", "ordinary_late")
+_COUNTS = "word string, documents bigint, " + ", ".join(f"{c} bigint" for c in _CLASSES)
+FEATURES = ("mean", "first", "second", "strong", "log_words")
+_MEASURED = "doc_id bigint, " + ", ".join(f"{name} double" for name in FEATURES)
 
 
 def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(FOLDS)).cast("int")
 
 
-def grams(word: str) -> list[str]:
-    padded = "^" * (ORDER - 1) + word + "$"
-    return [padded[i : i + ORDER] for i in range(len(padded) - ORDER + 1)]
-
-
 def labelled(labels: DataFrame, limit: int = LABELLED_ROWS) -> dict[int, tuple[int, int]]:
     """Label and fold of at most ``limit`` rows of each class, held-out rows left out. A document with both labels is toxic."""
     rows = labels.where("toxic is not null and doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
@@ -54,141 +55,92 @@ def labelled(labels: DataFrame, limit: int = LABELLED_ROWS) -> dict[int, tuple[i
     return found
 
 
+def words_of(text: str | None) -> set[str]:
+    return set(_WORD.findall(text.lower())) if text else set()
+
+
 def count(docs: DataFrame, sample: dict[int, tuple[int, int]]) -> DataFrame:
-    """Every letter n-gram of the corpus and in how many word types of toxic and ordinary training documents it occurs.
+    """In how many documents of the corpus, and of the classes, each word occurs; the calibration fold apart.
 
-    A task sums the n-grams of its words before anything is shuffled; what is gathered grows with the corpus.
+    A task sums its words before anything is shuffled. Words of training documents are kept, and the sum over all words of
+    the corpus as a row without a word.
     """
     shared = docs.sparkSession.sparkContext.broadcast(sample)  # bounded by LABELLED_ROWS
 
-    def rows(seen: dict[str, list[int]]) -> pa.RecordBatch:
-        sums: dict[str, list[int]] = {}
-        for word, (toxic, ordinary) in seen.items():
-            for gram in grams(word):
-                held = sums.get(gram)
-                if held is None:
-                    sums[gram] = [toxic, ordinary]
-                elif toxic or ordinary:
-                    held[0] += toxic
-                    held[1] += ordinary
-        return batch_of(arrow_schema(_COUNTS), {"gram": list(sums), "n_toxic": [v[0] for v in sums.values()], "n_ordinary": [v[1] for v in sums.values()]})
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[str, list[int]] = {}
+        schema, total = arrow_schema(_COUNTS), 0
+        corpus: Counter[str] = Counter()
+        classes: list[Counter[str]] = [Counter() for _ in _CLASSES]
+
+        def rows() -> pa.RecordBatch:
+            columns = {c: [held.get(word, 0) for word in corpus] if held else [0] * len(corpus) for c, held in zip(_CLASSES, classes)}
+            return batch_of(schema, {"word": list(corpus), "documents": list(corpus.values()), **columns})
+
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = set(_WORD.findall((text or "").lower()))
+                words = words_of(text)
+                total += len(words)
+                corpus.update(words)
                 toxic, part = shared.value.get(doc, (-1, HELD_OUT))
-                if toxic >= 0 and part != CALIBRATION:
-                    for word in words:
-                        held = seen.get(word)
-                        if held is None:
-                            held = seen[word] = [0, 0]
-                        held[1 - toxic] += 1
-                else:
-                    for word in words:
-                        if word not in seen:
-                            seen[word] = [0, 0]
-                if len(seen) > WORDS_KEPT:
-                    yield rows(seen)
-                    seen = {}
-        yield rows(seen)
-
-    return map_rows(docs.select("doc_id", "text"), _COUNTS, work).groupBy("gram").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_ordinary").alias("n_ordinary"))
-
-
-def backoff(counts: DataFrame) -> DataFrame:
-    """The shared distribution of order ``ORDER`` - 1: ``gram, p``, interpolated down to single letters."""
-    levels = [counts.select("gram")]
-    for _ in range(ORDER - 1):
-        levels.append(levels[-1].groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("n")).select("gram", "n"))
-    letters = levels[-1]
-    lower = letters.crossJoin(F.broadcast(letters.agg(F.sum("n").alias("total")))).select("gram", (F.col("n") / F.col("total")).alias("p"))  # one row
-    for level in reversed(levels[1:-1]):
-        context = F.expr("substring(gram, 1, length(gram) - 1)")
-        sums = level.groupBy(context.alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-        lower = (
-            level.withColumn("context", context).join(sums, "context")
-            .join(lower.select(F.col("gram").alias("shorter"), F.col("p").alias("below")), F.expr("substring(gram, 2)") == F.col("shorter"))
-            .select("gram", (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) / F.col("total") + DISCOUNT * F.col("kinds") / F.col("total") * F.col("below")).alias("p"))
-        )
-    return lower
-
-
-def model(docs: DataFrame, sample: dict[int, tuple[int, int]]) -> dict[str, float]:
-    """Differences of the log-likelihoods: of each n-gram that a class has seen, and of each context for all others."""
-    counts = stored(count(docs, sample), "toxic-grams")
-    seen = counts.where("n_toxic + n_ordinary > 0").orderBy(F.desc(F.col("n_toxic") + F.col("n_ordinary")), "gram").limit(CLASS_GRAMS)
-    seen = stored(seen.withColumn("context", F.expr(f"substring(gram, 1, {ORDER - 1})")), "toxic-seen")
-    sums = seen.groupBy("context").agg(*[
-        f(F.col(f"n_{c}")).alias(f"{name}_{c}") for c in ("toxic", "ordinary") for name, f in (("total", F.sum), ("kinds", lambda n: F.count_if(n > 0)))
-    ])
-    lower = backoff(counts).select(F.col("gram").alias("shorter"), F.col("p").alias("below"))
-    rows = seen.join(sums, "context").join(lower, F.expr("substring(gram, 2)") == F.col("shorter"))
-
-    def rest(c: str) -> Column:
-        return F.when(F.col(f"total_{c}") > 0, DISCOUNT * F.col(f"kinds_{c}") / F.col(f"total_{c}")).otherwise(F.lit(1.0))
-
-    def p(c: str) -> Column:
-        own = F.greatest(F.col(f"n_{c}") - DISCOUNT, F.lit(0.0)) / F.greatest(F.col(f"total_{c}"), F.lit(1))
-        return own + rest(c) * F.col("below")
-
-    told = rows.select("gram", F.ln(p("toxic") / p("ordinary")).alias("d")).unionByName(
-        sums.select(F.col("context").alias("gram"), F.ln(rest("toxic") / rest("ordinary")).alias("d"))
-    ).toArrow()  # bounded by CLASS_GRAMS
-    return dict(zip(told["gram"].to_pylist(), told["d"].to_pylist()))
-
-
-class Scorer:
-    """Scores of words by the model, remembered up to ``WORDS_KEPT`` of them."""
-
-    def __init__(self, told: dict[str, float]):
-        self.told = told
-        self.words: dict[str, float] = {}
-
-    def word(self, word: str) -> float:
-        told, total = self.told, 0.0
-        for gram in grams(word):
-            d = told.get(gram)
-            total += told.get(gram[:-1], 0.0) if d is None else d
-        return total
-
-    def features(self, text: str) -> tuple[int, float, float, float, float, float]:
-        """Words; mean difference a letter; the two largest of distinct words; their sum over 3; the largest a letter."""
-        counts: dict[str, int] = {}
-        for word in _WORD.findall(text.lower()):
-            counts[word] = counts.get(word, 0) + 1
-        if not counts:
-            return 0, 0.0, 0.0, 0.0, 0.0, 0.0
-        if len(self.words) > WORDS_KEPT:
-            self.words.clear()
-        scores = {}
-        for word in counts:
-            score = self.words.get(word)
-            if score is None:
-                score = self.word(word)
-                if len(word) <= LONG_WORD:
-                    self.words[word] = score
-            scores[word] = score
-        total = sum(scores[word] * n for word, n in counts.items())
-        letters = sum((len(word) + 1) * n for word, n in counts.items())
-        top = [*heapq.nlargest(2, scores.values()), 0.0]
-        strong = sum(score - 3.0 for score in scores.values() if score > 3.0)
-        best = max(scores, key=lambda word: (scores[word], word))
-        return sum(counts.values()), total / letters, top[0], top[1], strong, scores[best] / (len(best) + 1)
-
-
-def measure(docs: DataFrame, told: dict[str, float]) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(told)  # bounded by CLASS_GRAMS
+                if toxic >= 0:
+                    classes[1 - toxic + (2 if part == CALIBRATION else 0)].update(words)
+                if len(corpus) > WORDS_KEPT:
+                    yield rows()
+                    corpus.clear()
+                    for held in classes:
+                        held.clear()
+        yield rows()
+        yield batch_of(schema, {"word": [None], "documents": [total], **{c: [0] for c in _CLASSES}})
+
+    sums = map_rows(docs.select("doc_id", "text"), _COUNTS, work).groupBy("word").agg(*[F.sum(c).alias(c) for c in ("documents", *_CLASSES)])
+    return sums.where(F.col("word").isNull() | (sum((F.col(c) for c in _CLASSES), F.lit(0)) > 0))
+
+
+def model(counts: DataFrame, late: bool, discount: float = DISCOUNT) -> tuple[dict[str, float], float]:
+    """The difference of each word above the discount in a class, and the one difference of all other words.
+
+    ``late`` adds the counts of the calibration fold.
+    """
+    both = {c: F.col(c) + (F.col(f"{c}_late") if late else F.lit(0)) for c in ("toxic", "ordinary")}
+    seen = counts.select("word", "documents", *[n.alias(c) for c, n in both.items()])
+    own = {c: F.greatest(F.col(c) - discount, F.lit(0.0)) for c in both}
+    sums = seen.agg(
+        F.max(F.when(F.col("word").isNull(), F.col("documents"))).alias("corpus"),
+        *[F.sum(c).alias(c) for c in both], *[F.sum(n).alias(f"own_{c}") for c, n in own.items()],
+    ).head()
+    if not sums["corpus"] or not sums["toxic"] or not sums["ordinary"]:
+        return {}, 0.0
+    freed = {c: 1 - sums[f"own_{c}"] / sums[c] for c in both}
+    shared = F.col("documents") / F.lit(float(sums["corpus"]))
+    p = {c: own[c] / F.lit(float(sums[c])) + F.lit(freed[c]) * shared for c in both}
+    told = (
+        seen.where(F.col("word").isNotNull() & (F.greatest("toxic", "ordinary") > discount))
+        .orderBy(F.desc(F.col("toxic") + F.col("ordinary")), "word").limit(CLASS_WORDS)
+        .select("word", F.ln(p["toxic"] / p["ordinary"]).alias("d")).toArrow()
+    )
+    return dict(zip(told["word"].to_pylist(), told["d"].to_pylist())), math.log(freed["toxic"] / freed["ordinary"])
+
+
+def features(text: str | None, told: dict[str, float], rest: float) -> tuple[float, ...]:
+    """Mean difference, the two largest, the sum of what strong ones have over 1, and the logarithm of the words."""
+    words = words_of(text)
+    if not words:
+        return 0.0, 0.0, 0.0, 0.0, 0.0
+    found = [told.get(word, rest) for word in words]
+    top = [*heapq.nlargest(2, found), 0.0]
+    return sum(found) / len(found), top[0], top[1], sum(d - 1.0 for d in found if d > 1.0), math.log1p(len(found))
+
+
+def measure(docs: DataFrame, told: dict[str, float], rest: float) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(told)  # bounded by CLASS_WORDS
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, scorer = arrow_schema(_FEATURES), Scorer(shared.value)
+        schema, held = arrow_schema(_MEASURED), shared.value
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            found = list(zip(*[scorer.features(text or "") for text in batch.column(1).to_pylist()])) or [[]] * 6
-            yield batch_of(schema, dict(zip(schema.names, [ids, *map(list, found)])))
+            found = list(zip(*[features(text, held, rest) for text in batch.column(1).to_pylist()])) or [[]] * len(FEATURES)
+            yield batch_of(schema, dict(zip(schema.names, [batch.column(0).to_pylist(), *map(list, found)])))
 
-    return map_rows(docs.select("doc_id", "text"), _FEATURES, work)
+    return map_rows(docs.select("doc_id", "text"), _MEASURED, work)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50) -> tuple[np.ndarray, float]:
@@ -206,33 +158,71 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 50)
     return w[:-1] / spread, float(w[-1] - (w[:-1] * mean / spread).sum())
 
 
-def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, held_out, score, predicted`` and the features of every document.
+@dataclass(frozen=True)
+class Classifier:
+    """Differences of words, and the weights that make a probability of a document's."""
 
-    Labels are learned from folds 1 to 4 of 5 (crc32 of the id as text) only; id, language and source are no inputs.
-    A null or empty text has the features 0 and so a score like any other. Null ids are never learned from and count
-    as not held out; repeated rows are scored each. Where the labels have one class only, the score is its share.
-    """
+    told: dict[str, float]
+    rest: float
+    weights: tuple[float, ...]
+    offset: float
+
+    def probability(self) -> Column:
+        """Of the measured columns."""
+        logit = sum((F.col(name) * F.lit(w) for name, w in zip(FEATURES, self.weights)), F.lit(self.offset))
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(logit, F.lit(30.0)), F.lit(-30.0))))
+
+    def of_text(self, text: str | None) -> float:
+        logit = self.offset + sum(w * x for w, x in zip(self.weights, features(text, self.told, self.rest)))
+        return 1 / (1 + math.exp(-max(min(logit, 30.0), -30.0)))
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Classifier:
+    """Both pairs of models and the regression. Where the labels have one class only, the probability is 0 or 1."""
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sample = labelled(labels)
     classes = {toxic for toxic, _ in sample.values()}
-    told = model(docs, sample) if len(classes) == 2 else {}
-    measured = stored(measure(docs, told), "toxic-features").withColumn("log_words", F.log1p("words"))
+    counts = stored(count(docs, sample), "toxic-counts")
+    told, rest = model(counts, late=True)
+    if len(classes) < 2 or not told:
+        share = sum(toxic for toxic, _ in sample.values()) / max(1, len(sample))
+        return Classifier({}, 0.0, (0.0,) * len(FEATURES), 30.0 if share > 0.5 else -30.0)
     tuning = {doc: toxic for doc, (toxic, part) in sample.items() if part == CALIBRATION}
-    if len(set(tuning.values())) < 2:
+    unseen = len(set(tuning.values())) == 2
+    if not unseen:  # too few rows for a fold of their own
         tuning = {doc: toxic for doc, (toxic, _) in sample.items()}
-    if len(classes) < 2:
-        probability = F.lit(float(max(classes, default=0)))
-    else:
-        spark = docs.sparkSession
-        known = spark.createDataFrame(list(tuning.items()), "doc_id bigint, toxic int")
-        rows = measured.join(F.broadcast(known), "doc_id").select(*FEATURES, "toxic").toArrow()  # bounded by LABELLED_ROWS
-        x = np.column_stack([rows[name].to_numpy() for name in FEATURES])
-        weights, offset = logistic(x, rows["toxic"].to_numpy().astype(float))
-        logit = sum((F.col(name) * F.lit(float(w)) for name, w in zip(FEATURES, weights)), F.lit(offset))
-        probability = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.greatest(F.least(logit, F.lit(30.0)), F.lit(-30.0))))
+    known = docs.sparkSession.createDataFrame(list(tuning.items()), "doc_id bigint, toxic int")
+    fitted = measure(docs.join(F.broadcast(known), "doc_id", "left_semi"), *model(counts, late=not unseen))
+    rows = fitted.join(F.broadcast(known), "doc_id").select(*FEATURES, "toxic").toArrow()  # bounded by LABELLED_ROWS
+    x = np.column_stack([rows[name].to_numpy() for name in FEATURES])
+    weights, offset = logistic(x, rows["toxic"].to_numpy().astype(float)) if len(x) else (np.zeros(len(FEATURES)), -30.0)
+    return Classifier(told, rest, tuple(map(float, weights)), offset)
+
+
+def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` and the differences of every document.
+
+    Labels are learned from folds 1 to 4 of 5 (crc32 of the id as text) only; id, language and source are no inputs.
+    A null or empty text has the features 0 and so a score like any other. Null ids are never learned from and count
+    as not held out; repeated rows are scored each.
+    """
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    classifier = fit(docs, labels)
     held = F.coalesce(fold(F.col("doc_id")) == HELD_OUT, F.lit(False))
-    return measured.withColumn("score", probability).select(
+    return measure(docs, classifier.told, classifier.rest).withColumn("score", classifier.probability()).select(
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
         F.col("mean").alias("mean_difference"), F.col("first").alias("largest_difference"),
     )
+
+
+def clean(docs: DataFrame, classifier: Classifier, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """``docs`` without those that score ``threshold`` or more; all columns stay, decided row by row where the rows lie."""
+    at, ddl = docs.columns.index(text), ", ".join(f"`{n}` {kind}" for n, kind in docs.dtypes)
+    shared = docs.sparkSession.sparkContext.broadcast(classifier)  # bounded by CLASS_WORDS
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [shared.value.of_text(body) < threshold for body in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return map_rows(docs, ddl, work)
