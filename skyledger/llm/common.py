@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+BATCH_ROWS = 500
 #: Words are what stands between these characters; the same as ``bytes.split()`` without arguments.
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -43,7 +44,13 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 def map_rows(
     df: DataFrame, schema: str | T.StructType, work: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]]
 ) -> DataFrame:
-    """``mapInArrow`` with the work's own output schema."""
+    """``mapInArrow`` in batches of few rows, since texts may be long.
+
+    Spark has no limit by bytes; the session's limit by rows is lowered to ``BATCH_ROWS`` if it is higher.
+    """
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(rows)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(rows, BATCH_ROWS)
     return df.mapInArrow(work, schema)
 
 

@@ -16,13 +16,14 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from collections.abc import Callable
 from functools import lru_cache
 from operator import attrgetter
 
 import numpy as np
 from tokenizers import Tokenizer
 
-KEPT = 1_000_000
+KEPT = 600_000
 _ID = attrgetter("id")
 _LETTERS, _NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-įı-ſ", "0-9²³¹¼-¾"
 #: Characters that every step of the tokenizers treats one by one.
@@ -30,6 +31,9 @@ _UNCOMMON = re.compile("[^\t\n\r\x20-\x7e\xa0-įı-ſ]")
 #: Separators that Python counts as white space and the tokenizers do not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 _LONG_SPACE = re.compile(r"\s\s(?:\s|\Z)")
+#: Texts without these have no punctuation but full stops and commas.
+_OTHERS = re.compile(f"[^{_LETTERS}{_NUMBERS}\t\n\r .,]")
+_RUNS = ("..", ".,", ",.", ",,")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -39,6 +43,18 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+class _Known(dict):
+    """Ids of units; a unit that is met first is encoded and kept."""
+
+    def __init__(self, encode: Callable[[str], bytes], lead: str):
+        super().__init__()
+        self.encode, self.lead = encode, lead
+
+    def __missing__(self, unit: str) -> bytes:
+        found = self[unit] = self.encode(self.lead + unit)
+        return found
+
+
 class Encoder:
     """Texts to ids of ``width`` bytes each (2 or 4), without special tokens."""
 
@@ -66,7 +82,8 @@ class Encoder:
         self.table = str.maketrans({chr(b): letter for b, letter in _byte_letters().items()})
         self.marks = re.compile("|".join(map(re.escape, self.specials)) or r"(?!)")
         self.letter = "I" if width == 4 else "H"
-        self.known: dict[str, bytes] = {}
+        # every unit but the first of a text begins with the space at which it was cut, where spaces count
+        self.known = _Known(self._word, "" if self.lowers else " ")
         self.pieces: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
@@ -100,23 +117,19 @@ class Encoder:
         """The ids of a whole text."""
         if _SEPARATORS.search(text) or not self.lowers and (not self.spaced or _LONG_SPACE.search(text)):
             return self.whole(text)
-        if self.lowers:
-            units, first, lead = text.split(), b"", ""
-        else:  # every unit but the first begins with the space at which it was cut
-            units, lead = text.split(" "), " "
-            first = self._word(units.pop(0))
+        if len(self.known) >= KEPT:
+            self.known.clear()
+        if len(self.pieces) >= KEPT // 4:
+            self.pieces.clear()
         known = self.known
-        try:
-            return first + b"".join([known[unit] for unit in units])
-        except KeyError:
-            if len(known) >= KEPT:
-                known.clear()
-            if len(self.pieces) >= KEPT // 4:
-                self.pieces.clear()
-            for unit in units:
-                if unit not in known:
-                    known[unit] = self._word(lead + unit)
-            return first + b"".join([known[unit] for unit in units])
+        if not self.lowers:
+            first, *units = text.split(" ")
+            return self._word(first) + b"".join([known[unit] for unit in units])
+        if not _OTHERS.search(text):  # the same ids by fewer different words
+            text = text.lower()
+            if not any(run in text for run in _RUNS):
+                text = text.replace(".", " . ").replace(",", " , ")
+        return b"".join([known[unit] for unit in text.split()])
 
 
 @lru_cache(maxsize=4)

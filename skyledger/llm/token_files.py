@@ -47,8 +47,8 @@ def blocks(docs: DataFrame, tokenizer: str, end_id: int, text: str = "text", id_
 
         size = 0
         for batch in batches:
-            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = codec.ids(body or "") + end
+            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+                ids = codec.ids(body.as_py() or "") + end
                 held.append((doc, ids))
                 size += len(ids) // codec.dtype.itemsize
                 if size >= block_ids:
