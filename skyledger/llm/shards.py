@@ -1,7 +1,7 @@
 """K-d tree sharding: split at distributed weighted medians along the widest metadata dimension.
 
 Rows with equal texts form one unit with the coordinates length, language and source, and the sum of their
-bytes as weight. A unit that weighs over a 32nd of a shard, in bytes or rows, is cut into pieces by a hash of
+bytes as weight. A unit that weighs over a 64th of a shard, in bytes or rows, is cut into pieces by a hash of
 the row's id, so no group of copies unbalances a shard; pieces of a unit stay neighbours in every order.
 A node of the tree that has to become k shards is split along its widest coordinate where the left side weighs
 k//2 k-ths. The place is found by histograms over successive digits of a 60-bit key (coordinate, then hash of
@@ -22,7 +22,7 @@ from skyledger.llm.common import stored
 
 LAW = "bytes"
 OVERHEAD = 8
-PIECES = 32
+PIECES = 64
 DIGIT_BITS, DIGITS, KEY_BITS, COORD_BITS = 12, 5, 60, 20
 ROWS_PER_SLICE = 20_000
 DIMS = ("length", "lang", "source")
