@@ -66,8 +66,8 @@ def assemble(turns: DataFrame, tokenizer: str, learned: tuple[str, ...] = LEARNE
             roles, texts = [escape(r or "") for r in roles], [escape(t or "") for t in texts]
             yield batch_of(schema, {
                 "conv_id": conv, "turn": turn, "role": roles, "text": texts,
-                "role_ids": [e.ids for e in codec.encode_batch(roles, add_special_tokens=False)],
-                "text_ids": [e.ids for e in codec.encode_batch(texts, add_special_tokens=False)],
+                "role_ids": [e.ids for e in codec.encode_batch_fast(roles, add_special_tokens=False)],
+                "text_ids": [e.ids for e in codec.encode_batch_fast(texts, add_special_tokens=False)],
             })
 
     def splice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
