@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skyledger.llm.common import stored
+from skyledger.llm import common
+
+#: Links that one task takes on.
+LINKS_PER_TASK = 200_000
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -15,6 +20,13 @@ def components(links: DataFrame) -> DataFrame:
     a root; every round is written to the shared folder. Links are summed by node, so a node with very many is no
     burden for one task beyond its own list of them, which is never gathered.
     """
+    links = common.stored(links, "links")
+    tasks = max(1, math.ceil(links.count() / LINKS_PER_TASK))
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        """Written by as many tasks as the links ask for: most rounds are small."""
+        return common.stored(df.coalesce(tasks), name)
+
     links = stored(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     while True:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -26,10 +38,9 @@ def components(links: DataFrame) -> DataFrame:
         following = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(small.select("a", F.col("m").alias("b")))
         following = stored(following.distinct(), "small-star")
         # done when every node hangs on one root and no root hangs on another
-        parents = following.groupBy("a").agg(F.count("*").alias("n"))
-        unfinished = parents.where("n > 1").limit(1).count() + following.join(parents.select(F.col("a").alias("b")), "b", "left_semi").limit(1).count()
         links = following
-        if not unfinished:
+        several = links.groupBy("a").agg(F.count("*").alias("n")).where("n > 1").coalesce(tasks)
+        if several.isEmpty() and links.join(links.select(F.col("a").alias("b")).distinct(), "b", "left_semi").coalesce(tasks).isEmpty():
             return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
                 links.select(F.col("b").alias("node"), F.col("b").alias("root"))
             ).distinct()

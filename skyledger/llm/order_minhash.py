@@ -5,11 +5,12 @@ A document is the sequence of its runs of five words, each labelled with how oft
 digest is the document's key in that band. Two documents share a key if they share the sampled runs in the same
 order, so keys follow edit similarity, not just common content.
 
-Equal texts are one node. In each band the node with the least digest of those with one key is candidate with every
-other, so candidates grow with the rows and not with their pairs. Candidates are verified by an alignment: the
-longest chain of common labelled runs that keeps the order of both, inside the band that the similarity allows. Verified
-links make classes. Then, in each band, one node of every class that shares a key is tried against another leader,
-until ``ROUNDS`` are through, for links that the first leader could not show.
+Equal texts are one node. Of the nodes with one key in a band the least leads: it is candidate with every other, so
+candidates grow with the rows and not with their pairs. Candidates are verified by an alignment: the longest chain of
+common labelled runs that keeps the order of both, inside the band that the similarity allows. Nodes that are not similar
+to their leader get another one among themselves, for ``ROUNDS`` rounds; and since two similar texts share about twelve of
+24 keys, each of them with other company, a link that no leader shows in one band is shown in another. Verified
+links make the classes.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from skyledger.llm.common import arrow_schema, batch_of, map_rows, stored
 from skyledger.llm.components import components
 
-WIDTH, SIMILARITY, BANDS, SAMPLE, ROUNDS = 5, 0.8, 24, 3, 3
+WIDTH, SIMILARITY, BANDS, SAMPLE, ROUNDS = 5, 0.8, 24, 3, 2
 FILTER_BITS = 1 << 24
 _KEYS = "key bigint, node binary"
 _WORDS = "node binary, words binary"
@@ -208,32 +209,31 @@ def verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame
 
 def links(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Verified links between different texts, and ``node, root`` of all that have one."""
-    banded = stored(band_keys(docs, text), "omh-keys", "none")
-    leaders = banded.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key", "a")
-    leaders = stored(leaders, "omh-leaders")
-    shared = stored(banded.join(leaders, "key").select("key", "node", "a"), "omh-shared", "none")
-    pairs = stored(shared.where("node <> a").select("a", F.col("node").alias("b")).distinct(), "omh-pairs")
-    words = stored(words_for(docs, pairs, text).dropDuplicates(["node"]), "omh-words")
-    found = stored(verified(pairs, words, similarity), "omh-links")
-    roots = stored(components(found), "omh-roots")
-    for number in range(1, ROUNDS):
-        # one node for each class in each bucket; a class is never tried against itself
-        members = shared.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"), "node")
-        members = members.groupBy("key", "root").agg(F.min("node").alias("node"))
-        members = stored(members, "omh-members")
-        order = F.xxhash64("node", "key", F.lit(number))
-        leader = members.groupBy("key").agg(F.min_by("node", order).alias("a"), F.min_by("root", order).alias("own"), F.count("*").alias("n")).where("n > 1")
-        leader = stored(leader.select("key", "a", "own"), "omh-leader")
-        more = members.join(leader, "key").where("root <> own").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
-        more = stored(more.join(pairs, ["a", "b"], "left_anti"), "omh-more")
-        if more.isEmpty():
-            break
-        new = stored(verified(more, words, similarity), "omh-new")
-        pairs = stored(pairs.unionByName(more), "omh-pairs")
-        if not new.isEmpty():
-            found = stored(found.unionByName(new), "omh-links")
-            roots = stored(components(found), "omh-roots")
-    return found, roots
+    held = stored(band_keys(docs, text), "omh-keys", "none")
+    words: DataFrame | None = None
+    found, tried = [], None
+    for number in range(ROUNDS):
+        leaders = held.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key", "a")
+        led = held.join(stored(leaders, "omh-leaders"), "key").where("node <> a").select("key", "a", F.col("node").alias("b"))
+        led = stored(led, "omh-led", "none")
+        pairs = led.select("a", "b").distinct()
+        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "omh-pairs")
+        if words is None:
+            words = stored(words_for(docs, pairs, text).dropDuplicates(["node"]), "omh-words")
+        found.append(stored(verified(pairs, words, similarity), "omh-links"))
+        if number < ROUNDS - 1:
+            tried = pairs if tried is None else tried.unionByName(pairs)
+            # only those that are not similar to their leader are left to each other
+            held = stored(led.join(_union(found), ["a", "b"], "left_anti").select("key", F.col("b").alias("node")), "omh-left", "none")
+    linked = _union(found)
+    return linked, stored(components(linked), "omh-roots")
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
 
 
 def classes(docs: DataFrame, text: str = "text", id_column: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
