@@ -100,7 +100,7 @@ def search(text: str, items: Items, seed: int = SEED) -> dict[int, list[tuple[in
     get = items.vocabulary.get
     words = words_of(text)
     numbers = np.fromiter((get(w, 0) for w in words), np.uint64, len(words))
-    if len(numbers) < seed:
+    if len(numbers) < seed or not len(items.seeds):
         return {}
     known = numbers > 0
     if int(np.count_nonzero(known)) < seed:
