@@ -85,11 +85,13 @@ def manifest_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def manifest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The long documents are registered again, with a size and a state."""
-    updates = inventory(spark, sf_dir).where(F.col("bytes") > 1000).select(
-        F.concat_ws("/", "segment", "ref").alias("key"), F.col("bytes").alias("bytes_zip"), F.lit(L.UNCHANGED).alias("situacao")
-    )
-    done = state.register(manifest(spark, sf_dir), updates, F.lit(NOW))
+    """All documents are registered again, with a state and a size that is null for short ones, and each one twice: the
+    second time counts."""
+    updates = inventory(spark, sf_dir).select(
+        F.concat_ws("/", "segment", "ref").alias("key"), F.when(F.col("bytes") > 1000, F.col("bytes")).alias("bytes_zip"),
+        F.explode(F.array(F.lit(1), F.lit(2))).alias("turn"),
+    ).withColumn("situacao", F.when(F.col("turn") == 2, L.UNCHANGED).otherwise(L.NEW))
+    done = state.register(manifest(spark, sf_dir), updates, F.lit(NOW), ["turn"])
     return done.select("key", "impressao", "bytes_zip", "situacao", "coletado_em", "verificado_em")
 
 
@@ -281,8 +283,9 @@ SQL = {
           when m.impressao = i.impressao then 'inalterado' else 'republicado' end as situacao
         from {_INVENTORY} i left join {_MANIFEST} m using (segment, ref)""",
     "manifest_upsert": f"""
-        with i as (select * from {_INVENTORY} where bytes > 1000)
-        select coalesce(i.segment || '/' || i.ref, m.key) as key, m.impressao, coalesce(i.bytes, m.bytes_zip) as bytes_zip,
+        with i as (select * from {_INVENTORY})
+        select coalesce(i.segment || '/' || i.ref, m.key) as key, m.impressao,
+          case when i.ref is null then m.bytes_zip when i.bytes > 1000 then i.bytes end as bytes_zip,
           case when i.ref is not null then 'inalterado' else m.situacao end as situacao,
           case when m.key is not null then '2026-11-01T06:00:00+00:00' else '{NOW}' end as coletado_em,
           case when i.ref is not null then '{NOW}' else '2026-11-02T06:00:00+00:00' end as verificado_em

@@ -56,8 +56,10 @@ def _dated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def year_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Years 1993 to 1997 of which the first two are not there."""
-    return years.stack_label(years.stack(_dated(spark, sf_dir), 1993, 1997))
+    """The rows of years 1993 to 1997, of which the first two are not there, with the label of the stack."""
+    stacked = years.stack(_dated(spark, sf_dir), 1993, 1997)
+    label = years.stack_label(stacked).select("label").scalar()
+    return stacked.select("o_orderkey", "year", "month", label.alias("label"))
 
 
 def month_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,8 +107,8 @@ SQL = {
         select *, cast(null as varchar) as "Etapa"
         from ({_future("h.year = 2000 and h.month <= 6", "date '2000-06-30'")})""",
     "year_stack": """
-        select cast(min(year(o_orderdate)) as int) as first, cast(max(year(o_orderdate)) as int) as last,
-          min(year(o_orderdate)) || '-' || max(year(o_orderdate)) as label
+        select o_orderkey, cast(year(o_orderdate) as int) as year, cast(month(o_orderdate) as int) as month,
+          min(year(o_orderdate)) over () || '-' || max(year(o_orderdate)) over () as label
         from orders where year(o_orderdate) between 1993 and 1997""",
     "month_completeness": """
         select cast(year(o_orderdate) as int) as year, count(distinct month(o_orderdate)) as months,

@@ -19,7 +19,7 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def inventory_from_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One page per order that links the archive of its month, in either form of name."""
+    """One page per order, its URL with or without a slash at the end, that links the archive of its month, in either form of name."""
     month = F.when(F.col("o_orderstatus") == "F", F.date_format("o_orderdate", "yyyy-MM")).otherwise(F.date_format("o_orderdate", "yyyyMM"))
     segment = F.when(F.col("o_orderpriority") == "5-LOW", "Combinada").otherwise("basica")
     folder = F.when(F.col("o_orderstatus") == "P", "/files/").when(F.col("o_orderstatus") == "O", "../").otherwise("")
@@ -27,7 +27,8 @@ def inventory_from_html(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("<p>Arquivos</p><a HREF = '"), folder, segment, month, F.lit(".zip?download=1'>x</a><a href=\"basica.zip\">y</a>")
     )
     orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", html.alias("html"), F.lit("https://data.example.org/open/air/microdados").alias("url")
+        "o_orderkey", html.alias("html"),
+        F.concat(F.lit("https://data.example.org/open/air/microdados"), F.when(F.col("o_custkey") % 2 == 0, "/").otherwise("")).alias("url"),
     )
     return pages.inventory(orders, "o_orderkey")
 
@@ -104,8 +105,8 @@ SQL = {
     "inventory_from_html": """
         with o as (select o_orderkey, case o_orderpriority when '5-LOW' then 'combinada' else 'basica' end as segment,
             strftime(o_orderdate, '%Y%m') as ref,
-            case o_orderstatus when 'P' then 'https://data.example.org/files/' when 'O' then 'https://data.example.org/open/'
-              else 'https://data.example.org/open/air/' end
+            case o_orderstatus when 'P' then 'https://data.example.org/files/' when 'O' then 'https://data.example.org/open/air/'
+              else 'https://data.example.org/open/air/microdados/' end
             || case o_orderpriority when '5-LOW' then 'Combinada' else 'basica' end
             || case o_orderstatus when 'F' then strftime(o_orderdate, '%Y-%m') else strftime(o_orderdate, '%Y%m') end
             || '.zip' as url from orders)

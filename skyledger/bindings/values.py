@@ -53,7 +53,9 @@ def null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tolerant_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.col("o_orderdate")
     mixed = (
-        F.when(F.col("o_orderstatus") == "F", F.date_format(day, "dd/MM/yyyy"))
+        F.when(F.col("o_orderpriority") == "2-HIGH", F.concat(F.date_format(day, "d/M/yyyy"), F.lit(" 9:05")))
+        .when(F.col("o_orderpriority") == "3-MEDIUM", F.concat(F.date_format(day, "dd/MM/yyyy"), F.lit("garbage")))
+        .when(F.col("o_orderstatus") == "F", F.date_format(day, "dd/MM/yyyy"))
         .when(F.col("o_orderpriority") == "5-LOW", F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" 10:20:30")))
         .when(F.col("o_orderpriority") == "1-URGENT", F.lit("31/02/2001"))
         .otherwise(F.date_format(day, "yyyy-MM-dd"))
@@ -161,7 +163,7 @@ SQL = {
           when n_nationkey < 18 then null else n_name end as clean
         from customer join nation on c_nationkey = n_nationkey""",
     "tolerant_date": """
-        select o_orderkey, case when o_orderstatus <> 'F' and o_orderpriority = '1-URGENT' then null
+        select o_orderkey, case when o_orderpriority = '3-MEDIUM' or o_orderstatus <> 'F' and o_orderpriority = '1-URGENT' then null
           else cast(o_orderdate as date) end as day from orders""",
     "offset_parse": """
         select c_custkey, cast(case when c_acctbal < 0 then -(floor(abs(c_acctbal)) % 13) when c_nationkey = 3 then -3

@@ -33,10 +33,17 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     return _one_per_key(df, keys, order, F.max_by)
 
 
-def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All keys of both tables; where both have a key the new row wins."""
-    both = old.withColumn("_turn", F.lit(0)).unionByName(new.withColumn("_turn", F.lit(1)))
-    return keep_last(both, keys, ["_turn"]).drop("_turn")
+def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """All keys of both tables; where both have a key the new row wins.
+
+    Of several new rows of a key the last by ``order`` (columns of ``new`` that the result does not keep unless
+    ``old`` has them) counts, and of those that it leaves equal the one with the greatest values.
+    """
+    rest = [name for name, kind in old.dtypes if name not in keys and not kind.startswith("map")]
+    places = {f"_order{i}": F.col(name) for i, name in enumerate(order)}
+    latest = new.select(*old.columns, F.lit(1).alias("_turn"), *[place.alias(name) for name, place in places.items()])
+    both = old.withColumn("_turn", F.lit(0)).unionByName(latest, allowMissingColumns=True)
+    return keep_last(both, keys, ["_turn", *places, *rest]).select(*[quoted(name) for name in old.columns])
 
 
 def last_rows(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:

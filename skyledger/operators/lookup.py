@@ -2,61 +2,16 @@
 
 from __future__ import annotations
 
-import math
-import re
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.operators.shape import quoted
 
-HEAVY_KEYS = 1024
-TRACKED_KEYS = 65536
-_WHOLE = ("tinyint", "smallint", "int", "bigint")
-
-
-def _bytes(setting: str) -> int:
-    amount, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)b?", setting.strip().lower()).groups()
-    return int(amount) * 1024 ** " kmgt".index(unit or " ")
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's own size estimate lets it broadcast this table."""
-    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
-
-
-def heavy_keys(df: DataFrame, key_hash: Column, share: float) -> dict[int, float]:
-    """Hashes of the keys that hold more than ``share`` of the rows, with their share: at most
-    ``HEAVY_KEYS`` of them.
-
-    One pass over the key columns with a mergeable sketch of fixed size per task; nothing is
-    shuffled by key and nothing but these few hashes reaches the driver.
-    """
-    sketch = df.select(key_hash.alias("_k")).agg(
-        F.expr(f"approx_top_k(_k, {HEAVY_KEYS}, {TRACKED_KEYS})").alias("top"), F.count("*").alias("n")
-    )
-    row = sketch.head()
-    return {item["item"]: item["count"] / row["n"] for item in row["top"] if item["count"] > row["n"] * share}
-
-
-def _tiers(heavy: dict[int, float], ways: int) -> dict[int, list[int]]:
-    """Heavy keys by the number of tasks to spread them over, a power of two that follows their share."""
-    tiers: dict[int, list[int]] = {}
-    for key, share in sorted(heavy.items()):
-        tiers.setdefault(min(ways, 2 ** math.ceil(math.log2(max(2.0, 4 * share * ways)))), []).append(key)
-    return tiers
-
 
 def lookup_join(
-    facts: DataFrame,
-    lookup: DataFrame,
-    on: Mapping[str, str],
-    how: str = "left",
-    null_safe: bool = False,
-    spread: bool | None = None,
-    keys_from: DataFrame | None = None,
+    facts: DataFrame, lookup: DataFrame, on: Mapping[str, str], how: str = "left", null_safe: bool = False
 ) -> DataFrame:
     """Join ``facts`` with ``lookup``, which has at most one row per key.
 
@@ -64,52 +19,15 @@ def lookup_join(
     ``lookup`` adds only its other columns. ``how`` is ``left``, ``inner``, ``left_semi`` or
     ``left_anti``. ``null_safe`` lets null match null.
 
-    A ``lookup`` small enough by Catalyst's estimate is joined as it stands and Spark broadcasts
-    it. Beyond that both sides are shuffled. AQE cannot split a heavy key there, because the
-    aggregate that made ``lookup`` unique stands between its shuffle and the join. So heavy keys
-    (null included) are looked up first; their rows go to as many reducers as their share asks for,
-    by the number of the task that read them, and the one matching lookup row is repeated for each
-    of these numbers. A task number does not change when a task runs again, so a lost executor
-    changes nothing. ``spread`` overrides the choice by size. ``keys_from`` is a table that has the
-    same key columns and rows as ``facts`` but costs less to read; heavy keys are looked up there.
+    Spark broadcasts a ``lookup`` that is small by its own estimate and shuffles both sides beyond it.
+    Where ``lookup`` is a stored table, AQE splits the rows of a heavy key; runs therefore store what
+    they have summed before they join it.
     """
     partners = {theirs: f"_on{i}" for i, theirs in enumerate(on.values())}
-    right, left = lookup.withColumnsRenamed(partners), facts
+    right = lookup.withColumnsRenamed(partners)
     pairs = [(quoted(mine), F.col(partners[theirs])) for mine, theirs in on.items()]
     matches = [mine.eqNullSafe(theirs) if null_safe else mine == theirs for mine, theirs in pairs]
-
-    if spread is None:
-        spread = not fits_broadcast(lookup)
-    if spread:
-        mine_hash, theirs_hash = _hashes(facts, lookup, on, pairs)
-        ways = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        heavy = heavy_keys(facts if keys_from is None else keys_from, mine_hash, 1.0 / (4 * ways))
-        if heavy:
-            way, ways_of_key = F.lit(0), F.array(F.lit(0))
-            for tasks, keys in _tiers(heavy, ways).items():
-                way = F.when(mine_hash.isin(keys), F.pmod(F.spark_partition_id(), F.lit(tasks))).otherwise(way)
-                ways_of_key = F.when(theirs_hash.isin(keys), F.sequence(F.lit(0), F.lit(tasks - 1))).otherwise(ways_of_key)
-            left = left.withColumn("_way", way)
-            right = right.withColumn("_their_way", F.explode(ways_of_key))
-            matches.append(F.col("_way") == F.col("_their_way"))
-
     condition = matches[0]
     for match in matches[1:]:
         condition = condition & match
-    return left.join(right, condition, how).drop("_way", "_their_way", *partners.values())
-
-
-def _hashes(
-    facts: DataFrame, lookup: DataFrame, on: Mapping[str, str], pairs: list[tuple[Column, Column]]
-) -> tuple[Column, Column]:
-    """Key hashes of both sides; equal keys have equal hashes only if their types are equal."""
-    kinds, their_kinds = dict(facts.dtypes), dict(lookup.dtypes)
-    mine_parts, theirs_parts = [], []
-    for (name, their_name), (mine, theirs) in zip(on.items(), pairs):
-        if kinds[name] != their_kinds[their_name]:
-            if not (kinds[name] in _WHOLE and their_kinds[their_name] in _WHOLE):
-                raise TypeError(f"keys of different types: {name} {kinds[name]}, {their_name} {their_kinds[their_name]}")
-            mine, theirs = mine.cast("bigint"), theirs.cast("bigint")
-        mine_parts.append(mine)
-        theirs_parts.append(theirs)
-    return F.xxhash64(*mine_parts), F.xxhash64(*theirs_parts)
+    return facts.join(right, condition, how).drop(*partners.values())

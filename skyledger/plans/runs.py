@@ -1,8 +1,9 @@
 """Whole runs: new files to landed rows, landed rows to marts, all open months in one job.
 
 Layout below the root folder: ``landed/{legs,combined,fares_dom,fares_int,schedule}``, ``index`` (what
-has been landed, with its content hash), ``dims/{airports,aircraft,airlines,rates}``, ``rates``,
-``mart``, ``finished``, ``schedule``, ``frozen``, ``running_year``, ``manifest`` and ``run_issues``.
+has been landed, with its content hash), ``staging`` (what a run has just parsed), ``dims/{airports,aircraft,airlines,rates}``,
+``rates``, ``combined_sums``, ``fares``, ``mart``, ``finished``, ``schedule``, ``frozen``, ``running_year``, ``manifest`` and
+``run_issues``.
 """
 
 from __future__ import annotations
@@ -11,7 +12,6 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from skyledger import layout as L
 from skyledger.operators.dedup import upsert
@@ -25,12 +25,13 @@ from skyledger.sources.tables import with_period
 PERIOD = ["year", "month"]
 ISSUES = "path string, member string, problem string, lines bigint"
 INDEX = "folder string, year int, month int, impressao string"
-# kind of file -> (landing folder, columns, encoding, lines above the header)
+_FARE_REQUIRED = [name for name in L.FARE_RAW if name not in ("sg_icao_retorno", "cd_classe_ida")]
+# kind of file -> (landing folder, columns, encoding, lines above the header, columns a file cannot do without)
 LANDING = {
-    "basica": ("legs", L.LEG_RAW, "cp1252", 0),
-    "combinada": ("combined", L.COMBINED_RAW, "cp1252", 0),
-    "tarifas/dom": ("fares_dom", L.FARE_RAW, "cp1252", 0),
-    "tarifas/int": ("fares_int", L.FARE_RAW, "cp1252", 0),
+    "basica": ("legs", L.LEG_RAW, "cp1252", 0, L.LEG_KEY),
+    "combinada": ("combined", L.COMBINED_RAW, "cp1252", 0, [*L.LEG_KEY, "cd_cotran"]),
+    "tarifas/dom": ("fares_dom", L.FARE_RAW, "cp1252", 0, _FARE_REQUIRED),
+    "tarifas/int": ("fares_int", L.FARE_RAW, "cp1252", 0, _FARE_REQUIRED),
 }
 SCHEDULE_FILE = "voos.csv"
 
@@ -41,52 +42,100 @@ def _table(spark: SparkSession, path: str, schema: str) -> tuple[Snapshots, Data
     return book, book.read() if book.present() else spark.createDataFrame([], schema)
 
 
-def land(spark: SparkSession, root: str, kind: str, inbox: DataFrame) -> None:
-    """Write the rows of new files as text columns, one folder per month, and note their content.
+def _staged(df: DataFrame, root: str, name: str) -> DataFrame:
+    """Written below ``staging`` and read again: parsed once, and safe from lost executors."""
+    spark, path = df.sparkSession, f"{root}/staging/{name}"
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
-    ``inbox`` is what ``archives.files`` lists. Of two files for one month the one with the dashed
-    name counts. A month that comes again replaces its folder.
+
+def _note(issues: DataFrame, root: str) -> None:
+    issues.select("path", "member", "problem", "lines").write.mode("append").parquet(f"{root}/run_issues")
+
+
+def land(spark: SparkSession, root: str, inbox: DataFrame) -> int:
+    """Write the rows of new files as text columns, one folder per kind and month, and note their content; the
+    number of files landed.
+
+    ``inbox`` is what ``archives.files`` lists. Every archive is opened once to list and hash its members.
+    Of two files for one month the one with the dashed name counts, then the newest publication. A file whose
+    content the index has is not read again. A month that comes again replaces its folder. A file that cannot
+    be read whole, has no rows or lacks a column lands nothing and leaves what was there; each problem is
+    one row of ``run_issues``, and the others land.
     """
-    folder, columns, encoding, skip = LANDING[kind]
-    members = archives.archive_members(inbox).where(F.col("status") == "ok")
-    # at most one file per calendar month
-    found = discover(members.select("path", "member", "sha256"), "member").where(F.col("kind") == kind).collect()
-    chosen = F.concat_ws("/", "path", "member").isin([f"{row['path']}/{row['member']}" for row in found])
-    # parsed once for the rows and the problems; a lost block is parsed again
-    parsed = archives.file_rows(inbox, columns, encoding, skip).persist(StorageLevel.DISK_ONLY)
-    try:
-        rows = with_period(archives.good_rows(parsed).where(chosen), "member")
-        write_periods(rows.drop("path", "member"), f"{root}/landed/{folder}")
-        archives.run_issues(parsed).write.mode("append").parquet(f"{root}/run_issues")
-    finally:
-        parsed.unpersist()
-    contents = [(folder, row["year"], row["month"], row["sha256"]) for row in found]
-    book, before = _table(spark, f"{root}/index", INDEX)
-    book.replace(upsert(before, spark.createDataFrame(contents, INDEX), ["folder", *PERIOD]), allow_empty=True)
-
-
-def land_schedule(spark: SparkSession, root: str, inbox: DataFrame) -> None:
-    """Replace the landed schedule; without a schedule file the old one stays."""
-    rows = archives.file_rows(inbox, list(L.SCHEDULE_RAW.values()), "utf-8-sig", 1)
-    mine = archives.good_rows(rows).where(F.lower("member") == SCHEDULE_FILE).drop("path", "member")
-    Snapshots(spark, f"{root}/landed/schedule").replace(mine)
+    members = _staged(archives.archive_members(inbox), root, "members")
+    unreadable = members.where(F.col("status") != "ok")
+    _note(unreadable.select("path", "member", F.col("status").alias("problem"), F.lit(1).cast("bigint").alias("lines")), root)
+    found = discover(members.where(F.col("status") == "ok"), "member")
+    folder_of = F.create_map(*[F.lit(part) for kind, (folder, *_) in LANDING.items() for part in (kind, folder)])
+    found = found.withColumn("folder", folder_of[F.col("kind")])
+    book, index = _table(spark, f"{root}/index", INDEX)
+    known = index.select("folder", *PERIOD, F.col("impressao").alias("sha256"))
+    # at most one file per kind and calendar month
+    new = lookup_join(found, known, {name: name for name in known.columns}, "left_anti").collect()
+    landed = []
+    for kind, (folder, columns, encoding, skip, required) in LANDING.items():
+        mine = [row for row in new if row["kind"] == kind]
+        if not mine:
+            continue
+        wanted: dict[str, list[str]] = {}
+        for row in mine:
+            wanted.setdefault(row["path"], []).append(row["member"])
+        chosen = F.broadcast(spark.createDataFrame(list(wanted.items()), "path string, members array<string>"))
+        source = inbox.where(F.col("path").isin(list(wanted))).join(chosen, "path")
+        parsed = _staged(archives.file_rows(source, columns, encoding, skip, required), root, folder)
+        _note(archives.run_issues(parsed), root)
+        whole = parsed.where(F.col("problem").isNotNull() & F.col("line").isNull())
+        failed = {(row["path"], row["member"]) for row in whole.select("path", "member").distinct().collect()}
+        good = [row for row in mine if (row["path"], row["member"]) not in failed and (row["path"], None) not in failed]
+        keep = F.struct("path", "member").isin([F.struct(F.lit(row["path"]), F.lit(row["member"])) for row in good])
+        if good:
+            rows = with_period(archives.good_rows(parsed).where(keep), "member")
+            write_periods(rows.drop("path", "member"), f"{root}/landed/{folder}")
+        landed += [(folder, row["year"], row["month"], row["sha256"]) for row in good]
+    if landed:
+        book.replace(upsert(index, spark.createDataFrame(landed, INDEX), ["folder", *PERIOD]), allow_empty=True)
+    return len(landed)
+
+
+def land_schedule(spark: SparkSession, root: str, inbox: DataFrame) -> bool:
+    """Replace the landed schedule by the newest publication; without a readable one the old one stays."""
+    members = archives.archive_members(inbox).where(F.lower("member") == SCHEDULE_FILE)
+    order = [F.desc("modificationTime")] if "modificationTime" in inbox.columns else []
+    newest = members.orderBy(*order, F.desc("path")).select("path", "member").head()
+    if newest is None:
+        return False
+    source = inbox.where(F.col("path") == newest["path"]).withColumn("members", F.array(F.lit(newest["member"])))
+    columns = list(L.SCHEDULE_RAW.values())
+    parsed = _staged(archives.file_rows(source, columns, "utf-8-sig", 1, columns[:1]), root, "schedule")
+    _note(archives.run_issues(parsed), root)
+    if not parsed.where(F.col("problem").isNotNull() & F.col("line").isNull()).isEmpty():
+        return False
+    Snapshots(spark, f"{root}/landed/schedule").replace(archives.good_rows(parsed).drop("path", "member"))
+    return True
 
 
 def available_months(index: DataFrame) -> DataFrame:
-    """Months that have both movement files, with one fingerprint over all their files."""
-    pairs = state.complete_pairs(index.where("folder = 'legs'"), index.where("folder = 'combined'"))
+    """Months that have both movement files or fares, with one fingerprint over all their files; ``paired`` tells
+    whether the movements are there."""
     entries = F.array_sort(F.collect_list(F.concat_ws("=", "folder", "impressao")))  # at most four per month
-    months = index.groupBy(*PERIOD).agg(F.sha2(F.array_join(entries, "|"), 256).alias("impressao"))
-    return lookup_join(months, pairs, {name: name for name in PERIOD}, "left_semi")
+    months = index.groupBy(*PERIOD).agg(
+        F.sha2(F.array_join(entries, "|"), 256).alias("impressao"),
+        (F.count_if(F.col("folder").isin("legs", "combined")) == 2).alias("paired"),
+        (F.count_if(F.col("folder").startswith("fares")) > 0).alias("_fares"),
+    )
+    return months.where(F.col("paired") | F.col("_fares")).drop("_fares")
 
 
 def fill_in(
     spark: SparkSession, root: str, year: int | None = None, oldest_year: int = L.OLDEST_YEAR, forced: bool = False
 ) -> dict[str, int]:
-    """Build every open month of the mart in one job and note it as finished.
+    """Build every open month in one job and note it as finished: its fare table, and its part of the mart if both
+    movement files are there.
 
     With ``year`` that year alone, whatever its age; else all years from ``oldest_year`` on. A month
-    is open when its files are not the ones it was last built from.
+    is open when its files are not the ones it was last built from. What is joined to the legs is stored
+    first, cabotage sums and fares, one folder per month.
 
     A month whose international fares lack a rate does not stop the others: it is built without these
     fares, is noted in ``run_issues`` and stays open. ``failed`` counts such months.
@@ -96,31 +145,36 @@ def fill_in(
     finished, done = _table(spark, f"{root}/finished", "year int, month int, impressao string")
     # one row per calendar month, which then prunes the landed folders
     open_months = state.pending(available_months(index.where(wanted)), done, forced).collect()
+    counts = {"rows": 0, "with_fare": 0, "departures": 0}
     if not open_months:
-        return {"rows": 0, "with_fare": 0, "departures": 0, "failed": 0}
+        return {**counts, "failed": 0}
 
-    def landed(folder: str) -> DataFrame | None:
-        path = f"{root}/landed/{folder}"
-        return spark.read.parquet(path).where(_months(open_months)) if exists(spark, path) else None
+    def stored(path: str, months) -> DataFrame | None:
+        return spark.read.parquet(f"{root}/{path}").where(_months(months)) if exists(spark, f"{root}/{path}") else None
 
-    dims = {name: spark.read.parquet(f"{root}/dims/{name}") for name in ("airports", "aircraft")}
-    raw = landed("legs")
-    leg_table = legs.leg_table(
-        raw, landed("combined"), dimensions.aircraft(dims["aircraft"]), dimensions.airports(dims["airports"])
-    )
-    domestic, international, rates = landed("fares_dom"), landed("fares_int"), _rates(spark, root)
+    domestic, international, rates = stored("landed/fares_dom", open_months), stored("landed/fares_int", open_months), _rates(spark, root)
     failed = []
     if international is not None:
         failed = fares.missing_rates(fares.fare_rows(international, comma=False), rates, PERIOD).collect()
     if failed:
         issues = [("fares_int", f"{r['year']}-{r['month']:02d}", f"no rate for {r['rate_key']}", r["rows"]) for r in failed]
-        spark.createDataFrame(issues, ISSUES).write.mode("append").parquet(f"{root}/run_issues")
+        _note(spark.createDataFrame(issues, ISSUES), root)
         international = international.where(~_months(failed))
-
     routes = fare_routes(domestic, international, rates)
-    counts = observed_write(mart.mart(leg_table, routes, keys=legs.fare_keys(raw)), f"{root}/mart")
+    if routes is not None:
+        write_periods(routes, f"{root}/fares")
+    paired = [row for row in open_months if row["paired"]]
+    if paired:
+        write_periods(legs.combined_sums(stored("landed/combined", paired)), f"{root}/combined_sums")
+        dims = {name: spark.read.parquet(f"{root}/dims/{name}") for name in ("airports", "aircraft")}
+        leg_table = legs.leg_table(
+            stored("landed/legs", paired), stored("combined_sums", paired), dimensions.aircraft(dims["aircraft"]), dimensions.airports(dims["airports"])
+        )
+        # a month without fares now may still have a folder of an earlier run
+        current = None if routes is None else stored("fares", paired)
+        counts = observed_write(mart.mart(leg_table, current), f"{root}/mart")
     late = {(row["year"], row["month"]) for row in failed}
-    built = [row for row in open_months if (row["year"], row["month"]) not in late]
+    built = [(row["year"], row["month"], row["impressao"]) for row in open_months if (row["year"], row["month"]) not in late]
     finished.replace(upsert(done, spark.createDataFrame(built, done.schema), PERIOD), allow_empty=True)
     return {**counts, "failed": len(late)}
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyledger import layout as L
-from skyledger.operators.dedup import last_rows
+from skyledger.operators.dedup import keep_last, last_rows
 from skyledger.operators.lookup import lookup_join
 
 # fixed values: fields of a manifest entry
@@ -46,15 +46,22 @@ def collected(manifest: DataFrame) -> DataFrame:
 # --- changing the manifest ---------------------------------------------------------------
 
 
-def register(manifest: DataFrame, updates: DataFrame, now: Column) -> DataFrame:
-    """Given fields replace the old ones; the first sighting stays; the last check is ``now``."""
+def register(manifest: DataFrame, updates: DataFrame, now: Column, order: Sequence[str] = ()) -> DataFrame:
+    """Fields that the updates have replace the old ones, also with a null; the first sighting stays; the
+    last check is ``now``.
+
+    Of several updates of a key the last by ``order`` counts, and of those that it leaves equal the one
+    with the greatest values.
+    """
     given = [name for name in _GIVEN if name in updates.columns]
-    new = updates.select("key", F.lit(True).alias("_new"), *[F.col(name).alias(f"_{name}") for name in given])
+    comparable = [name for name in given if not FIELDS[name].startswith("map")]
+    single = keep_last(updates.select("key", *dict.fromkeys([*given, *order])), ["key"], [*order, *comparable] or ["key"])
+    new = single.select("key", F.lit(True).alias("_new"), *[F.col(name).alias(f"_{name}") for name in given])
     both = manifest.join(new, "key", "full")
     return both.select(
         "key",
         *[
-            (F.coalesce(F.col(f"_{name}"), F.col(name)) if name in given else F.col(name)).alias(name)
+            (F.when(F.col("_new"), F.col(f"_{name}")).otherwise(F.col(name)) if name in given else F.col(name)).alias(name)
             for name in FIELDS if name in _GIVEN
         ],
         F.coalesce("coletado_em", now).alias("coletado_em"),

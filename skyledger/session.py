@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -24,6 +27,13 @@ def build_session(app: str = "skyledger", master: str | None = None, **extra: st
     return builder.getOrCreate()
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one; a local session without that setting gets a temporary one."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("spark.checkpoint.dir", "file://" + tempfile.mkdtemp(prefix="skyledger-", dir="/tmp"))
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach, named by the cluster in ``spark.checkpoint.dir``."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

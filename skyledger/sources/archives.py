@@ -12,6 +12,7 @@ import hashlib
 import io
 import sys
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -29,6 +30,8 @@ MEMBERS = (
     "path string, member string, bytes bigint, crc bigint, sha256 string, fingerprint string, status string"
 )
 _TARGETS = (".csv", ".txt")
+#: What reading a damaged member raises.
+UNREADABLE = (zipfile.BadZipFile, zlib.error, EOFError, OSError, NotImplementedError, RuntimeError)
 
 
 def files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
@@ -48,13 +51,20 @@ def _directory_hash(archive: zipfile.ZipFile) -> str:
 def _open(content: bytes) -> tuple[zipfile.ZipFile | None, str]:
     try:
         archive = zipfile.ZipFile(io.BytesIO(content))
-        if not archive.namelist():
-            return archive, "empty"
-        return archive, "corrupt_member" if archive.testzip() else "ok"
+        return archive, "ok" if archive.namelist() else "empty"
     except (zipfile.BadZipFile, EOFError, OSError):
         return None, "bad_zip"
 
 
+def _stream_hash(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> str:
+    """Content hash of a member, read as a stream; reading to its end also tests its checksum."""
+    digest = hashlib.sha256()
+    with archive.open(info) as stream:
+        while chunk := stream.read(1 << 20):
+            digest.update(chunk)
+    return digest.hexdigest()
+
+
 def _targets(archive: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
     return [i for i in archive.infolist() if not i.is_dir() and i.filename.lower().endswith(_TARGETS)]
 
@@ -63,34 +73,46 @@ def archive_members(archives: DataFrame) -> DataFrame:
     """One row per data member of each archive, or one row that tells why there is none.
 
     ``sha256`` is the content of the member, ``fingerprint`` that of the whole archive. A bare file
-    is its own only member.
+    is its own only member. A member whose checksum fails makes its archive ``corrupt_member``. Other
+    columns of ``archives``, such as the time of a file, are kept.
     """
+    kept = [name for name in archives.columns if name not in ("path", "content", "length")]
+    kinds = dict(archives.dtypes)
+    fields = MEMBERS + "".join(f", `{name}` {kinds[name]}" for name in kept)
+
+    def found(path: str, body: bytes) -> list[tuple]:
+        if path.lower().endswith(_TARGETS):
+            own = hashlib.sha256(body).hexdigest()
+            return [(path.rsplit("/", 1)[-1], len(body), None, own, own, "ok")]
+        archive, status = _open(body)
+        digest = _directory_hash(archive) if archive else None
+        if status == "ok":
+            targets = _targets(archive)
+            try:
+                rows = [
+                    (info.filename.rsplit("/", 1)[-1], info.file_size, info.CRC, _stream_hash(archive, info), digest, "ok")
+                    for info in targets
+                ]
+            except UNREADABLE:
+                rows, status = [], "corrupt_member"
+            else:
+                status = "no_target"
+            if rows:
+                return rows
+        return [(None, None, None, None, digest, status)]
 
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([
-            ("path", pa.string()), ("member", pa.string()), ("bytes", pa.int64()), ("crc", pa.int64()),
-            ("sha256", pa.string()), ("fingerprint", pa.string()), ("status", pa.string()),
-        ])
+        types = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
+        names = ["path", "member", "bytes", "crc", "sha256", "fingerprint", "status"]
         for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content")):
-                found, body = [], content.as_py()
-                if path.as_py().lower().endswith(_TARGETS):
-                    own = hashlib.sha256(body).hexdigest()
-                    row = (path.as_py(), path.as_py().rsplit("/", 1)[-1], len(body), None, own, own, "ok")
-                    yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row))], schema)
-                    continue
-                archive, status = _open(body)
-                digest = _directory_hash(archive) if archive else None
-                if status == "ok":
-                    for info in _targets(archive):
-                        own = hashlib.sha256(archive.read(info)).hexdigest()
-                        found.append((info.filename.rsplit("/", 1)[-1], info.file_size, info.CRC, own, digest, "ok"))
-                    status = "no_target"
-                found = found or [(None, None, None, None, digest, status)]
-                rows = [dict(zip(schema.names, (path.as_py(), *row))) for row in found]
-                yield pa.RecordBatch.from_pylist(rows, schema)
-
-    return archives.select("path", "content").mapInArrow(members, MEMBERS)
+            for at in range(batch.num_rows):
+                path = batch.column("path")[at].as_py()
+                rows = [(path, *row) for row in found(path, batch.column("content")[at].as_py())]
+                columns = [pa.array(values, kind) for values, kind in zip(zip(*rows), types)]
+                same = [batch.column(name).take(pa.array([at] * len(rows))) for name in kept]
+                yield pa.RecordBatch.from_arrays([*columns, *same], names=[*names, *kept])
+
+    return archives.select("path", "content", *kept).mapInArrow(members, fields)
 
 
 def _header(stream, encoding: str, skip: int) -> list[str]:
@@ -101,11 +123,11 @@ def _header(stream, encoding: str, skip: int) -> list[str]:
 
 
 def _parse(stream, names: Sequence[str], columns: Sequence[str], encoding: str) -> Iterator[tuple[pa.Table, list]]:
-    """Batches of the wanted columns, all text, with the lines that do not fit the header."""
+    """Batches of the wanted columns, all text, with place and text of the lines that do not fit the header."""
     bad: list = []
 
     def misfit(row):
-        bad.append((row.actual_columns, row.text))
+        bad.append((row.number - 1, row.actual_columns, row.text))
         return "skip"
 
     try:
@@ -119,8 +141,10 @@ def _parse(stream, names: Sequence[str], columns: Sequence[str], encoding: str)
                 strings_can_be_null=True, null_values=NULL_TOKENS,
             ),
         )
-    except pa.ArrowInvalid:  # a header and nothing below it
-        return
+    except pa.ArrowInvalid as error:
+        if "Empty CSV" in str(error):  # a header and nothing below it
+            return
+        raise
     for batch in reader:
         yield pa.Table.from_batches([batch]), bad[:]
         bad.clear()
@@ -135,20 +159,24 @@ def _padded(text: str, names: Sequence[str], columns: Sequence[str]) -> dict:
 
 
 def file_rows(
-    source: DataFrame, columns: Sequence[str], encoding: str = "cp1252", skip: int = 0
+    source: DataFrame, columns: Sequence[str], encoding: str = "cp1252", skip: int = 0, required: Sequence[str] = ()
 ) -> DataFrame:
     """Rows of all data members of archives, and of bare files, as text columns by header name.
 
-    Adds ``path``, ``member``, ``line`` (position in the file) and ``problem``: an unreadable archive
-    or a line with too many cells gives a row with a problem and no values, so one bad file never
-    stops the others. A short line is filled up with nulls.
+    Adds ``path``, ``member``, ``line`` (position below the header, from 0) and ``problem``. A row with a
+    problem has no values; its ``line`` is null if the problem is that of a whole file: an archive that
+    cannot be opened, a member that cannot be read or decoded to its end, that has no rows, or that
+    lacks one of the ``required`` columns. One bad file never stops the others. A short line is filled
+    up with nulls, a line with too many cells is a problem. With a column ``members`` in ``source`` only
+    the members named there are read.
     """
     columns = list(columns)
     extra = [("path", pa.string()), ("member", pa.string()), ("line", pa.int64()), ("problem", pa.string())]
     schema = pa.schema(extra + [(name, pa.string()) for name in columns])
     fields = "path string, member string, line bigint, problem string, " + ", ".join(f"`{n}` string" for n in columns)
+    chosen = "members" in source.columns
 
-    def members(path: str, content: bytes):
+    def streams(path: str, content: bytes):
         if path.lower().endswith(_TARGETS):
             yield path.rsplit("/", 1)[-1], io.BytesIO(content), None
             return
@@ -159,38 +187,61 @@ def file_rows(
         for info in targets:
             yield info.filename.rsplit("/", 1)[-1], archive.open(info), None
 
-    def rows(path: str, content: bytes) -> Iterator[pa.RecordBatch]:
-        for member, stream, trouble in members(path, content):
-            if trouble:
-                yield pa.RecordBatch.from_pylist([{"path": path, "problem": trouble}], schema)
+    def member_rows(path: str, member: str, stream) -> Iterator[pa.RecordBatch]:
+        names = _header(stream, encoding, skip)
+        lacking = [name for name in required if name not in names]
+        if lacking:
+            raise ValueError(f"missing columns: {', '.join(lacking)}")
+        line, seen, misfits = 0, 0, set()
+        for table, bad in _parse(stream, names, columns, encoding) if names else ():
+            misfits.update(number for number, _, _ in bad)
+            lines = []
+            while len(lines) < table.num_rows:  # misfits have numbers of their own in between
+                if line not in misfits:
+                    lines.append(line)
+                line += 1
+            n = len(lines)
+            filled = [
+                pa.array([path] * n, pa.string()), pa.array([member] * n, pa.string()),
+                pa.array(lines, pa.int64()), pa.nulls(n, pa.string()),
+            ]
+            if n:
+                yield from pa.Table.from_arrays(filled + [table[c] for c in columns], schema=schema).to_batches()
+            kept = []
+            for number, cells, text in bad:
+                short = cells is not None and cells < len(names)
+                values = _padded(text, names, columns) if short else {"problem": "too many cells"}
+                kept.append({"path": path, "member": member, "line": number, **values})
+                n += short
+            if kept:
+                yield pa.RecordBatch.from_pylist(kept, schema)
+            seen += n
+        if not seen:
+            raise ValueError("no rows")
+
+    def rows(path: str, content: bytes, wanted: set[str] | None) -> Iterator[pa.RecordBatch]:
+        for member, stream, trouble in streams(path, content):
+            if wanted is not None and member is not None and member not in wanted:
                 continue
-            line = 0
-            names = _header(stream, encoding, skip)
-            for table, bad in _parse(stream, names, columns, encoding) if names else ():
-                n = table.num_rows
-                filled = [
-                    pa.array([path] * n, pa.string()), pa.array([member] * n, pa.string()),
-                    pa.array(range(line, line + n), pa.int64()), pa.nulls(n, pa.string()),
-                ]
-                line += n
-                if n:
-                    for part in pa.Table.from_arrays(filled + [table[c] for c in columns], schema=schema).to_batches():
-                        yield part
-                if bad:
-                    kept = []
-                    for cells, text in bad:
-                        short = cells is not None and cells < len(names)
-                        values = _padded(text, names, columns) if short else {"problem": "too many cells"}
-                        kept.append({"path": path, "member": member, "line": line, **values})
-                        line += 1
-                    yield pa.RecordBatch.from_pylist(kept, schema)
+            if not trouble:
+                try:
+                    yield from member_rows(path, member, stream)
+                except UnicodeDecodeError:
+                    trouble = "undecodable"
+                except UNREADABLE:
+                    trouble = "unreadable"
+                except ValueError as error:
+                    trouble = str(error).splitlines()[0]
+            if trouble:
+                yield pa.RecordBatch.from_pylist([{"path": path, "member": member, "problem": trouble}], schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch.column("path"), batch.column("content")):
-                yield from rows(path.as_py(), content.as_py())
+            for at in range(batch.num_rows):
+                wanted = set(batch.column("members")[at].as_py() or ()) if chosen else None
+                yield from rows(batch.column("path")[at].as_py(), batch.column("content")[at].as_py(), wanted)
 
-    return source.select("path", "content").mapInArrow(run, fields)
+    return source.select("path", "content", *["members"] * chosen).mapInArrow(run, fields)
 
 
 def good_rows(rows: DataFrame) -> DataFrame:

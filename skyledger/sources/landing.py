@@ -12,7 +12,8 @@ from skyledger.operators.dedup import keep_first
 def discover(files: DataFrame, path: str = "path") -> DataFrame:
     """The movement and fare files among ``files``, with kind, year and month: one per kind and month.
 
-    ``2026-01`` in a name goes before ``202601``; other columns of the files are kept.
+    ``2026-01`` in a name goes before ``202601``, then the newest ``modificationTime`` where the files have
+    one, then the path; other columns of the files are kept.
     """
     name = F.lower(base_name(F.col(path)))
     movement = F.when(name.endswith(".txt"), F.regexp_extract(name, r"^(basica|combinada)\d{4}-?\d{2}", 1))
@@ -22,4 +23,6 @@ def discover(files: DataFrame, path: str = "path") -> DataFrame:
         "kind": F.when(movement != "", movement).when(fares.isNotNull(), F.concat(F.lit("tarifas/"), fares)),
         "year": F.year(period), "month": F.month(period), "_plain": ~name.rlike(r"\d{4}-\d{2}"),
     }).where(F.col("kind").isNotNull() & F.col("year").isNotNull())
-    return keep_first(found, ["kind", "year", "month"], ["_plain", path]).drop("_plain")
+    age = -F.unix_micros("modificationTime") if "modificationTime" in files.columns else F.lit(0)
+    order = ["_plain", "_age", path, *[name for name in ("path",) if name in files.columns and name != path]]
+    return keep_first(found.withColumn("_age", age), ["kind", "year", "month"], order).drop("_plain", "_age")

@@ -24,8 +24,12 @@ def links(pages: DataFrame, keep: list[str], html: str = "html", url: str = "url
 
 
 def inventory(pages: DataFrame, page_id: str, html: str = "html", url: str = "url") -> DataFrame:
-    """Segment, month and link of every archive on the pages; the last link of a month counts."""
-    found = links(pages, [page_id], html, url, L.ARCHIVE_NAME).select(
+    """Segment, month and link of every archive on the pages; the last link of a month counts.
+
+    Relative links start below the page: its URL is taken for a folder, with or without a slash at its end.
+    """
+    below = pages.select(page_id, html, F.when(F.col(url).endswith("/"), F.col(url)).otherwise(F.concat(F.col(url), F.lit("/"))).alias(url))
+    found = links(below, [page_id], html, url, L.ARCHIVE_NAME).select(
         F.lower(F.regexp_extract("link", L.ARCHIVE_NAME, 1)).alias("segment"),
         F.concat(F.regexp_extract("link", L.ARCHIVE_NAME, 2), F.regexp_extract("link", L.ARCHIVE_NAME, 3)).alias("ref"),
         F.col("link").alias("url"), page_id, "position",

@@ -15,7 +15,7 @@ BINARY = "path string, modificationTime timestamp, length bigint, content binary
 
 
 def land_new_files(
-    spark: SparkSession, inbox: str, root: str, kind: str, checkpoint: str | None = None, pattern: str | None = None
+    spark: SparkSession, inbox: str, root: str, checkpoint: str | None = None, pattern: str | None = None
 ):
     """Run over the files that have arrived since the last run, then stop; returns the query.
 
@@ -26,9 +26,9 @@ def land_new_files(
         reader = reader.option("pathGlobFilter", pattern)
 
     def land_batch(batch: DataFrame, _: int) -> None:
-        land(batch.sparkSession, root, kind, batch)
+        land(batch.sparkSession, root, batch)
 
-    place = checkpoint or f"{shared_folder(spark)}/skyledger-landing/{kind.replace('/', '-')}"
+    place = checkpoint or f"{shared_folder(spark)}/skyledger-landing"
     return (
         reader.load(inbox).writeStream.foreachBatch(land_batch).option("checkpointLocation", place).trigger(availableNow=True).start()
     )

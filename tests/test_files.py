@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from skyledger.operators.shape import trimmed_header
-from skyledger.sinks.tables import BOM, NothingToWrite, Snapshots, export_text, rate_table, write_periods
+from skyledger.sinks.tables import BOM, NothingToWrite, Snapshots, exists, export_text, rate_table, write_periods
 from skyledger.sources import archives, landing, pages, tables
 
 
@@ -65,7 +65,29 @@ def test_rows_by_header_name(spark, folder):
     assert ("m.csv", None, "short") in [(r["member"], r["a"], r["b"]) for r in rows]
     assert [(r["a"], r["b"]) for r in rows if r["member"] == "bare.txt"] == [("ü", None)]
     issues = archives.run_issues(archives.file_rows(archives.files(spark, folder), ["a"])).collect()
-    assert sorted((r["path"].rsplit("/", 1)[-1], r["problem"], r["lines"]) for r in issues) == [("bad.zip", "bad_zip", 1), ("z.zip", "too many cells", 1)]
+    assert sorted((r["path"].rsplit("/", 1)[-1], r["problem"], r["lines"]) for r in issues) == [
+        ("bad.zip", "bad_zip", 1), ("z.zip", "no rows", 1), ("z.zip", "no rows", 1), ("z.zip", "too many cells", 1)]
+    lines = {r["line"]: r["problem"] for r in rows if r["member"] == "m.csv"}
+    assert lines == {0: None, 1: None, 2: None, 3: "too many cells", 4: None}
+
+
+def test_one_bad_file_stops_no_other(spark, folder):
+    pack(Path(folder) / "z.zip", {
+        "ok.csv": b"a;b\r\n1;2\r\n", "byte.csv": b"a;b\r\n1;\x81\r\n", "less.csv": b"a\r\n1\r\n", "empty.csv": b"a;b\r\n", "skipped.csv": b"a;b\r\n8;8\r\n"})
+    source = archives.files(spark, folder).withColumn("members", F.array(*map(F.lit, ["ok.csv", "byte.csv", "less.csv", "empty.csv"])))
+    rows = archives.file_rows(source, ["a", "b"], required=["a", "b"]).collect()
+    assert sorted((r["member"], r["a"], r["problem"], r["line"]) for r in rows if r["member"] == "ok.csv") == [("ok.csv", "1", None, 0)]
+    assert {r["member"]: (r["problem"], r["line"]) for r in rows if r["problem"]} == {
+        "byte.csv": ("undecodable", None), "less.csv": ("missing columns: b", None), "empty.csv": ("no rows", None)}
+
+
+def test_lines_keep_their_place(spark, folder):
+    body = "a;b\n" + "".join("1;2;3\n" if k % 1000 == 7 else "short\n" if k % 500 == 9 else f"{k};x\n" for k in range(300_000))
+    pack(Path(folder) / "z.zip", {"m.csv": body.encode()})
+    rows = archives.file_rows(archives.files(spark, folder), ["a", "b"])
+    assert rows.where("b = 'x' and cast(a as bigint) <> line").count() == 0
+    assert rows.where("a = 'short' and line % 500 <> 9 or problem is not null and line % 1000 <> 7").count() == 0
+    assert rows.select("line").distinct().count() == 300_000
 
 
 def test_large_member_comes_in_batches(spark, folder):
@@ -112,12 +134,26 @@ def test_discover_prefers_the_dashed_name(spark):
         ("tarifas/dom", 2026, 5, "202605 (1).CSV"), ("tarifas/int", 2025, 12, "INTERNACIONAL_2025-12.CSV")]
 
 
+def test_discover_takes_the_newest_publication(spark):
+    rows = [("b.zip", "basica2026-05.txt", 2), ("a.zip", "basica2026-05.txt", 1), ("c.zip", "basica202605.txt", 3), ("z.zip", "voos.csv", 9)]
+    files = spark.createDataFrame(rows, "path string, member string, t int").withColumn("modificationTime", F.timestamp_seconds("t"))
+    got = landing.discover(files, "member").collect()
+    assert [(r["path"], r["member"]) for r in got] == [("b.zip", "basica2026-05.txt")]
+
+
+def test_page_with_a_slash_at_its_end(spark):
+    html = "<a href='x/basica2026-05.zip'>a</a><a href='../combinada202605.zip'>b</a>"
+    pages_table = spark.createDataFrame([(1, html, "https://h.example/p/q/")], "id int, html string, url string")
+    got = {r["segment"]: r["url"] for r in pages.inventory(pages_table, "id").collect()}
+    assert got == {"basica": "https://h.example/p/q/x/basica2026-05.zip", "combinada": "https://h.example/p/combinada202605.zip"}
+
+
 def test_pages(spark):
     html = ("<a href='x/basica2026-05.zip?v=1'>a</a><A HREF=\"/y/Basica202605.ZIP\">b</A><a href='combinada2026-05.zip'>c</a>"
             "<a href='basica.zip'>d</a><p>Atualizado  em: <b>01/02/2026</b> às 10:30</p><p>publicado em 1/1/2026</p>")
     page = spark.createDataFrame([(1, html, "https://h.example/p/q")], "id int, html string, url string")
     got = {r["segment"]: (r["ref"], r["url"]) for r in pages.inventory(page, "id").collect()}
-    assert got == {"basica": ("202605", "https://h.example/y/Basica202605.ZIP"), "combinada": ("202605", "https://h.example/p/combinada2026-05.zip")}
+    assert got == {"basica": ("202605", "https://h.example/y/Basica202605.ZIP"), "combinada": ("202605", "https://h.example/p/q/combinada2026-05.zip")}
     row = pages.page_dates(page, ["id"]).head()
     assert (row["published"], row["updated"]) == ("1/1/2026", "01/02/2026 10:30")
     assert pages.page_dates(page.withColumn("html", F.lit("none")), ["id"]).head()["updated"] is None
@@ -137,6 +173,22 @@ def test_snapshots(spark, folder):
     assert book.read().count() == 2
 
 
+def test_old_versions_are_retired(spark, folder):
+    book = Snapshots(spark, folder + "/t")
+    for n in range(1, 6):
+        book.replace(spark.range(n))
+    assert book.retire(2) == 3 and book.retire(2) == 0
+    assert book.read().count() == 5 and not (Path(folder) / "t/v3").exists() and (Path(folder) / "t/v4").exists()
+
+
+def test_a_damaged_table_is_not_an_absent_one(spark, folder):
+    assert not exists(spark, folder + "/none")
+    (Path(folder) / "bad").mkdir()
+    (Path(folder) / "bad/part-0.parquet").write_bytes(b"this is no table at all")
+    with pytest.raises(Exception):
+        exists(spark, folder + "/bad")
+
+
 def test_periods_are_replaced_one_by_one(spark, folder):
     path = folder + "/p"
     ddl = "year int, month int, v int"

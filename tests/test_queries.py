@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from skyledger.bindings import all_queries, all_sql
 from tests.conftest import SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -29,7 +30,8 @@ def rows(table, names):
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(all_queries()) == set(all_sql())
+    assert set(all_queries()) <= set(entry.queries()) and set(all_sql()) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
@@ -37,12 +39,12 @@ def test_entry(spark):
     assert result.count() > 0 and result.columns[0] == "Key"
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query(spark, database, name):
-    result = entry.queries()[name](spark, SMALL)
+    result = all_queries()[name](spark, SMALL)
     names = sorted(result.columns)
     got = result.select(*[f"`{n}`" for n in names]).toArrow()
-    expected = database.execute(entry.oracle_sql()[name]).to_arrow_table()
+    expected = database.execute(all_sql()[name]).to_arrow_table()
     assert sorted(expected.column_names) == names
     assert got.num_rows == expected.num_rows > 0
     assert rows(got, names) == rows(expected, names)

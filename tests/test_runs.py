@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import date
 from pathlib import Path
 
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from skyledger import layout as L
 from skyledger.plans import runs
-from skyledger.sinks.tables import NothingToWrite, Snapshots
+from skyledger.sinks.tables import Snapshots
 from skyledger.sources import archives
 from skyledger.streaming.landing import land_new_files
 from tests.test_files import pack
@@ -46,8 +47,7 @@ def month(inbox: Path, m: int, paid: str = "5"):
 
 
 def land_all(spark, root, inbox):
-    for kind in runs.LANDING:
-        runs.land(spark, root, kind, archives.files(spark, str(inbox)))
+    return runs.land(spark, root, archives.files(spark, str(inbox)))
 
 
 def inbox(root: str, name: str) -> Path:
@@ -147,8 +147,67 @@ def test_schedule_freeze_and_running_year(spark, root):
     # an empty schedule file does not replace anything
     empty = inbox(root, "in4")
     schedule_file(empty)
-    with pytest.raises(NothingToWrite):
-        runs.land_schedule(spark, root, archives.files(spark, str(empty)))
+    before = Snapshots(spark, f"{root}/landed/schedule").version()
+    assert not runs.land_schedule(spark, root, archives.files(spark, str(empty)))
+    assert Snapshots(spark, f"{root}/landed/schedule").version() == before
+    assert spark.read.parquet(f"{root}/run_issues").where("problem = 'no rows'").count() == 1
+
+
+def test_the_newest_schedule_alone_is_landed(spark, root):
+    plans = inbox(root, "in1")
+    for name, number, when in (("new", "8", 2_000_000_000), ("old", "9", 1_000_000_000)):
+        (plans / name).mkdir()
+        schedule_file(plans / name, flight(flight=number))
+        os.utime(plans / name / "voos.zip", (when, when))
+    assert runs.land_schedule(spark, root, archives.files(spark, str(plans)))
+    landed = Snapshots(spark, f"{root}/landed/schedule").read()
+    assert [r[L.SCHEDULE_RAW["flight"]] for r in landed.collect()] == ["8"]
+
+
+def test_what_cannot_be_read_changes_nothing(spark, root):
+    first = inbox(root, "in1")
+    month(first, 1)
+    month(first, 2)
+    assert land_all(spark, root, first) == 6
+    index = Snapshots(spark, f"{root}/index").read().collect()
+    # the same files again: none is read
+    assert land_all(spark, root, first) == 0
+    again = inbox(root, "in2")
+    put(again, "empty.zip", "basica2026-01.txt", L.LEG_RAW)
+    pack(again / "byte.zip", {"combinada2026-01.txt": b";".join(c.encode() for c in L.COMBINED_RAW) + b"\r\n\x81;\r\n"})
+    put(again, "less.zip", "202601.CSV", ["nr_ano_referencia", "nr_mes_referencia"], {"nr_ano_referencia": "2026", "nr_mes_referencia": "1"})
+    month_two = dict(dt_referencia="2026-02-07", dt_partida_real="2026-02-07", dt_chegada_real="07/02/2026", nr_ano_mes_partida_real="202602")
+    put(again, "good.zip", "basica2026-02.txt", L.LEG_RAW, leg(**month_two))
+    (again / "page.zip").write_bytes(b"<html>")
+    assert land_all(spark, root, again) == 1
+    issues = spark.read.parquet(f"{root}/run_issues").collect()
+    assert sorted((r["path"].rsplit("/", 1)[-1], r["problem"][:15], r["lines"]) for r in issues) == [
+        ("byte.zip", "undecodable", 1), ("empty.zip", "no rows", 1), ("less.zip", "missing columns", 1), ("page.zip", "bad_zip", 1)]
+    later = {(r["folder"], r["month"]): r["impressao"] for r in Snapshots(spark, f"{root}/index").read().collect()}
+    changed = [key for key, own in later.items() if own != {(r["folder"], r["month"]): r["impressao"] for r in index}[key]]
+    assert changed == [("legs", 2)]
+    assert spark.read.parquet(f"{root}/landed/legs").where("month = 1").count() == 2
+    assert spark.read.parquet(f"{root}/landed/legs").where("month = 2").count() == 1
+
+
+def test_the_newest_publication_counts(spark, root):
+    first = inbox(root, "in1")
+    for name, number, when in (("a", "1", 1_000_000_000), ("b", "2", 2_000_000_000)):
+        put(first, f"{name}.zip", "basica2026-01.txt", L.LEG_RAW, leg(nr_voo=number))
+        os.utime(first / f"{name}.zip", (when, when))
+    assert land_all(spark, root, first) == 1
+    assert [r["nr_voo"] for r in spark.read.parquet(f"{root}/landed/legs").collect()] == ["2"]
+
+
+def test_fares_without_movements_are_published(spark, root):
+    first = inbox(root, "in1")
+    month(first, 1)
+    put(first, "dom3.zip", "202603.CSV", L.FARE_RAW, fare(nr_mes_referencia="3"))
+    land_all(spark, root, first)
+    assert runs.fill_in(spark, root)["rows"] == 4
+    table = spark.read.parquet(f"{root}/fares")
+    assert set(L.FARE_COLUMNS) <= set(table.columns) and sorted(r["month"] for r in table.select("month").distinct().collect()) == [1, 3]
+    assert runs.fill_in(spark, root)["rows"] == 0
 
 
 def test_stream_lands_what_a_batch_lands(spark, root, folder):
@@ -156,8 +215,7 @@ def test_stream_lands_what_a_batch_lands(spark, root, folder):
     month(first, 1)
     land_all(spark, f"{root}/batch", first)
     for _ in range(2):  # the second run has no new files
-        for kind in runs.LANDING:
-            land_new_files(spark, str(first), f"{root}/stream", kind, f"{root}/ck/{kind}").awaitTermination(120)
+        land_new_files(spark, str(first), f"{root}/stream", f"{root}/ck").awaitTermination(120)
     for place in ("legs", "combined", "fares_dom"):
         columns = spark.read.parquet(f"{root}/batch/landed/{place}").columns
         both = [spark.read.parquet(f"{root}/{how}/landed/{place}").select(columns) for how in ("batch", "stream")]
@@ -165,5 +223,5 @@ def test_stream_lands_what_a_batch_lands(spark, root, folder):
     month(first, 2)
     for name in ("basica2.zip", "combinada2.zip", "dom2.zip"):
         assert (first / name).exists()
-    land_new_files(spark, str(first), f"{root}/stream", "basica", f"{root}/ck/basica").awaitTermination(120)
+    land_new_files(spark, str(first), f"{root}/stream", f"{root}/ck").awaitTermination(120)
     assert spark.read.parquet(f"{root}/stream/landed/legs").select("month").distinct().count() == 2
