@@ -72,6 +72,11 @@ def inventory_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.changed_size(inventory(spark, sf_dir).drop("impressao"), manifest(spark, sf_dir))
 
 
+def collection_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What to fetch of all documents on offer, and why."""
+    return state.collection_plan(inventory(spark, sf_dir), manifest(spark, sf_dir), oldest_year=None)
+
+
 def inventory_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.inventory_totals(inventory(spark, sf_dir))
 
@@ -225,6 +230,7 @@ QUERIES = {
     "inventory_backfill": inventory_backfill,
     "inventory_gaps": inventory_gaps,
     "inventory_changed": inventory_changed,
+    "collection_plan": collection_plan,
     "inventory_totals": inventory_totals,
     "manifest_classify": manifest_classify,
     "manifest_upsert": manifest_upsert,
@@ -277,6 +283,14 @@ SQL = {
     "inventory_changed": f"""
         select segment, ref, bytes, bytes_zip as bytes_before from {_INVENTORY} join {_MANIFEST} using (segment, ref)
         where quality = 1 and bytes_zip > 0 and bytes <> bytes_zip""",
+    "collection_plan": f"""{_OPEN}
+        select segment, ref, 'new' as reason from missing where ref > newest
+        union all
+        select segment, ref, 'first run' from (
+          select * from missing where newest is null qualify row_number() over (partition by segment order by ref desc) <= 12)
+        union all
+        select segment, ref, 'size' from {_INVENTORY} join {_MANIFEST} using (segment, ref)
+        where quality = 1 and bytes_zip > 0 and bytes <> bytes_zip""",
     "inventory_totals": f'select segment, count(*) as total, min(ref) as first, max(ref) as last from {_INVENTORY} group by all',
     "manifest_classify": f"""
         select i.segment || '/' || i.ref as key, case when bytes < 100 then 'indisponivel' when m.impressao is null then 'novo'

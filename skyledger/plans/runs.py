@@ -115,6 +115,23 @@ def land_schedule(spark: SparkSession, root: str, inbox: DataFrame) -> bool:
     return True
 
 
+def collect(spark: SparkSession, root: str, inventory: DataFrame, fetched: DataFrame | None = None) -> DataFrame:
+    """Note what has been fetched, then plan what to fetch next: ``segment, ref, reason``.
+
+    ``inventory`` has the refs on offer with their size (``state.inventory`` columns); ``fetched`` has key, ``impressao``,
+    ``failure`` and any other manifest field of what came in since the last run. Its state is told by the fingerprint
+    against the manifest. Running again without anything new plans the same and changes no state.
+    """
+    book, manifest = _table(spark, f"{root}/manifest", state.MANIFEST)
+    if fetched is not None:
+        now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
+        book.replace(state.register(manifest, state.classify(fetched, manifest).drop("failure"), now))
+        manifest = book.read()
+    plan = Snapshots(spark, f"{root}/collection_plan")
+    plan.replace(state.collection_plan(inventory, manifest).withColumn("planned", F.current_timestamp()), allow_empty=True)
+    return plan.read().drop("planned")
+
+
 def available_months(index: DataFrame) -> DataFrame:
     """Months that have both movement files or fares, with one fingerprint over all their files; ``paired`` tells
     whether the movements are there."""

@@ -153,6 +153,20 @@ def changed_size(inventory: DataFrame, manifest: DataFrame) -> DataFrame:
     return both.where(F.col("bytes") != F.col("bytes_before"))
 
 
+def collection_plan(
+    inventory: DataFrame, manifest: DataFrame, first_run: int = L.FIRST_RUN_MONTHS, oldest_year: int | None = L.OLDEST_YEAR
+) -> DataFrame:
+    """What a collection run has to fetch, and why: refs above the newest known one (``new``), the last few of a segment
+    on its first run (``first run``), and known refs whose announced size is another one (``size``). The year floor holds
+    for all of them."""
+    visible = inventory if oldest_year is None else inventory.where(F.left("ref", F.lit(4)).cast("int") >= oldest_year)
+    started = known_refs(visible, manifest).select("segment").distinct().withColumn("_started", F.lit(True))
+    fresh = lookup_join(refs_to_collect(visible, manifest, first_run=first_run, oldest_year=None), started, {"segment": "segment"})
+    why = F.when(F.col("_started"), "new").otherwise("first run")
+    moved = changed_size(visible, collected(manifest))
+    return fresh.select("segment", "ref", why.alias("reason")).unionByName(moved.select("segment", "ref", F.lit("size").alias("reason")))
+
+
 def inventory_totals(inventory: DataFrame) -> DataFrame:
     return inventory.groupBy("segment").agg(
         F.count("*").alias("total"), F.min("ref").alias("first"), F.max("ref").alias("last")

@@ -5,7 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from skyledger.plans import state
+from skyledger.plans import runs, state
+from skyledger.sinks.tables import Snapshots
 
 
 def manifest(spark, **entries):
@@ -121,6 +122,30 @@ def test_register_keeps_the_first_sighting(spark):
     assert sorted(map(str, again.collect())) == sorted(map(str, once.collect()))
 
 
+def test_register_sets_nulls_and_takes_the_last_update(spark):
+    known = manifest(spark, a__1={"publicado_em": "d1", "situacao": "novo", "coletado_em": "t0"}, a__2={"publicado_em": "d2", "coletado_em": "t0"})
+    updates = spark.createDataFrame([("a/1", None, 2), ("a/1", "d9", 1), ("b/1", "x", 1), ("b/1", "y", 2)], "key string, publicado_em string, n int")
+    got = {r["key"]: (r["publicado_em"], r["situacao"]) for r in state.register(known, updates, F.lit("t1"), ["n"]).collect()}
+    assert got == {"a/1": (None, "novo"), "a/2": ("d2", None), "b/1": ("y", None)}
+    assert state.register(known, updates.drop("n"), F.lit("t1")).count() == 3
+
+
+def test_collection_run_twice(spark, folder):
+    offer = spark.createDataFrame([("basica", f"2026{m:02d}", 10 + m) for m in range(1, 7)], "segment string, ref string, bytes bigint")
+    first = sorted(map(tuple, runs.collect(spark, folder, offer).collect()))
+    assert first == [("basica", f"2026{m:02d}", "first run") for m in range(1, 7)]
+    got = spark.createDataFrame(
+        [(f"basica/2026{m:02d}", f"h{m}", None, 10 + m) for m in range(1, 5)] + [("basica/202605", None, "erro", None)],
+        "key string, impressao string, failure string, bytes_zip bigint")
+    for _ in range(2):  # the second time changes nothing
+        plan = sorted(map(tuple, runs.collect(spark, folder, offer, got).collect()))
+        assert plan == [("basica", "202605", "new"), ("basica", "202606", "new")]
+    states = {r["key"]: r["situacao"] for r in Snapshots(spark, f"{folder}/manifest").read().collect()}
+    assert states == {**{f"basica/2026{m:02d}": "inalterado" for m in range(1, 5)}, "basica/202605": "erro"}
+    larger = offer.withColumn("bytes", F.col("bytes") + F.when(F.col("ref") == "202602", 5).otherwise(0))
+    assert ("basica", "202602", "size") in list(map(tuple, runs.collect(spark, folder, larger).collect()))
+
+
 def test_forget_presets(spark):
     known = manifest(spark, **{k: {"situacao": "novo"} for k in ("basica__202605", "basica__202606", "combinada__202606", "siros__voos", "tarifas__dom__2026", "tarifas__int__2025")})
     today = F.to_date(F.lit("2027-01-15"))
