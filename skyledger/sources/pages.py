@@ -10,13 +10,29 @@ from skyledger.functions.text import absolute_link, folded, without_tags
 from skyledger.operators.dedup import keep_last
 
 
+def link_targets(html: Column) -> Column:
+    """What stands between quotes behind each ``href =``, in page order."""
+
+    def quoted_value(part: Column) -> Column:
+        value = F.ltrim(part)
+        inside = F.ltrim(F.substr(value, F.lit(2)))
+        mark = F.left(inside, F.lit(1))
+        rest = F.substr(inside, F.lit(2))
+        closed = value.startswith("=") & mark.isin("'", '"') & (F.instr(rest, "'") + F.instr(rest, '"') > 0) & F.contains(rest, mark)
+        return F.when(closed, F.split_part(rest, mark, F.lit(1)))
+
+    parts = F.split(F.regexp_replace(html, r"\s+", " "), "(?i)href")
+    behind = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+    return F.filter(F.transform(behind, quoted_value), lambda value: value != "")
+
+
 def links(pages: DataFrame, keep: list[str], html: str = "html", url: str = "url", ending: str | None = None) -> DataFrame:
     """Every link of each page in page order (``position``), resolved and without its query.
 
     ``ending`` is a pattern for the end of a link; it is tried before the link is resolved, which does
     not change its last part.
     """
-    found = F.posexplode(F.regexp_extract_all(F.col(html), F.lit(L.HREF), F.lit(1))).alias("position", "href")
+    found = F.posexplode(link_targets(F.col(html))).alias("position", "href")
     hits = pages.select(*keep, F.col(url).alias("_page"), found)
     if ending:
         hits = hits.where(F.split_part("href", F.lit("?"), F.lit(1)).rlike(ending))
@@ -37,26 +53,61 @@ def inventory(pages: DataFrame, page_id: str, html: str = "html", url: str = "ur
     return keep_last(found, ["segment", "ref"], [page_id, "position", "url"]).select("segment", "ref", "url")
 
 
+def _words(html: Column) -> Column:
+    """The words that a page shows."""
+    return F.split(F.trim(F.regexp_replace(without_tags(html), r"\s+", " ")), " ")
+
+
 def page_dates(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
-    """Publication and update dates shown on a page, the last one of each label; null if not shown."""
-    marks = F.regexp_extract_all(without_tags(F.col(html)), F.lit(L.PAGE_DATE), F.lit(0))
+    """Publication and update dates shown on a page, the last one of each label; null if not shown.
+
+    A label is a word, followed by ``em`` and a day, and behind it perhaps a time; colons and dashes between them do
+    not count.
+    """
+    shown = F.regexp_replace(without_tags(F.col(html)), r"[:\-](?=\s|$)|(?<=\s)[:\-]", " ")
+    words = pages.select(*keep, _words(shown).alias("words"))
+
+    def dated(at: Column) -> Column:
+        day, link, hour = (F.get(F.col("words"), at + k) for k in (2, 3, 4))
+        time = F.when(F.lower(link).isin("as", "às"), hour).otherwise(link)
+        clock = F.try_to_timestamp(F.translate(F.lower(time), "h", ":"), F.lit("H:mm"))
+        return F.concat_ws(" ", day, F.when(clock.isNotNull(), time))
 
     def last(label: str) -> Column:
-        mark = F.try_element_at(F.filter("marks", lambda text: F.lower(text).startswith(label)), F.lit(-1))
-        parts = F.concat_ws(" ", F.regexp_extract(mark, L.PAGE_DATE, 2), F.regexp_extract(mark, L.PAGE_DATE, 3))
-        return F.when(mark.isNotNull(), F.trim(parts))
+        def hit(word: Column, at: Column) -> Column:
+            day = F.try_to_timestamp(F.get(F.col("words"), at + 2), F.lit("d/M/yyyy"))
+            is_one = (F.lower(word) == label) & (F.lower(F.get(F.col("words"), at + 1)) == "em") & day.isNotNull()
+            return F.when(is_one, at)
+
+        places = F.filter(F.transform("words", hit), lambda at: at.isNotNull())
+        place = F.try_element_at(places, F.lit(-1))
+        return F.when(place.isNotNull(), dated(place))
 
-    found = pages.select(*keep, marks.alias("marks"))
-    return found.select(*keep, last("publicado").alias("published"), last("atualizado").alias("updated"))
+    return words.select(*keep, last("publicado").alias("published"), last("atualizado").alias("updated"))
 
 
 def listing(pages: DataFrame, keep: list[str], html: str = "html") -> DataFrame:
-    """Name, time and size of each archive in a directory listing."""
-    items = F.regexp_extract_all(without_tags(F.col(html)), F.lit(L.LISTING_ITEM), F.lit(0))
-    day, time, size, name = (F.regexp_extract("item", L.LISTING_ITEM, i) for i in (1, 2, 3, 4))
-    return pages.select(*keep, F.explode(items).alias("item")).select(
-        *keep, name.alias("name"), F.concat_ws(" ", day, time).alias("published_at"), size.cast("bigint").alias("bytes")
-    )
+    """Name, time and size of each archive in a directory listing.
+
+    In front of the name of an archive stand its size, a time with ``AM`` or ``PM`` (one word or two) and a day; what does
+    not read as such is no item.
+    """
+    words = pages.select(*keep, _words(F.col(html)).alias("words"))
+
+    def item(name: Column, at: Column) -> Column:
+        size, near, far, farther = (F.get(F.col("words"), at - k) for k in (1, 2, 3, 4))
+        split_time = F.upper(near).isin("AM", "PM")
+        time = F.when(split_time, F.concat_ws(" ", far, near)).otherwise(near)
+        day = F.when(split_time, farther).otherwise(far)
+        clock = F.regexp_replace(F.upper(time), r"\s*([AP]M)$", " $1")
+        moment = F.try_to_timestamp(F.concat_ws(" ", day, clock), F.lit("M/d/yyyy h:mm a"))
+        found = F.struct(
+            name.alias("name"), F.concat_ws(" ", day, time).alias("published_at"), size.try_cast("bigint").alias("bytes")
+        )
+        return F.when(F.lower(name).endswith(".zip") & moment.isNotNull() & size.try_cast("bigint").isNotNull(), found)
+
+    items = F.filter(F.transform("words", item), lambda found: found.isNotNull())
+    return words.select(*keep, F.explode(items).alias("item")).select(*keep, "item.*")
 
 
 def publications(rows: DataFrame, keep: list[str], header: str = "header", cells: str = "cells") -> DataFrame:
@@ -74,7 +125,7 @@ def publications(rows: DataFrame, keep: list[str], header: str = "header", cells
         *keep, F.transform(header, folded).alias("titles"), F.col(cells).alias("cells")
     )
     dated = titled.withColumn("published_at", cell(L.PUBLICATION_HEADERS["published_at"])).where(
-        F.col("published_at").rlike(L.PUBLICATION_STAMP)
+        F.coalesce(*[F.try_to_timestamp("published_at", F.lit(form)) for form in ("d/M/yyyy H:m:s", "d/M/yyyy H:m")]).isNotNull()
     )
     others = [cell(title).alias(name) for name, title in L.PUBLICATION_HEADERS.items() if name != "published_at"]
     found = dated.select(*keep, "published_at", *others)
