@@ -8,6 +8,7 @@ has been landed, with its content hash), ``staging`` (what a run has just parsed
 
 from __future__ import annotations
 
+from calendar import monthrange
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -252,15 +253,26 @@ def market_tables(spark: SparkSession, root: str, extracted: date) -> None:
 
 
 def refresh_running_year(spark: SparkSession, root: str, year: int) -> dict[str, int] | None:
-    """History and scheduled flights of the running year; without a schedule the old table stays."""
+    """Replace the scheduled flights of the running year; its closed months stay as they are in the mart.
+
+    Without a schedule or without months of that year the old flights stay.
+    """
     current = Snapshots(spark, f"{root}/schedule")
     if not current.present() or not exists(spark, f"{root}/mart"):
         return None
     history = spark.read.parquet(f"{root}/mart")
-    if years.year_table(history, year).isEmpty():
+    closed = years.year_table(history, year).agg(F.max("month").alias("month")).head()["month"]  # of the folder names
+    if closed is None:
         return None
+    cutoff = F.lit(date(year, closed, monthrange(year, closed)[1]))
     after, added = Observation("after"), Observation("added")
-    whole = years.running_year(history, current.read(), year, counts=(after, added))
-    # written without the check for emptiness, which would run the plan twice: history has rows
-    Snapshots(spark, f"{root}/running_year").replace(whole, allow_empty=True)
+    future = years.future_flights(history, current.read(), year, counts=(after, added), cutoff=cutoff)
+    # written without the check for emptiness, which would run the plan twice
+    Snapshots(spark, f"{root}/running_year").replace(future, allow_empty=True)
     return {"after_cutoff": after.get["rows"], "added": added.get["rows"]}
+
+
+def running_year(spark: SparkSession, root: str, year: int) -> DataFrame:
+    """The closed months of the mart and the scheduled flights: a view, history is stored once."""
+    future = Snapshots(spark, f"{root}/running_year").read()
+    return years.running_year(spark.read.parquet(f"{root}/mart"), future, year, future=future)

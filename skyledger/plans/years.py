@@ -70,22 +70,31 @@ def without_known(
     return fresh.drop(*[f"_s{i}" for i in range(len(plain))])
 
 
-def running_year(
+def future_flights(
     history: DataFrame, schedule: DataFrame, year: int, columns: Sequence[str] = L.MART_COLUMNS,
-    counts: tuple[Observation, Observation] | None = None,
+    counts: tuple[Observation, Observation] | None = None, cutoff: Column | None = None,
 ) -> DataFrame:
-    """The closed months of a year and, from the next day on, the scheduled flights.
+    """The scheduled flights from the day after the closed months of a year on, in the columns of history.
 
-    History gives the types; a column the schedule does not have is null in its rows. ``counts`` are
-    told the flights after the cutoff and those of them that are not in history, while the result is
-    written.
+    A column the schedule does not have is null. ``counts`` are told the flights after the cutoff and those of
+    them that are not in history, while the result is written. With a ``cutoff`` that is a plain date the history
+    rows past it are picked by the scan.
     """
     closed = year_table(history, year)
-    cutoff = closed_through(closed)
+    cutoff = closed_through(closed) if cutoff is None else cutoff
     after = after_cutoff(schedule, cutoff)
     if counts:
         after = after.observe(counts[0], F.count("*").alias("rows"))
     future = without_known(after, closed, L.BORDER_KEY, "Data", cutoff)
     if counts:
         future = future.observe(counts[1], F.count("*").alias("rows"))
-    return align(closed, columns).unionByName(align(future, columns, closed.schema))
+    return align(future, columns, closed.schema)
+
+
+def running_year(
+    history: DataFrame, schedule: DataFrame, year: int, columns: Sequence[str] = L.MART_COLUMNS, future: DataFrame | None = None
+) -> DataFrame:
+    """The closed months of a year and, from the next day on, the scheduled flights (``future``, if they have been
+    stored). History gives the types."""
+    flights = future_flights(history, schedule, year, columns) if future is None else future
+    return align(year_table(history, year), columns).unionByName(flights.select(*[quoted(name) for name in columns]))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from skyledger.bindings import all_queries
 from skyledger.bindings.raw import table
@@ -68,6 +70,17 @@ def test_one_view_folds_the_other_away(spark):
     assert "Generate" not in text and "Union" not in text
 
 
+def test_the_cutoff_reaches_the_scan_of_a_stored_mart(spark, folder):
+    rows = table(spark, SMALL, "orders").select(
+        F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), F.lit("GLO").alias("Airline Icao"), F.col("o_custkey").cast("string").alias("Voo"),
+        F.lit("A").alias("Aero Icao"), F.lit("B").alias("OD Icao"), F.col("o_orderdate").cast("date").alias("Data"))
+    rows.write.partitionBy("year", "month").parquet(folder + "/m")
+    mart = spark.read.parquet(folder + "/m")
+    future = years.future_flights(mart, mart.drop("year", "month"), 1997, ["Voo", "Data"], cutoff=F.lit(date(1997, 6, 30)))
+    text = plan(future)
+    assert "GreaterThan(Data,1997-06-30)" in text and "PartitionFilters: [isnotnull(year" in text
+
+
 def test_year_is_a_partition_filter(spark, folder):
     table(spark, SMALL, "orders").selectExpr("*", "year(o_orderdate) as year", "month(o_orderdate) as month").write.partitionBy("year", "month").parquet(folder + "/m")
     mart = spark.read.parquet(folder + "/m")
