@@ -52,20 +52,40 @@ _SCOPES = frozenset("ul ol dl table article section main div body aside nav foot
 _WORDS = re.compile("[a-z]+")
 
 
+_CLOSES: dict[str, list[str]] = {}
+for _name, _enders in _CLOSED_BY.items():
+    for _ender in _enders:
+        _CLOSES.setdefault(_ender, []).append(_name)
+_UNFINISHED = re.compile("<[a-zA-Z/!?]")
+
+
 class _Lines(HTMLParser):
-    """Lines of a page: text, tags, characters inside links, the open containers, and whether the purpose is another."""
+    """Lines of a page: text, tags, characters inside links, the open containers, and whether the purpose is another.
+
+    Open elements are found by name, so an element costs no more for the depth it is in.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool, bool, int]] = []  # element, silent, other purpose, container
+        self.depths: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
         self.parents: list[int] = [-1]
         self.lines: list[tuple[str, int, int, int, bool]] = []
         self.parts: list[str] = []
-        self.tags = self.linked = self.articles = 0
+        self.tags = self.linked = 0
+
+    def parse_html_declaration(self, i: int) -> int:
+        # a marked section is no HTML: all up to the next ">" is a comment
+        return self.parse_bogus_comment(i) if self.rawdata.startswith("<![", i) else super().parse_html_declaration(i)
 
     def _state(self) -> tuple[bool, bool, int]:
         return self.open[-1][1:] if self.open else (False, False, 0)
 
+    def _innermost(self, tag: str) -> int:
+        held = self.depths.get(tag)
+        return held[-1] if held else -1
+
     def _end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
@@ -76,20 +96,20 @@ class _Lines(HTMLParser):
     def _close(self, depth: int) -> None:
         if any(tag in BLOCKS for tag, *_ in self.open[depth:]):
             self._end_line()
-        del self.open[depth:]
+        while len(self.open) > depth:
+            tag = self.open.pop()[0]
+            self.depths[tag].pop()
+            if tag in _SCOPES:
+                self.scopes.pop()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
-            head = next((depth for depth, (name, *_) in enumerate(self.open) if name == "head"), None)
-            if head is not None:  # left open
+            head = self._innermost("head")
+            if head >= 0:  # left open
                 self._close(head)
-            for depth in range(len(self.open) - 1, -1, -1):
-                name = self.open[depth][0]
-                if tag in _CLOSED_BY.get(name, ()):
-                    self._close(depth)
-                    break
-                if name in _SCOPES:
-                    break
+            depth = max((self._innermost(name) for name in _CLOSES.get(tag, ())), default=-1)
+            if depth >= 0 and depth >= (self.scopes[-1] if self.scopes else 0):
+                self._close(depth)
             self._end_line()
         elif tag == "br":
             self.parts.append(" ")
@@ -104,11 +124,14 @@ class _Lines(HTMLParser):
             other = (
                 tag in OTHER_PURPOSE or said.get("role", "") in OTHER_ROLES or "hidden" in said or said.get("aria-hidden") == "true"
                 or not (ARTICLE_WORDS if tag == "article" else OTHER_WORDS).isdisjoint(_WORDS.findall(f"{said.get('class', '')} {said.get('id', '')}"))
-                or tag == "header" and not any(name == "article" for name, *_ in self.open)
+                or tag == "header" and self._innermost("article") < 0
             )
         if tag in CONTAINERS:
             self.parents.append(container)
             container = len(self.parents) - 1
+        self.depths.setdefault(tag, []).append(len(self.open))
+        if tag in _SCOPES:
+            self.scopes.append(len(self.open))
         self.open.append((tag, silent, other, container))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -118,22 +141,21 @@ class _Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        for depth in range(len(self.open) - 1, -1, -1):
-            if self.open[depth][0] == tag:
-                self._close(depth)
-                return
-            if self.open[depth][0] in _SCOPES and tag not in BLOCKS:
-                return
-        if tag in BLOCKS:
+        depth = self._innermost(tag)
+        if depth >= 0 and (tag in BLOCKS or depth >= (self.scopes[-1] if self.scopes else 0)):
+            self._close(depth)
+        elif tag in BLOCKS:
             self._end_line()
 
     def handle_data(self, data: str) -> None:
         if not self._state()[0]:
             self.parts.append(data)
-            if any(name == "a" for name, *_ in self.open):
+            if self._innermost("a") >= 0:
                 self.linked += len(data)
 
     def finish(self) -> None:
+        if _UNFINISHED.match(self.rawdata):  # a tag or comment without its end
+            self.rawdata = ""
         self.close()
         self._end_line()
 
@@ -158,24 +180,19 @@ def main_text(html: str) -> str:
     smooth = _smoothed([max(0, len(text) - linked) / max(1, tags) for text, tags, linked, _, _ in lines])
     length = sum(len(line[0]) for line in lines)
     threshold = 0.5 * sum(s * len(line[0]) for s, line in zip(smooth, lines)) / length
-    votes: dict[int, int] = {}
-    total = 0
+    votes = [0] * len(page.parents)
     for line, ratio in zip(lines, smooth):
         if ratio >= threshold:
-            total += len(line[0])
-            at = line[3]
-            while at >= 0:
-                votes[at] = votes.get(at, 0) + len(line[0])
-                at = page.parents[at]
-    # containers are numbered in page order, so of those that hold enough the innermost is the last of a chain
-    chosen = max(at for at, held in votes.items() if held >= SHARE * total) if votes else 0
-
-    def inside(at: int) -> bool:
-        while at > chosen:
-            at = page.parents[at]
-        return at == chosen
-
-    return " ".join(text for text, _, _, at, _ in lines if inside(at))
+            votes[line[3]] += len(line[0])
+    # containers are numbered in page order, each after the one around it: sums go to the front, and of those that hold
+    # enough the innermost is the last
+    for at in range(len(votes) - 1, 0, -1):
+        votes[page.parents[at]] += votes[at]
+    chosen = max(at for at, held in enumerate(votes) if held >= SHARE * votes[0])
+    inside = [at == chosen for at in range(len(votes))]
+    for at in range(1, len(votes)):
+        inside[at] = inside[at] or inside[page.parents[at]]
+    return " ".join(text for text, _, _, at, _ in lines if inside[at])
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -33,3 +33,16 @@ def test_whole_pages(spark):
     want = [(1, "u", " ".join(["word and word"] * 20_000)), (2, None, ""), (2, None, ""), (None, "v", "x")]
     assert got == sorted(want, key=str)
     assert extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<p>a<![foo[x]]>b</p>", "ab"), ("<p>a<![ bad", "a"), ("<p>x<a href=\"", "x"), ("<p>x<!-- not closed", "x"), ("<p>1 < 2", "1 < 2"),
+    ("<title>t", ""), ("<script>x", ""), ("<p>x<?php echo ?> y", "x y"),
+])
+def test_broken_markup(html, text):
+    assert main_text(html) == text
+
+
+def test_deep_and_wide_pages_take_no_longer():
+    for html in ("<div>" * 30_000 + "x" + "</div>" * 30_000, "<b>x" * 30_000, "<div><p>x" * 30_000, "<p>x" * 30_000, "<a>x<div>" * 30_000):
+        assert main_text(html).startswith("x")
