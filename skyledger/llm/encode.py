@@ -23,7 +23,7 @@ from operator import attrgetter
 import numpy as np
 from tokenizers import Tokenizer
 
-KEPT = 600_000
+KEPT = 1_000_000
 _ID = attrgetter("id")
 _LETTERS, _NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-įı-ſ", "0-9²³¹¼-¾"
 #: Characters that every step of the tokenizers treats one by one.

@@ -24,25 +24,28 @@ from skyledger.llm.common import arrow_schema, batch_of, map_rows, stored
 from skyledger.llm.encode import encoder
 
 BLOCK_IDS = 1 << 19
-_PLAIN = "part int, block bigint, before bigint, doc_id array<bigint>, length array<bigint>, ids binary"
+_PLAIN = "part int, block bigint, before bigint, doc_id array<bigint>, length array<bigint>, ids binary, counts binary"
 _CODED = "part int, block bigint, before bigint, doc_id array<bigint>, length array<bigint>, coded binary"
 _READ = "part int, doc_id bigint, start bigint, n_tokens bigint, ids binary"
 
 
 def blocks(docs: DataFrame, tokenizer: str, end_id: int, text: str = "text", id_column: str = "doc_id", block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Plain ids in blocks of whole documents, two bytes each where the vocabulary fits, in ascending document order."""
+    """Plain ids in blocks of whole documents, two bytes each, in ascending document order; and one row a part with
+    ``counts``, how often each id occurs in it, in place of a block."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoder(tokenizer, 2)
         end = np.array([end_id], codec.dtype).tobytes()
         schema, part = arrow_schema(_PLAIN), TaskContext.get().partitionId()
         number, before, held = 0, 0, []
+        counts = np.zeros(codec.size, np.int64)
 
         def block(held: list[tuple[int | None, bytes]]) -> pa.RecordBatch:
-            sizes = [len(ids) // codec.dtype.itemsize for _, ids in held]
+            sizes, ids = [len(ids) // codec.dtype.itemsize for _, ids in held], b"".join([ids for _, ids in held])
+            np.add(counts, np.bincount(np.frombuffer(ids, codec.dtype), minlength=codec.size), out=counts)
             return batch_of(schema, {
                 "part": [part], "block": [number], "before": [before], "doc_id": [[doc for doc, _ in held]],
-                "length": [sizes], "ids": [b"".join([ids for _, ids in held])],
+                "length": [sizes], "ids": [ids], "counts": [None],
             })
 
         size = 0
@@ -56,6 +59,8 @@ def blocks(docs: DataFrame, tokenizer: str, end_id: int, text: str = "text", id_
                     number, before, held, size = number + 1, before + size, [], 0
         if held:
             yield block(held)
+        if counts.any():
+            yield batch_of(schema, {name: [None] for name in schema.names} | {"part": [part], "counts": [counts.astype("<i8").tobytes()]})
 
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     # equal ids, if there are any, still have one order and may go to several ranges
@@ -69,13 +74,13 @@ def id_counts(plain: DataFrame, size: int) -> np.ndarray:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(size, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                counts += np.bincount(np.frombuffer(ids.as_buffer(), "<u2"), minlength=size)
+            for part in batch.column(0):
+                counts += np.frombuffer(part.as_buffer(), "<i8")
         used = np.flatnonzero(counts)
         yield pa.record_batch({"id": pa.array(used, pa.int64()), "n": pa.array(counts[used], pa.int64())})
 
     counts = np.zeros(size, np.int64)
-    for row in map_rows(plain.select("ids"), "id bigint, n bigint", work).groupBy("id").agg(F.sum("n").alias("n")).collect():
+    for row in map_rows(plain.where("counts is not null").select("counts"), "id bigint, n bigint", work).groupBy("id").agg(F.sum("n").alias("n")).collect():
         counts[row["id"]] = row["n"]
     return counts
 
@@ -104,7 +109,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, text: str =
                 ids = row.pop("ids")
                 yield batch_of(schema, {k: [v] for k, v in row.items()} | {"coded": [rans.encode(np.frombuffer(ids, "<u2"), shared.value)]})
 
-    map_rows(plain, _CODED, work).write.partitionBy("part").option("compression", "none").parquet(f"{folder}/blocks")
+    map_rows(plain.where("counts is null").drop("counts"), _CODED, work).write.partitionBy("part").option("compression", "none").parquet(f"{folder}/blocks")
 
 
 def read_table(spark: SparkSession, folder: str) -> rans.Table:
