@@ -100,6 +100,22 @@ def manifest_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("key", "impressao", "bytes_zip", "situacao", "coletado_em", "verificado_em")
 
 
+def manifest_from_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest file per document, with an entry for it and one that knows a month only."""
+    key = F.concat(_segment(), F.lit("/"), _ref())
+    entry = F.struct(F.md5("text").alias("impressao"), F.col("n_chars").alias("bytes_zip"), F.create_map(F.lit("05"), F.lit("d")).alias("meses"))
+    other = F.struct(F.lit(None).cast("string").alias("impressao"), F.lit(None).cast("bigint").alias("bytes_zip"), F.create_map(F.lit("06"), _ref()).alias("meses"))
+    files = F.to_json(F.struct(F.create_map(key, entry, F.concat(key, F.lit("b")), other).alias("arquivos")))
+    found = state.from_json(table(spark, sf_dir, "documents").select(files.alias("value")))
+    return found.select("key", "impressao", "bytes_zip", "url", F.element_at("meses", F.lit("06")).alias("june"))
+
+
+def newest_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest leg month among the orders as tracked months of both segments."""
+    key = F.concat_ws("/", F.when(F.col("o_orderstatus") == "F", "basica").otherwise("combinada"), F.date_format("o_orderdate", "yyyyMM"))
+    return state.newest_month(table(spark, sf_dir, "orders").select(key.alias("key")))
+
+
 def manifest_forget(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All entries of toxic documents are forgotten."""
     documents = table(spark, sf_dir, "documents").select("doc_id", _segment().alias("segment"), _ref().alias("ref"))
@@ -234,6 +250,8 @@ QUERIES = {
     "inventory_totals": inventory_totals,
     "manifest_classify": manifest_classify,
     "manifest_upsert": manifest_upsert,
+    "manifest_from_json": manifest_from_json,
+    "newest_month": newest_month,
     "manifest_forget": manifest_forget,
     "fare_months_changed": fare_months_changed,
     "fare_years_to_check": fare_years_to_check,
@@ -304,6 +322,11 @@ SQL = {
           case when m.key is not null then '2026-11-01T06:00:00+00:00' else '{NOW}' end as coletado_em,
           case when i.ref is not null then '{NOW}' else '2026-11-02T06:00:00+00:00' end as verificado_em
         from i full join {_MANIFEST} m using (segment, ref)""",
+    "manifest_from_json": f"""
+        select segment || '/' || ref as key, impressao, bytes as bytes_zip, cast(null as varchar) as url, cast(null as varchar) as june from {_INVENTORY}
+        union all
+        select segment || '/' || ref || 'b', null, null, null, ref from {_INVENTORY}""",
+    "newest_month": "select max(strftime(o_orderdate, '%Y%m')) as ref from orders where o_orderstatus = 'F'",
     "manifest_forget": f"select key, situacao from {_MANIFEST} where toxic = 0",
     "fare_months_changed": """
         with n as (select strftime(o_orderdate, '%Y') as y, strftime(o_orderdate, '%m') as m, max(o_orderdate) as d from orders group by all),
