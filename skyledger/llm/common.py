@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import re
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from skyledger.session import scratch_folder
+
 BATCH_ROWS = 500
 #: Words are what stands between these characters; the same as ``bytes.split()`` without arguments.
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -22,15 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which the cluster shares; a local session without that
-    setting gets a temporary folder, a cluster without it an error."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir is not set: name a folder shared by all executors")
-        root = "file://" + tempfile.mkdtemp(prefix="skyledger-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    """A new folder of these operators in the shared one."""
+    return scratch_folder(spark, f"llm/{name}")
 
 
 def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:

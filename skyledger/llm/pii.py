@@ -11,7 +11,6 @@ kind and every disclosing term removed.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 from zlib import crc32
@@ -252,7 +251,3 @@ def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return map_rows(rows, ", ".join(f"`{n}` {kinds[n]}" for n in names), work)
-
-
-def digest(base: str) -> str:
-    return hashlib.sha256(base.encode()).hexdigest()

@@ -9,7 +9,6 @@ need nothing but the table beside them, so they are decoded in parallel in any o
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -149,7 +148,3 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.join(F.broadcast(offsets), "part").select(
         "doc_id", (F.col("start") + F.col("offset")).alias("start"), "n_tokens", "ids"
     )
-
-
-def crc32_ids(ids: bytes) -> int:
-    return zlib.crc32(ids)
