@@ -10,30 +10,20 @@ from skyledger.functions.text import absolute_link, folded, without_tags
 from skyledger.operators.dedup import keep_last
 
 
-def link_targets(html: Column) -> Column:
-    """What stands between quotes behind each ``href =``, in page order."""
-
-    def quoted_value(part: Column) -> Column:
-        value = F.ltrim(part)
-        inside = F.ltrim(F.substr(value, F.lit(2)))
-        mark = F.left(inside, F.lit(1))
-        rest = F.substr(inside, F.lit(2))
-        closed = value.startswith("=") & mark.isin("'", '"') & (F.instr(rest, "'") + F.instr(rest, '"') > 0) & F.contains(rest, mark)
-        return F.when(closed, F.split_part(rest, mark, F.lit(1)))
-
-    parts = F.split(F.regexp_replace(html, r"\s+", " "), "(?i)href")
-    behind = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
-    return F.filter(F.transform(behind, quoted_value), lambda value: value != "")
-
-
 def links(pages: DataFrame, keep: list[str], html: str = "html", url: str = "url", ending: str | None = None) -> DataFrame:
     """Every link of each page in page order (``position``), resolved and without its query.
 
     ``ending`` is a pattern for the end of a link; it is tried before the link is resolved, which does
     not change its last part.
     """
-    found = F.posexplode(link_targets(F.col(html))).alias("position", "href")
-    hits = pages.select(*keep, F.col(url).alias("_page"), found)
+    # what is behind each "href =" begins with the quoted target; position counts them in page order
+    parts = F.split(F.col(html), r"(?i)href\s*=\s*")
+    behind = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
+    found = pages.select(*keep, F.col(url).alias("_page"), F.posexplode(behind).alias("position", "part"))
+    mark, rest = F.left("part", F.lit(1)), F.substr("part", F.lit(2))
+    hits = found.where(mark.isin("'", '"') & (F.instr(rest, mark) > 1)).select(
+        *keep, "_page", "position", F.split_part(rest, mark, F.lit(1)).alias("href")
+    )
     if ending:
         hits = hits.where(F.split_part("href", F.lit("?"), F.lit(1)).rlike(ending))
     return hits.select(*keep, "position", absolute_link(F.col("href"), F.col("_page")).alias("link"))
