@@ -7,16 +7,19 @@ order, so keys follow edit similarity, not just common content.
 
 Equal texts are one node. Of the nodes with one key in a band the least leads: it is candidate with every other, so
 candidates grow with the rows and not with their pairs. Candidates are verified by an alignment: the longest chain of
-common labelled runs that keeps the order of both, inside the band that the similarity allows. Nodes that are not similar
-to their leader get another one among themselves, for ``ROUNDS`` rounds; and since two similar texts share about twelve of
-24 keys, each of them with other company, a link that no leader shows in one band is shown in another. Verified
-links make the classes.
+common labelled runs that keeps the order of both, inside the band that the similarity allows. Verified links make
+classes. A key that still holds different classes is then settled whole: all members are kept, and every pair of different
+classes that can be similar by its sizes and its rare runs (a similar pair shares one of the rarest runs of either) is
+verified, so that no key holds two similar texts of different classes. Large keys are cut into blocks, each
+pair of which is the work of one task.
 """
 
 from __future__ import annotations
 
+import math
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import groupby
 from zlib import crc32
 
 import numpy as np
@@ -27,7 +30,9 @@ from pyspark.sql import functions as F
 from skyledger.llm.common import arrow_schema, batch_of, map_rows, stored
 from skyledger.llm.components import components
 
-WIDTH, SIMILARITY, BANDS, SAMPLE, ROUNDS = 5, 0.8, 24, 3, 2
+WIDTH, SIMILARITY, BANDS, SAMPLE = 5, 0.8, 24, 3
+#: Texts and runs of a block of a large key.
+BLOCK_NODES, BLOCK_RUNS = 2048, 1 << 20
 FILTER_BITS = 1 << 24
 _KEYS = "key bigint, node binary"
 _WORDS = "node binary, words binary"
@@ -207,35 +212,133 @@ def verified(pairs: DataFrame, words: DataFrame, similarity: float) -> DataFrame
     return map_rows(pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right"), _PAIRS, work)
 
 
+def pairs_within(marks: list[np.ndarray], roots: list[bytes], sides: np.ndarray, similarity: float = SIMILARITY) -> Iterator[tuple[int, int]]:
+    """Similar pairs that join different classes, until no two similar texts are of different classes.
+
+    ``sides`` has a bit for each set that a text belongs to; only pairs of bit 1 with bit 2 are wanted. A similar pair has at least
+    s / (1 + s) of the runs of both in common, so it shares one of the first n - sn + 1 runs of each in any common
+    order. The order is rare runs first, which leaves few pairs to count.
+    """
+    sizes = np.array([len(m) for m in marks])
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    _, tokens, held = np.unique(np.concatenate(marks), return_inverse=True, return_counts=True)
+    rank = np.empty(len(held), np.int64)
+    rank[np.argsort(held, kind="stable")] = np.arange(len(held))
+    tokens = rank[tokens]
+    common = np.sort(held) > 1
+    owners = np.repeat(np.arange(len(marks)), sizes)
+    order = np.lexsort((tokens, owners))
+    place = np.arange(len(tokens)) - np.repeat(starts, sizes)
+    prefix = sizes - np.ceil(similarity * sizes - 1e-6).astype(np.int64) + 1
+    leading = order[(place < prefix[owners]) & common[tokens[order]]]
+    heads, at = tokens[leading], owners[leading]  # by text, rare runs first
+    begins = np.searchsorted(at, np.arange(len(marks) + 1))
+    by_token = np.argsort(heads, kind="stable")  # texts ascend within a run
+    listed, first = at[by_token], np.searchsorted(heads[by_token], np.arange(len(held) + 1))
+    # classes by number; the lists follow what is joined here
+    numbers = {root: n for n, root in enumerate(dict.fromkeys(roots))}
+    group = np.array([numbers[root] for root in roots])
+    marked = np.zeros(len(held), bool)
+    for x in range(len(marks)):
+        own = heads[begins[x] : begins[x + 1]]
+        if not len(own):
+            continue
+        near = np.unique(np.concatenate([listed[first[t] : first[t + 1]] for t in own.tolist()]))
+        near = near[near < x]
+        fits = np.minimum(sizes[near], sizes[x]) >= similarity * np.maximum(sizes[near], sizes[x]) - 1e-9
+        wanted = ((sides[near] & 1 > 0) & (sides[x] & 2 > 0)) | ((sides[near] & 2 > 0) & (sides[x] & 1 > 0))
+        near = near[fits & wanted & (group[near] != group[x])]
+        if not len(near):
+            continue
+        own = tokens[starts[x] : starts[x] + sizes[x]]
+        marked[own] = True
+        if 4 * len(near) > len(marks):
+            both = np.add.reduceat(marked[tokens], starts, dtype=np.int64)[near]
+        else:
+            both = np.array([np.count_nonzero(marked[tokens[starts[y] : starts[y] + sizes[y]]]) for y in near.tolist()])
+        marked[own] = False
+        for y in near[both >= similarity * (sizes[near] + sizes[x] - both) - 1e-9].tolist():
+            if group[y] != group[x] and similar(marks[y], marks[x], similarity):
+                group[group == group[y]] = group[x]
+                yield y, x
+
+
+def settled(held: DataFrame, roots: DataFrame, words: DataFrame, similarity: float) -> DataFrame:
+    """Links between texts of different classes with one key, of all keys that hold more than two texts and one class."""
+    placed = held.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    placed = stored(placed, "omh-placed-keys", "none")
+    several = (F.min("root") != F.max("root")) & (F.count("*") > 2)
+    open_keys = stored(placed.groupBy("key").agg(several.alias("open")).where("open").select("key"), "omh-open")
+    left = placed.join(open_keys, "key").dropDuplicates(["key", "node"])  # a copy may have come with another task
+    nodes = left.select("node").distinct()
+    # texts of a size class are met by those of their own and of the next one
+    step = math.log(1.01 / similarity)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = [len(runs(np.frombuffer(body, np.uint32))) for body in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array([math.floor(math.log(n) / step) for n in sizes], pa.int64())],
+                names=["node", "size", "level"],
+            )
+
+    sized = stored(map_rows(words.join(nodes, "node", "left_semi").select("node", "words"), "node binary, size bigint, level bigint", measure), "omh-sizes")
+    lower = F.struct(F.col("level").alias("unit"), F.lit(0).alias("upper"))
+    upper = F.struct((F.col("level") - 1).alias("unit"), F.lit(1).alias("upper"))
+    units = left.join(sized, "node").select("key", "node", "root", "size", F.explode(F.array(lower, upper)).alias("at"))
+    units = stored(units.select("key", "node", "root", "size", "at.unit", "at.upper"), "omh-units", "none")
+    blocks = F.ceil(F.greatest(F.count("*") / F.lit(float(BLOCK_NODES)), F.sum("size") / F.lit(float(BLOCK_RUNS))))
+    shape = units.groupBy("key", "unit").agg(
+        blocks.cast("int").alias("blocks"), (F.min("root") != F.max("root")).alias("several"), F.min("upper").alias("least")
+    ).where("several and least = 0").select("key", "unit", "blocks")
+    shape = stored(shape, "omh-shape")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    cut = units.join(shape, ["key", "unit"]).withColumn("own", own)
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    cut = cut.select("key", "unit", "node", "root", "upper", "own", other.alias("other"))
+    cut = cut.select("key", "unit", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "root", "upper")
+    dealt = cut.join(words, "node").select("key", "unit", "i", "j", "own", "node", "root", "upper", "words")
+    dealt = dealt.repartition("key", "unit", "i", "j").sortWithinPartitions("key", "unit", "i", "j", "node")
+
+    def within(rows: list[tuple]) -> Iterator[tuple[bytes, bytes]]:
+        i, j = rows[0][2:4]
+        marks = [runs(np.frombuffer(row[8], np.uint32)) for row in rows]
+        upper, second = (np.array([row[at] for row in rows]) for at in (7, 4))
+        second = second == j
+        for sides in ([np.where(upper, 2, 3)] if i == j else [
+            np.where(second, np.where(upper, 0, 2), 1), np.where(second, np.where(upper, 2, 0), np.where(upper, 0, 1))
+        ]):
+            kept = np.flatnonzero(sides)
+            for y, x in pairs_within([marks[k] for k in kept], [rows[k][6] for k in kept], sides[kept], similarity) if len(kept) > 1 else ():
+                yield tuple(sorted((rows[kept[y]][5], rows[kept[x]][5])))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = arrow_schema(_PAIRS)
+        every = (row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns)))
+        for _, rows in groupby(every, key=lambda row: row[:4]):
+            found = list(within(list(rows)))
+            yield batch_of(schema, {"a": [a for a, _ in found], "b": [b for _, b in found]})
+
+    return map_rows(dealt, _PAIRS, work).distinct()
+
+
 def links(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """Verified links between different texts, and ``node, root`` of all that have one."""
     held = stored(band_keys(docs, text), "omh-keys", "none")
-    words: DataFrame | None = None
-    found, tried = [], None
-    for number in range(ROUNDS):
-        leaders = held.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key", "a")
-        led = held.join(stored(leaders, "omh-leaders"), "key").where("node <> a").select("key", "a", F.col("node").alias("b"))
-        led = stored(led, "omh-led", "none")
-        pairs = led.select("a", "b").distinct()
-        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "omh-pairs")
-        if words is None:
-            words = stored(words_for(docs, pairs, text).dropDuplicates(["node"]), "omh-words")
-        found.append(stored(verified(pairs, words, similarity), "omh-links"))
-        if number < ROUNDS - 1:
-            tried = pairs if tried is None else tried.unionByName(pairs)
-            # only those that are not similar to their leader are left to each other
-            held = stored(led.join(_union(found), ["a", "b"], "left_anti").select("key", F.col("b").alias("node")), "omh-left", "none")
-    linked = _union(found)
+    leaders = held.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a <> z").select("key", "a")
+    led = held.join(stored(leaders, "omh-leaders"), "key").select("key", "a", "node")
+    led = stored(led, "omh-led", "none")
+    pairs = stored(led.where("node <> a").select("a", F.col("node").alias("b")).distinct(), "omh-pairs")
+    words = stored(words_for(docs, pairs, text).dropDuplicates(["node"]), "omh-words")
+    led_links = stored(verified(pairs, words, similarity), "omh-links")
+    roots = stored(components(led_links), "omh-led-roots")
+    more = stored(settled(led.select("key", "node"), roots, words, similarity), "omh-more")
+    if more.isEmpty():
+        return led_links, roots
+    linked = led_links.unionByName(more)
     return linked, stored(components(linked), "omh-roots")
 
 
-def _union(parts: list[DataFrame]) -> DataFrame:
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
-
-
 def classes(docs: DataFrame, text: str = "text", id_column: str = "doc_id", similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, class_id, n_links, node, kept`` of every document.
 

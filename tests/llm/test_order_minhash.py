@@ -115,3 +115,43 @@ def test_classes_are_those_of_all_pairs(spark):
     assert kept.columns == docs.columns
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(v) for v in least.values())
     assert om.classes(docs.limit(0)).count() == 0 and om.representatives(docs.limit(0)).count() == 0
+
+
+def _true_classes(texts: list[str]) -> list[int]:
+    """The least number in the class of each text, all pairs compared."""
+    marks = [om.runs(om.word_codes(text)) for text in texts]
+    _, tokens, held = np.unique(np.concatenate(marks), return_inverse=True, return_counts=True)
+    column = np.cumsum(held > 1) - 1
+    table, at = np.zeros((len(marks), column[-1] + 1), np.float32), 0
+    for k, own in enumerate(marks):
+        part = tokens[at : at + len(own)]
+        table[k, column[part[held[part] > 1]]] = 1
+        at += len(own)
+    both, sizes = table @ table.T, np.array([len(own) for own in marks])
+    group = np.arange(len(marks))
+    for a, b in np.argwhere(np.triu(both >= 0.8 * (sizes[:, None] + sizes - both) - 1e-6, 1)).tolist():
+        if group[a] != group[b] and om.similar(marks[a], marks[b]):
+            group[group == max(group[a], group[b])] = min(group[a], group[b])
+    return group.tolist()
+
+
+def _classes(spark, texts: list[str]) -> list[int]:
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return [r["class_id"] for r in sorted(om.classes(docs).collect(), key=lambda r: r["doc_id"])]
+
+
+def test_texts_that_share_most_of_their_words(spark):
+    """All share a passage of 80 to 88 % of their words; pairs of them are similar in the rest too."""
+    rng = random.Random(5)
+    passage, texts = [f"p{k}" for k in range(240)], []
+    for n in range(500):
+        shared = rng.uniform(0.8, 0.88)
+        own = [f"o{rng.randint(0, 10**9)}" for _ in range(round(240 * (1 - shared) / shared))]
+        edited = list(own)
+        for _ in range(rng.randint(1, 4)):
+            edited[rng.randrange(len(own))] = f"e{rng.randint(0, 10**9)}"
+        texts += [" ".join(passage + own), " ".join(passage + edited)]
+    want = _true_classes(texts)
+    assert 100 < len(set(want)) < 900
+    found = _classes(spark, texts)
+    assert len(set(found)) == len(set(want)) and found == want
