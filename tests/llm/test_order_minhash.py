@@ -140,6 +140,23 @@ def _classes(spark, texts: list[str]) -> list[int]:
     return [r["class_id"] for r in sorted(om.classes(docs).collect(), key=lambda r: r["doc_id"])]
 
 
+def test_a_large_family_of_edited_copies(spark, monkeypatch):
+    """Copies of one text with two or three edits each are similar only if the edits lie near each other."""
+    monkeypatch.setattr(om, "BLOCK_NODES", 700, raising=False)  # several blocks a key
+    rng = random.Random(4)
+    base = [f"b{k}" for k in range(104)]
+    texts = []
+    for n in range(2000):
+        words = list(base)
+        for _ in range(2 + n % 2):
+            words[rng.randrange(len(words))] = f"e{rng.randint(0, 10**9)}"
+        texts.append(" ".join(words))
+    want = _true_classes(texts)
+    assert 100 < len(set(want)) < 1900
+    found = _classes(spark, texts)
+    assert len(set(found)) == len(set(want)) and found == want
+
+
 def test_texts_that_share_most_of_their_words(spark):
     """All share a passage of 80 to 88 % of their words; pairs of them are similar in the rest too."""
     rng = random.Random(5)
