@@ -4,14 +4,17 @@ Patterns find the protected entities: mail addresses, internet addresses, card a
 may give it away although the entity itself is gone. Co-occurrence over the corpus says how much: with n(e) documents
 that hold entity e, n(t) that hold term t and n(e,t) where t stands within ``REACH`` words of e, the term discloses
 log2(n(e,t) N / (n(e) n(t))) of the entity's log2(N / n(e)) bits. A term that leaves at most ``UNDISCLOSED`` bits, for an
-entity of ``LEAST_BITS`` or more, seen in ``SUPPORT`` different surroundings (copies of a text count once), is over the
-threshold: its occurrences near the entity become spans too. Sanitised texts have every entity generalised to its
-kind and every disclosing term removed.
+entity of ``LEAST_BITS`` or more, is over the threshold if chance would not have put it there: k of the entity's m different
+surroundings (copies of a text count once) hold it, and k log2(N / n(t)) - log2 C(m, k) is ``EVIDENCE`` bits or more. That
+works for an entity in a single text as well, by the rarity of the term. All occurrences of such a term in the
+documents that hold the entity become spans too. Sanitised texts have every entity generalised to its kind and every
+disclosing term removed.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from zlib import crc32
 
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 from skyledger.llm.common import arrow_schema, batch_of, map_rows, stored
 
 KINDS = ("email", "ip", "card", "phone", "term")
-REACH, SUPPORT, UNDISCLOSED, LEAST_BITS = 8, 3, 1.0, 3.0
+REACH, EVIDENCE, UNDISCLOSED, LEAST_BITS = 8, 10.0, 1.0, 3.0
 FILTER_BITS = 1 << 24
 #: Numbers only start where no digit stands before, which changes no match and spares failing tries inside long numbers.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -34,7 +37,7 @@ _DIGITS = re.compile("[0-9]")
 _TERM = re.compile(r"[^\W\d_]{3,}")
 _FOUND = (
     "key bigint, doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base string, "
-    "entity array<string>, term array<string>, begin array<bigint>, stop array<bigint>, around array<bigint>"
+    "entity array<string>, term array<string>, around array<bigint>, held array<string>, body string"
 )
 
 Span = tuple[str, int, int]
@@ -84,28 +87,39 @@ def _entity(kind: str, value: str) -> str:
     return f"{kind}:{value.lower() if kind in ('email', 'ip') else ''.join(_DIGITS.findall(value))}"
 
 
-def surroundings(text: str, spans: list[Span], reach: int = REACH) -> list[tuple[str, str, int, int, int]]:
-    """Entity, term, place of the term, and a number of the surroundings, for terms near each entity."""
+def _terms(text: str, spans: list[Span]) -> tuple[list[int], list[int], set[int]]:
+    """Begins and ends of all terms, and the numbers of those that an entity touches."""
+    begins, ends = [], []
+    for m in _TERM.finditer(text):
+        begins.append(m.start())
+        ends.append(m.end())
+    touched: set[int] = set()
+    for _, begin, stop in spans:
+        touched.update(range(bisect_right(ends, begin), bisect_left(begins, stop)))
+    return begins, ends, touched
+
+
+def surroundings(text: str, spans: list[Span], reach: int = REACH) -> list[tuple[str, str, int]]:
+    """Entity, term, and a number of the surroundings, for terms near each entity on its line."""
     found = []
+    begins, ends, touched = _terms(text, spans)
     for kind, begin, stop in spans:
-        entity = _entity(kind, text[begin:stop])
-        near = []
-        line = text.rfind("\n", 0, begin) + 1
-        before = [m.span() for m in _TERM.finditer(text, max(line, begin - 32 * reach), begin)][-reach:]
-        end = text.find("\n", stop)
-        after = []
-        for m in _TERM.finditer(text, stop, len(text) if end < 0 else end):
-            after.append(m.span())
-            if len(after) == reach:
-                break
-        for a, b in before + after:
-            if not any(a < other_stop and other_begin < b for _, other_begin, other_stop in spans):
-                near.append((text[a:b].lower(), a, b))
-        around = crc32(" ".join(term for term, _, _ in near).encode())
-        found += [(entity, term, a, b, around) for term, a, b in near]
+        line, end = text.rfind("\n", 0, begin) + 1, text.find("\n", stop)
+        before, after = bisect_right(ends, begin), bisect_left(begins, stop)
+        first = max(before - reach, bisect_left(begins, line))
+        last = min(after + reach, len(begins) if end < 0 else bisect_left(begins, end))
+        near = [text[begins[k] : ends[k]].lower() for k in (*range(first, before), *range(after, last)) if k not in touched]
+        around = crc32(" ".join(near).encode())
+        found += [(_entity(kind, text[begin:stop]), term, around) for term in near]
     return found
 
 
+def term_spans(text: str, spans: list[Span], terms: set[str]) -> list[Span]:
+    """All occurrences of ``terms`` that no entity touches."""
+    begins, ends, touched = _terms(text, spans)
+    return [("term", a, b) for k, (a, b) in enumerate(zip(begins, ends)) if k not in touched and text[a:b].lower() in terms]
+
+
 def _keyed(docs: DataFrame, text: str) -> DataFrame:
     """Rows with a key that is the same for rows of the same id and text."""
     return docs.withColumn("key", F.xxhash64(F.col("doc_id"), F.xxhash64(F.col(text))))
@@ -122,7 +136,8 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
                 spans = base_spans(body or "")
                 near = list(zip(*surroundings(body, spans))) if spans else []
                 counts = [sum(kind == k for k, _, _ in spans) for kind in KINDS[:4]]
-                for name, value in zip(names, (key, doc, *counts, joined(spans), *(map(list, near) if near else [[], [], [], [], []]))):
+                held = sorted({_entity(kind, body[begin:stop]) for kind, begin, stop in spans})
+                for name, value in zip(names, (key, doc, *counts, joined(spans), *(map(list, near) if near else [[], [], []]), held, body if spans else None)):
                     out[name].append(value)
             yield batch_of(schema, out)
 
@@ -173,32 +188,38 @@ def _term_counts(docs: DataFrame, terms: DataFrame, text: str) -> DataFrame:
 
 
 def disclosing(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame | None:
-    """``key, begin, stop`` of terms that disclose an entity near them; None if there is no term with support."""
-    around = found.where(F.size("entity") > 0).select(
-        "key", F.explode(F.arrays_zip("entity", "term", "begin", "stop", "around")).alias("s")
-    ).select("key", "s.*")
+    """``key, extra``: the places of terms that disclose an entity of the document, as text; None if no term stands near one."""
+    around = found.where(F.size("entity") > 0).select("key", F.explode(F.arrays_zip("entity", "term", "around")).alias("s")).select("key", "s.*")
     # two steps, each summed before it is dealt by its keys, so a frequent pair is no burden for one task
-    seen = around.groupBy("entity", "term", "around").agg(F.count_distinct("key").alias("n"))
-    pairs = seen.groupBy("entity", "term").agg(F.count("*").alias("kinds"), F.sum("n").alias("n_both")).where(F.col("kinds") >= SUPPORT)
-    pairs = stored(pairs, "pii-pairs")
+    seen = stored(around.groupBy("entity", "term", "around").agg(F.count_distinct("key").alias("n")), "pii-seen")
+    pairs = stored(seen.groupBy("entity", "term").agg(F.count("*").alias("kinds"), F.sum("n").alias("n_both")), "pii-pairs")
     if pairs.isEmpty():
         return None
-    total = docs.count()
-    holders = found.where(F.size("entity") > 0).select("key", F.explode(F.array_distinct("entity")).alias("entity"))
+    total = F.lit(float(docs.count()))
+    holders = found.where(F.size("held") > 0).select("key", F.explode("held").alias("entity")).distinct()
     n_entity = holders.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    n_term = _term_counts(docs, pairs.select("term").distinct(), text)
-    bits = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    told = F.log2(F.col("n_both") * F.lit(float(total)) / (F.col("n_entity") * F.col("n_term")))
-    over = pairs.join(n_entity, "entity").join(n_term, "term").where((bits >= LEAST_BITS) & (told >= bits - UNDISCLOSED))
-    over = stored(over.select("entity", "term"), "pii-over")
-    return around.join(over, ["entity", "term"]).select("key", "begin", "stop").distinct()
+    n_around = seen.select("entity", "around").distinct().groupBy("entity").agg(F.count("*").alias("n_around"))
+    n_term = stored(_term_counts(docs, pairs.select("term").distinct(), text), "pii-terms")
+    bits = F.log2(total / F.col("n_entity"))
+    told = F.log2(F.col("n_both") * total / (F.col("n_entity") * F.col("n_term")))
+    share = F.col("kinds") / F.col("n_around")
+    # the entropy bounds the number of choices of k out of m
+    chosen = F.when(share < 1, F.col("n_around") * -(share * F.log2(share) + (1 - share) * F.log2(1 - share))).otherwise(F.lit(0.0))
+    evidence = F.col("kinds") * F.log2(total / F.col("n_term")) - chosen
+    over = pairs.join(n_term, "term").join(n_entity, "entity").join(n_around, "entity")
+    over = stored(over.where((bits >= LEAST_BITS) & (told >= bits - UNDISCLOSED) & (evidence >= EVIDENCE)).select("entity", "term"), "pii-over")
+    listed = over.groupBy("entity").agg(F.collect_list("term").alias("terms"))
+    told_of = holders.join(listed, "entity").groupBy("key").agg(F.flatten(F.collect_list("terms")).alias("terms"))
+    bodies = found.where("body is not null").select("key", "body").dropDuplicates(["key"]).join(told_of, "key").select("key", "body", "terms")
 
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            extra = []
+            for body, terms in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                extra.append(joined(term_spans(body, base_spans(body), set(terms))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(extra, pa.string())], names=["key", "extra"])
 
-def _extra(spots: DataFrame) -> DataFrame:
-    """Disclosing terms of each key, as text."""
-    place = F.concat_ws(":", F.lit("term"), F.col("begin"), F.col("stop"))
-    spans = F.array_sort(F.collect_list(F.struct("begin", "stop", place.alias("said"))))
-    return spots.groupBy("key").agg(F.array_join(F.transform(spans, lambda s: s["said"]), ",").alias("extra"))
+    return stored(map_rows(bodies, "key bigint, extra string", work), "pii-extra")
 
 
 def spans(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -208,12 +229,12 @@ def spans(docs: DataFrame, text: str = "text") -> DataFrame:
     copies get the same spans. Very long texts are read whole.
     """
     found = stored(find(docs, text), "pii-found")
-    spots = disclosing(docs, found, text)
+    extra = disclosing(docs, found, text)
     columns = ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base"]
-    if spots is None:
+    if extra is None:
         return found.select(*columns, F.col("base").alias("spans"))
-    both = found.join(_extra(spots), "key", "left")
-    said = F.when(F.col("extra").isNull(), F.col("base")).when(F.col("base") == "", F.col("extra")).otherwise(F.concat_ws(",", "base", "extra"))
+    both = found.drop("body").join(extra, "key", "left")
+    said = F.when(F.coalesce("extra", F.lit("")) == "", F.col("base")).when(F.col("base") == "", F.col("extra")).otherwise(F.concat_ws(",", "base", "extra"))
     return both.select(*columns, said.alias("spans"))
 
 
@@ -232,12 +253,12 @@ def cleaned(text: str, found: list[Span]) -> str:
 def sanitise(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with sanitised texts; all columns and rows stay. A null text stays null."""
     found = stored(find(docs, text), "pii-found")
-    spots = disclosing(docs, found, text)
+    extra = disclosing(docs, found, text)
     kinds = dict(docs.dtypes)
     names, at = docs.columns, docs.columns.index(text)
     rows = docs.withColumn("_extra", F.lit(None).cast("string"))
-    if spots is not None:
-        keys = _extra(spots).select(F.col("key").alias("_key"), F.col("extra").alias("_extra"))
+    if extra is not None:
+        keys = extra.where("extra <> ''").select(F.col("key").alias("_key"), F.col("extra").alias("_extra"))
         rows = docs.withColumn("_key", F.xxhash64(F.col("doc_id"), F.xxhash64(F.col(text)))).join(keys, "_key", "left").select(*[f"`{n}`" for n in names], "_extra")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

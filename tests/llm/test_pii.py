@@ -81,3 +81,18 @@ def test_sanitise(spark):
 
 def test_cleaned_overlaps():
     assert pii.cleaned("a 1.2.3.4 b", [("ip", 2, 9), ("term", 4, 5), ("card", 6, 11)]) == "a <ip>"
+
+
+def test_terms_of_an_entity_in_one_text(spark):
+    """A rare name beside an address of one document goes, wherever that document repeats it; 2,000 documents make it evident."""
+    far = "x" * 300
+    rows = [(k, f"the weather says nothing about number {k} and the mine of others") for k in range(2000)]
+    rows += [(5000, "the weather and Quorba says at qu@only.org about the mine\nnothing of QUORBA and others\nquorba"), (5001, f"Nerwil {far} 10.2.3.4 the others")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).where("doc_id >= 5000").collect()}
+    assert got[5000] == "the weather and  says at <email> about the mine\nnothing of  and others\n"
+    assert got[5001] == "  <ip> the others"  # both words before the address, far as the first is
+    by = {r["doc_id"]: r["spans"] for r in pii.spans(docs).collect()}
+    text = rows[-2][1]
+    assert by[5000].split(",")[1:] == [f"term:{m.start()}:{m.end()}" for m in re.finditer("(?i)quorba", text)]
+    assert all(by[k] == "" for k in range(2000))
