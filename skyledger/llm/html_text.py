@@ -2,8 +2,8 @@
 
 The standard library's streaming parser reports tags and text; block elements begin a new line. A line's ratio is its
 visible characters outside links over its tags. Ratios are smoothed by a Gaussian window, and a threshold (half the
-length-weighted mean) clusters lines into content and rest. The regions that pass vote for the container that holds
-them: the innermost one with most of their text. All of its lines are content, but for those in parts of other
+length-weighted mean) clusters lines into content and rest. The regions that pass choose the innermost container that holds
+all of them, or the article or main element around it. All of its lines are content, but for those in parts of other
 purpose (menus, page headers and footers, side bars, notices, adverts, forms, comments of readers), which
 have a ratio of 0 and take no part.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.common import arrow_schema, batch_of, map_rows
 
-SIGMA, RADIUS, SHARE = 1.0, 2, 0.8
+SIGMA, RADIUS = 1.0, 2
 _PAGES = "page_id bigint, url string, text string"
 
 BLOCKS = frozenset(
@@ -71,6 +71,7 @@ class _Lines(HTMLParser):
         self.depths: dict[str, list[int]] = {}
         self.scopes: list[int] = []
         self.parents: list[int] = [-1]
+        self.kinds: list[str] = [""]
         self.lines: list[tuple[str, int, int, int, bool]] = []
         self.parts: list[str] = []
         self.tags = self.linked = 0
@@ -128,6 +129,7 @@ class _Lines(HTMLParser):
             )
         if tag in CONTAINERS:
             self.parents.append(container)
+            self.kinds.append(tag)
             container = len(self.parents) - 1
         self.depths.setdefault(tag, []).append(len(self.open))
         if tag in _SCOPES:
@@ -180,15 +182,22 @@ def main_text(html: str) -> str:
     smooth = _smoothed([max(0, len(text) - linked) / max(1, tags) for text, tags, linked, _, _ in lines])
     length = sum(len(line[0]) for line in lines)
     threshold = 0.5 * sum(s * len(line[0]) for s, line in zip(smooth, lines)) / length
+    passed = [line for line, ratio in zip(lines, smooth) if ratio >= threshold]
     votes = [0] * len(page.parents)
-    for line, ratio in zip(lines, smooth):
-        if ratio >= threshold:
+    for text, _, linked, at, _ in passed:
+        votes[at] += max(0, len(text) - linked)  # links beside dense lines pass, but have no vote
+    if not any(votes):
+        for line in passed:
             votes[line[3]] += len(line[0])
     # containers are numbered in page order, each after the one around it: sums go to the front, and of those that hold
-    # enough the innermost is the last
+    # all votes the innermost is the last
     for at in range(len(votes) - 1, 0, -1):
         votes[page.parents[at]] += votes[at]
-    chosen = max(at for at, held in enumerate(votes) if held >= SHARE * votes[0])
+    chosen = max(at for at, held in enumerate(votes) if held == votes[0])
+    around = chosen
+    while around > 0 and page.kinds[around] not in ("article", "main"):
+        around = page.parents[around]
+    chosen = around if around > 0 else chosen
     inside = [at == chosen for at in range(len(votes))]
     for at in range(1, len(votes)):
         inside[at] = inside[at] or inside[page.parents[at]]

@@ -46,3 +46,14 @@ def test_broken_markup(html, text):
 def test_deep_and_wide_pages_take_no_longer():
     for html in ("<div>" * 30_000 + "x" + "</div>" * 30_000, "<b>x" * 30_000, "<div><p>x" * 30_000, "<p>x" * 30_000, "<a>x<div>" * 30_000):
         assert main_text(html).startswith("x")
+
+
+def test_all_dense_regions_are_kept():
+    """No container of 80 % of the text leaves out what stands beside it."""
+    body = f"<div class=body>{f'<p>{LONG}</p>' * 9}</div>"
+    want = " ".join(["Title", LONG.strip(), *[LONG.strip()] * 9, "The end of the story comes here, after all that was said at length before it."])
+    parts = f"<h1>Title</h1><p>{LONG}</p>{body}<p>The end of the story comes here, after all that was said at length before it.</p>"
+    for outer in ("div", "article", "main"):
+        assert main_text(f"<body><div><a href=/>Home</a> <a href=/x>More</a></div><{outer}>{parts}</{outer}>") == want
+    # a short head alone passes no threshold: the article holds it
+    assert main_text(f"<body><p><a href=/>Home</a></p><article><h1>T</h1><div>{f'<p>{LONG}</p>' * 9}</div></article>") == " ".join(["T", *[LONG.strip()] * 9])
