@@ -5,7 +5,8 @@ visible characters outside links over its tags. Ratios are smoothed by a Gaussia
 length-weighted mean) clusters lines into content and rest. The regions that pass choose the innermost container that holds
 all of them, or the article or main element around it. All of its lines are content, but for those in parts of other
 purpose (menus, page headers and footers, side bars, notices, adverts, forms, comments of readers), which
-have a ratio of 0 and take no part.
+have a ratio of 0 and take no part. An element's class or id tells its purpose only if it is a container, and only
+if it does not hold most of the dense text of the page and of its article.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from skyledger.llm.common import arrow_schema, batch_of, map_rows
 
-SIGMA, RADIUS = 1.0, 2
+SIGMA, RADIUS, SHARE = 1.0, 2, 0.8
 _PAGES = "page_id bigint, url string, text string"
 
 BLOCKS = frozenset(
@@ -33,7 +34,9 @@ SILENT = frozenset("script style noscript template head title svg math iframe ob
 OTHER_PURPOSE = frozenset("nav footer aside form menu dialog search".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 OTHER_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-#: Words in the class or id of an element of other purpose.
+#: Elements whose class or id may tell another purpose; headings, paragraphs and parts of lines are not among them.
+NAMED = CONTAINERS - {"html", "body", "main"} | frozenset("header ul ol dl table tbody tr details fieldset figure center".split())
+#: Last words of a class name or id of an element of other purpose.
 OTHER_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion nav navbar navigation menu menubar breadcrumb "
     "breadcrumbs sidebar aside footer header masthead topbar toolbar comment comments disqus replies respond notice notices cookie cookies consent "
@@ -50,6 +53,8 @@ _CLOSED_BY = {
 }
 _SCOPES = frozenset("ul ol dl table article section main div body aside nav footer header form td th blockquote".split())
 _WORDS = re.compile("[a-z]+")
+#: Words ahead that make it a state of the page, or a part of the content.
+_NOT_OTHER = frozenset("has no not with without article post entry story content".split())
 
 
 _CLOSES: dict[str, list[str]] = {}
@@ -59,20 +64,34 @@ for _name, _enders in _CLOSED_BY.items():
 _UNFINISHED = re.compile("<[a-zA-Z/!?]")
 
 
+def _named_other(tag: str, said: dict[str, str]) -> bool:
+    """Whether a class name or the id of a container is, or ends in, a word of other purpose."""
+    if tag not in NAMED:
+        return False
+    wanted = ARTICLE_WORDS if tag == "article" else OTHER_WORDS
+    for name in f"{said.get('class', '')} {said.get('id', '')}".split():
+        words = _WORDS.findall(name)
+        if words and words[-1] in wanted and (len(words) == 1 or words[-2] not in _NOT_OTHER):
+            return True
+    return False
+
+
 class _Lines(HTMLParser):
-    """Lines of a page: text, tags, characters inside links, the open containers, and whether the purpose is another.
+    """Lines of a page: text, tags, characters inside links, the open containers, whether the purpose is another, and the
+    innermost element around that is of other purpose by its name.
 
     Open elements are found by name, so an element costs no more for the depth it is in.
     """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool, int]] = []  # element, silent, other purpose, container
+        self.open: list[tuple[str, bool, bool, int, int]] = []  # element, silent, other purpose, container, named
         self.depths: dict[str, list[int]] = {}
         self.scopes: list[int] = []
         self.parents: list[int] = [-1]
         self.kinds: list[str] = [""]
-        self.lines: list[tuple[str, int, int, int, bool]] = []
+        self.named: list[int] = [-1]
+        self.lines: list[tuple[str, int, int, int, bool, int]] = []
         self.parts: list[str] = []
         self.tags = self.linked = 0
 
@@ -80,8 +99,8 @@ class _Lines(HTMLParser):
         # a marked section is no HTML: all up to the next ">" is a comment
         return self.parse_bogus_comment(i) if self.rawdata.startswith("<![", i) else super().parse_html_declaration(i)
 
-    def _state(self) -> tuple[bool, bool, int]:
-        return self.open[-1][1:] if self.open else (False, False, 0)
+    def _state(self) -> tuple[bool, bool, int, int]:
+        return self.open[-1][1:] if self.open else (False, False, 0, 0)
 
     def _innermost(self, tag: str) -> int:
         held = self.depths.get(tag)
@@ -90,8 +109,8 @@ class _Lines(HTMLParser):
     def _end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            _, other, container = self._state()
-            self.lines.append((text, self.tags, self.linked, container, other))
+            _, other, container, named = self._state()
+            self.lines.append((text, self.tags, self.linked, container, other, named))
         self.parts, self.tags, self.linked = [], 0, 0
 
     def _close(self, depth: int) -> None:
@@ -117,16 +136,18 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        silent, other, container = self._state()
+        silent, other, container, named = self._state()
         if not silent:
             silent = tag in SILENT
         if not other and tag not in ("html", "body", "main"):
             said = {name: (value or "").lower() for name, value in attrs}
             other = (
                 tag in OTHER_PURPOSE or said.get("role", "") in OTHER_ROLES or "hidden" in said or said.get("aria-hidden") == "true"
-                or not (ARTICLE_WORDS if tag == "article" else OTHER_WORDS).isdisjoint(_WORDS.findall(f"{said.get('class', '')} {said.get('id', '')}"))
                 or tag == "header" and self._innermost("article") < 0
             )
+            if not other and _named_other(tag, said):
+                self.named.append(named)
+                named = len(self.named) - 1
         if tag in CONTAINERS:
             self.parents.append(container)
             self.kinds.append(tag)
@@ -134,7 +155,7 @@ class _Lines(HTMLParser):
         self.depths.setdefault(tag, []).append(len(self.open))
         if tag in _SCOPES:
             self.scopes.append(len(self.open))
-        self.open.append((tag, silent, other, container))
+        self.open.append((tag, silent, other, container, named))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -171,20 +192,41 @@ def _smoothed(ratios: list[float]) -> list[float]:
     return out
 
 
+def _dense(lines: list[tuple[str, int, int, int, bool, int]]) -> list[tuple[str, int, int, int, bool, int]]:
+    """The lines that pass the threshold."""
+    smooth = _smoothed([max(0, len(text) - linked) / max(1, tags) for text, tags, linked, *_ in lines])
+    length = sum(len(line[0]) for line in lines)
+    threshold = 0.5 * sum(s * len(line[0]) for s, line in zip(smooth, lines)) / length
+    return [line for line, ratio in zip(lines, smooth) if ratio >= threshold]
+
+
 def main_text(html: str) -> str:
     """The main text of one page; empty if there is none."""
     page = _Lines()
     page.feed(html)
     page.finish()
     lines = [line for line in page.lines if not line[4]]
+    if any(line[5] for line in lines):
+        # an element is overruled if it holds most of the dense text and, where the page has article or main elements, of theirs
+        semantic = [False] * len(page.parents)
+        for at in range(1, len(semantic)):
+            semantic[at] = semantic[page.parents[at]] or page.kinds[at] in ("article", "main")
+        dense = _dense(lines)
+        content = [True, *[any(len(line[0]) > line[2] for line in dense)] * (len(page.named) - 1)]
+        for voters in (dense, [line for line in lines if semantic[line[3]]]):
+            held = [0] * len(page.named)
+            for text, _, linked, _, _, at in voters:
+                held[at] += max(0, len(text) - linked)
+            for at in range(len(held) - 1, 0, -1):
+                held[page.named[at]] += held[at]
+            for at in range(1, len(held)):
+                content[at] = content[at] and content[page.named[at]] and held[at] >= SHARE * held[0]
+        lines = [line for line in lines if content[line[5]]]
     if not lines:
         return ""
-    smooth = _smoothed([max(0, len(text) - linked) / max(1, tags) for text, tags, linked, _, _ in lines])
-    length = sum(len(line[0]) for line in lines)
-    threshold = 0.5 * sum(s * len(line[0]) for s, line in zip(smooth, lines)) / length
-    passed = [line for line, ratio in zip(lines, smooth) if ratio >= threshold]
+    passed = _dense(lines)
     votes = [0] * len(page.parents)
-    for text, _, linked, at, _ in passed:
+    for text, _, linked, at, *_ in passed:
         votes[at] += max(0, len(text) - linked)  # links beside dense lines pass, but have no vote
     if not any(votes):
         for line in passed:
@@ -201,7 +243,7 @@ def main_text(html: str) -> str:
     inside = [at == chosen for at in range(len(votes))]
     for at in range(1, len(votes)):
         inside[at] = inside[at] or inside[page.parents[at]]
-    return " ".join(text for text, _, _, at, _ in lines if inside[at])
+    return " ".join(text for text, _, _, at, *_ in lines if inside[at])
 
 
 def extract(pages: DataFrame, html: str = "html") -> DataFrame:

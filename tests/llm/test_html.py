@@ -57,3 +57,20 @@ def test_all_dense_regions_are_kept():
         assert main_text(f"<body><div><a href=/>Home</a> <a href=/x>More</a></div><{outer}>{parts}</{outer}>") == want
     # a short head alone passes no threshold: the article holds it
     assert main_text(f"<body><p><a href=/>Home</a></p><article><h1>T</h1><div>{f'<p>{LONG}</p>' * 9}</div></article>") == " ".join(["T", *[LONG.strip()] * 9])
+
+
+@pytest.mark.parametrize("html", [
+    "<div class='content has-sidebar'>{0}</div>", "<div id=page class='no-sidebar'><div class=sidebar>side</div>{0}</div>", "<div class=page-widget>{0}</div>",
+    "<article><div class=article-header><h2>Head</h2></div>{0}</article>", "<article><h2 id=social-impact>Head</h2>{0}</article>",
+    "<article><section id=related-work><p>Head</p></section>{0}</article>", "<article><p id=notice-3>Head</p>{0}</article>",
+])
+def test_names_of_elements_around_text(html):
+    """A word in a class or id takes nothing from the article."""
+    text = " ".join([LONG.strip()] * 4)
+    page = html.format(f"<p>{LONG}</p>" * 4) + "<div class='box related'><p>You may like this as well</p></div><div id=ad-1>buy</div>"
+    assert main_text(page) == ("Head " if "Head" in html else "") + text
+
+
+def test_an_advert_longer_than_the_article_stays_out():
+    assert main_text(f"<div class=ad>{LONG}</div><article><h1>Head</h1><p>Short.</article><div class=related>{LONG}</div>") == "Head Short."
+    assert main_text("<ul class=menu><li><a href=/>Home</a></ul>") == ""
