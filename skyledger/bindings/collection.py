@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import date
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger import layout as L
 from skyledger.bindings.raw import table
 from skyledger.operators.sums import set_digest
-from skyledger.plans import state
+from skyledger.plans import collection, runs, state
+from skyledger.session import scratch_folder
+from skyledger.sinks.tables import Snapshots
 
 NOW = "2026-12-01T06:00:00+00:00"
 
@@ -240,7 +245,82 @@ def content_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_digest(table(spark, sf_dir, "documents"), ["source"], ["doc_id", "lang", "n_chars", "text"])
 
 
+def _all_tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, the fare years and the schedule in one manifest."""
+    events = table(spark, sf_dir, "events")
+    flights = events.agg(F.count("*").alias("bytes_zip")).select(
+        F.lit(L.SCHEDULE_KEY).alias("key"), (F.col("bytes_zip") - 1).alias("bytes_zip"), F.lit("1/2/2026 3:04 AM").alias("publicado_em"), F.lit(L.NEW).alias("situacao")
+    )
+    others = [_fare_manifest(spark, sf_dir), flights]
+    return reduce(lambda rows, more: rows.unionByName(more, allowMissingColumns=True), others, manifest(spark, sf_dir))
+
+
+def collection_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A collection run over documents on offer by language pages, fare years and a schedule; what it plans is fetched, and the
+    next run is over the same pages. Both plans, and the states at the end.
+
+    The English and German pages have another date than before, the French one has not, the Spanish one shows none. The
+    schedule has grown by a byte.
+    """
+    root = scratch_folder(spark, "collection")
+    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    fares = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        F.concat(F.lit("tarifas/"), F.lower("c_mktsegment")).alias("segment"), F.year("o_orderdate").alias("year"), F.date_format("o_orderdate", "MM").alias("month"), "o_orderdate")
+    published = fares.groupBy("segment", "year", "month").agg(F.date_format(F.max("o_orderdate"), "dd/MM/yyyy HH:mm").alias("published_at"))
+    documents = table(spark, sf_dir, "documents")
+    offer = inventory(spark, sf_dir).withColumn("page", F.substring_index("segment", "-", -1))
+    shown = F.when(F.col("lang") == "es", "").otherwise(F.max("doc_id").cast("string"))
+    pages = documents.groupBy("lang").agg(shown.alias("updated")).select(F.col("lang").alias("page"), F.lit(None).cast("string").alias("published"), "updated")
+    before = pages.where("page <> 'de'").withColumn("swept", F.when(F.col("page") == "en", "0").otherwise(F.col("updated")))
+    listing = table(spark, sf_dir, "events").agg(F.count("*").alias("bytes")).select(F.lit("VOOS.zip").alias("name"), F.lit("1/2/2026 3:04 AM").alias("published_at"), "bytes")
+    Snapshots(spark, f"{root}/manifest").replace(_all_tracked(spark, sf_dir))
+    Snapshots(spark, f"{root}/pages").replace(before)
+    seen = {"pages": pages, "offered": fares.select("segment", "year").distinct(), "publications": published, "listing": listing, "oldest_year": 0}
+
+    runs.collect(spark, root, offer, **seen)
+    plans = Snapshots(spark, f"{root}/collection_plan")
+    first = plans.read().drop("planned")
+    key = F.concat_ws("/", "segment", "ref").alias("key")
+    content = offer.select(key, "impressao", F.col("bytes").alias("bytes_zip"))
+    got = first.select(key).join(content, "key", "left").join(collection.month_maps(published), "key", "left")
+    schedule = F.col("key") == L.SCHEDULE_KEY
+    got = got.select(
+        "key", F.coalesce("impressao", F.md5("key")).alias("impressao"), F.lit(None).cast("string").alias("failure"), "meses",
+        F.when(schedule, F.lit(table(spark, sf_dir, "events").count())).otherwise(F.col("bytes_zip")).alias("bytes_zip"),
+        F.when(schedule, "1/2/2026 3:04 AM").alias("publicado_em"),
+    )
+    runs.collect(spark, root, offer, got, **seen)
+    rows = [first.withColumn("step", F.lit("plan")), plans.read().withColumn("step", F.lit("again"))]
+    planned = [part.select("step", key, "reason", F.array_join("months", ",").alias("months")) for part in rows]
+    states = Snapshots(spark, f"{root}/manifest").read().select(
+        F.lit("state").alias("step"), "key", F.col("situacao").alias("reason"), F.array_join(F.array_sort(F.map_keys("meses")), ",").alias("months"))
+    return reduce(DataFrame.unionByName, [*planned, states])
+
+
+def collection_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The status of documents, fare years and the schedule, written by a run and read back."""
+    root = scratch_folder(spark, "status")
+    Snapshots(spark, f"{root}/manifest").replace(_all_tracked(spark, sf_dir))
+    return runs.report(spark, root, inventory(spark, sf_dir))
+
+
+def manifest_forget_preset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months of orders as tracked legs, with the schedule and fares: one year is forgotten, then what the newest month brings."""
+    root = scratch_folder(spark, "forget")
+    month, year = F.date_format("o_orderdate", "yyyyMM"), F.date_format("o_orderdate", "yyyy")
+    keys = F.array(*[F.concat(F.lit(f"{segment}/"), month) for segment in L.SEGMENTS], *[F.concat(F.lit(f"tarifas/{kind}/"), year) for kind in ("dom", "int")], F.lit(L.SCHEDULE_KEY))
+    known = table(spark, sf_dir, "orders").select(F.explode(keys).alias("key")).distinct()
+    book = Snapshots(spark, f"{root}/manifest")
+    book.replace(known.select("key", *[F.lit(None).cast(kind).alias(name) for name, kind in state.FIELDS.items()]))
+    runs.forget(spark, root, date(2001, 1, 1), year=1997)
+    runs.forget(spark, root, date(2001, 1, 1))
+    return book.read().select("key")
+
+
 QUERIES = {
+    "collection_run": collection_run,
+    "collection_status": collection_status,
+    "manifest_forget_preset": manifest_forget_preset,
     "inventory_new": inventory_new,
     "inventory_floor": inventory_floor,
     "inventory_backfill": inventory_backfill,
@@ -286,7 +366,69 @@ _FARE_ROWS = """
       m as (select segment, cast(year(o_orderdate) as int) as y, cast(month(o_orderdate) as int) as m, max(o_orderdate) as d
             from o where o_orderstatus = 'F' group by all)"""
 
+_RUN = f"""{_OPEN},
+      docs as (
+        select segment, ref, 'new' as reason from missing where ref > newest
+        union all
+        select segment, ref, 'first run' from (
+          select * from missing where newest is null qualify row_number() over (partition by segment order by ref desc) <= 12)
+        union all
+        select segment, ref, 'size' from {_INVENTORY} join {_MANIFEST} using (segment, ref)
+        where quality = 1 and bytes_zip > 0 and bytes <> bytes_zip and split_part(segment, '-', 2) in ('en', 'de')),
+      o as (select 'tarifas/' || lower(c_mktsegment) as segment, * from orders join customer on o_custkey = c_custkey),
+      shown as (select segment, year(o_orderdate) as y, month(o_orderdate) as m, max(o_orderdate) as d from o group by all),
+      had as (select segment, year(o_orderdate) as y, month(o_orderdate) as m, max(o_orderdate) as d from o where o_orderstatus = 'F' group by all),
+      last as (select segment, max(y * 100 + m) as ym from had group by all),
+      tops as (select segment, max(y) as top from shown group by all),
+      wanted as (select segment, case when ym is null then top when ym % 100 = 12 then ym // 100 + 1 else ym // 100 end as y from tops left join last using (segment)),
+      due as (select w.segment, w.y, lpad(cast(s.m as varchar), 2, '0') as m, h.d is null or h.d <> s.d as moved
+              from wanted w join shown s using (segment, y) left join had h using (segment, y, m)),
+      moved as (select segment, y, string_agg(m, ',' order by m) as months from due where moved group by all)"""
+
 SQL = {
+    "collection_run": f"""{_RUN},
+          plan as (
+            select 'plan' as step, segment || '/' || ref as key, reason, null as months from docs
+            union all select 'plan', segment || '/' || y, 'months', months from moved
+            union all select 'plan', '{L.SCHEDULE_KEY}', 'announced', null),
+          doc_states as (
+            select m.key, m.situacao, m.impressao from {_MANIFEST} m),
+          states as (
+            select coalesce(p.key, s.key) as key,
+              case when p.key is null then s.situacao when s.key is null then 'novo' when s.impressao = i.impressao then 'inalterado' else 'republicado' end as reason,
+              null as months
+            from (select segment || '/' || ref as key, segment, ref from docs) p full join doc_states s on s.key = p.key left join inv i on i.segment = p.segment and i.ref = p.ref
+            union all
+            select segment || '/' || y, case when (segment, y) in (select (segment, y) from due) then 'inalterado' when y = 2001 then 'erro' else 'atualizado' end,
+              string_agg(distinct lpad(cast(m as varchar), 2, '0'), ',' order by lpad(cast(m as varchar), 2, '0'))
+            from (select segment, y, m from had union select segment, y, cast(m as bigint) from due) group by segment, y
+            union all select '{L.SCHEDULE_KEY}', 'inalterado', null)
+        select step, key, reason, months from plan
+        union all select 'state', key, reason, months from states""",
+    "collection_status": f"""{_FARE_ROWS},
+          e as (
+            select segment, ref, '2026-11-02T06:00:00+00:00' as verificado_em, bytes_zip, situacao, null as fm, null as fd from {_MANIFEST}
+            union all
+            select segment, cast(y as varchar), '{NOW}', count(*), case when y = 2001 then 'erro' else 'atualizado' end,
+              y || lpad(cast(max(m) as varchar), 2, '0'), strftime(arg_max(d, m), '%d/%m/%Y %H:%M') from m group by segment, y
+            union all select 'siros', 'voos', null, (select count(*) - 1 from events), 'novo', null, null),
+          c as (select *, situacao in ('novo', 'atualizado', 'republicado', 'inalterado') as have from e),
+          g as (
+            select segment, max(case when have then ref end) as ref, max(fm) as fare_month, arg_max(fd, fm) as fare_published_at, count(*) as tracked,
+              count(*) filter (have) as collected, count(*) filter (situacao in ('erro', 'indisponivel')) as problems,
+              count(*) filter (situacao = 'republicado') as republished
+            from c group by segment),
+          t as (select segment, count(*) as total, min(ref) as first, max(ref) as last from {_INVENTORY} group by segment)
+        select segment, g.ref, c.verificado_em, c.bytes_zip, c.situacao, fare_month, fare_published_at, coalesce(tracked, 0) as tracked,
+          coalesce(collected, 0) as collected, coalesce(problems, 0) as problems, coalesce(republished, 0) as republished, total, first, last
+        from g full join t using (segment) left join c on c.segment = g.segment and c.ref = g.ref""",
+    "manifest_forget_preset": f"""
+        with k as (
+          select distinct unnest(['basica/' || strftime(o_orderdate, '%Y%m'), 'combinada/' || strftime(o_orderdate, '%Y%m'),
+            'tarifas/dom/' || year(o_orderdate), 'tarifas/int/' || year(o_orderdate), '{L.SCHEDULE_KEY}']) as key from orders),
+          y as (select key from k where not regexp_matches(key, '/1997(..)?$') and key <> '{L.SCHEDULE_KEY}'),
+          n as (select max(split_part(key, '/', 2)) as ref from y where starts_with(key, 'basica/'))
+        select key from y, n where key not in ('basica/' || ref, 'combinada/' || ref, 'tarifas/dom/' || ref[1:4])""",
     "inventory_new": f"""{_OPEN}
         select segment, ref, bytes, impressao from missing where ref > newest
         union all

@@ -1,15 +1,16 @@
 """Whole runs: new files to landed rows, landed rows to marts, all open months in one job.
 
-Layout below the root folder: ``landed/{legs,combined,fares_dom,fares_int,schedule}``, ``index`` (what
-has been landed, with its content hash), ``staging`` (what a run has just parsed), ``dims/{airports,aircraft,airlines,rates}``,
-``rates``, ``combined_sums``, ``fares``, ``mart``, ``finished``, ``schedule``, ``frozen``, ``running_year``, ``manifest`` and
-``run_issues``.
+Layout below the root folder: ``landed/{legs,combined,fares_dom,fares_int,schedule}``, ``index`` and ``schedule_index`` (what
+has been landed, with its content hash and the time of its publication), ``files`` and ``schedule_files`` (what has been opened), ``staging`` (what a run has just parsed), ``dims/{airports,aircraft,airlines,rates}``,
+``rates``, ``combined_sums``, ``fares``, ``mart``, ``finished``, ``schedule``, ``frozen``, ``running_year``, ``manifest``, ``pages``,
+``collection_plan``, ``status``, ``to_look_at`` and ``run_issues``.
 """
 
 from __future__ import annotations
 
 from calendar import monthrange
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -17,15 +18,16 @@ from pyspark.sql import functions as F
 from skyledger import layout as L
 from skyledger.operators.dedup import upsert
 from skyledger.operators.lookup import lookup_join
-from skyledger.plans import dimensions, fares, legs, markets, mart, schedule, state, years
+from skyledger.plans import collection, dimensions, fares, legs, markets, mart, schedule, state, years
 from skyledger.sinks.tables import Snapshots, exists, observed_write, rate_table, write_periods
 from skyledger.sources import archives
-from skyledger.sources.landing import discover
+from skyledger.sources.landing import dashed, discover, not_older, unseen
 from skyledger.sources.tables import with_period
 
 PERIOD = ["year", "month"]
 ISSUES = "path string, member string, problem string, lines bigint"
-INDEX = "folder string, year int, month int, impressao string"
+INDEX = "folder string, year int, month int, impressao string, modified timestamp, dashed boolean"
+FILES = "path string, modified timestamp, bytes bigint"
 _FARE_REQUIRED = [name for name in L.FARE_RAW if name not in ("sg_icao_retorno", "cd_classe_ida")]
 # kind of file -> (landing folder, columns, encoding, lines above the header, columns a file cannot do without)
 LANDING = {
@@ -54,37 +56,55 @@ def _note(issues: DataFrame, root: str) -> None:
     issues.select("path", "member", "problem", "lines").write.mode("append").parquet(f"{root}/run_issues")
 
 
+def _unseen(spark: SparkSession, root: str, inbox: DataFrame, book: str) -> tuple[Snapshots, DataFrame, list]:
+    """The book of files seen, its rows, and the files of the inbox that are not in it, by path, time and size alone."""
+    files, seen = _table(spark, f"{root}/{book}", FILES)
+    return files, seen, unseen(archives.listed(inbox), seen).collect()
+
+
+def _see(files: Snapshots, seen: DataFrame, new: list) -> None:
+    """Note files as seen; a path that comes again with other content has its new time."""
+    files.replace(upsert(seen, files.spark.createDataFrame(new, FILES), ["path"]), allow_empty=True)
+
+
 def land(spark: SparkSession, root: str, inbox: DataFrame) -> int:
     """Write the rows of new files as text columns, one folder per kind and month, and note their content; the
     number of files landed.
 
-    ``inbox`` is what ``archives.files`` lists. Every archive is opened once to list and hash its members.
-    Of two files for one month the one with the dashed name counts, then the newest publication. A file whose
-    content the index has is not read again. A month that comes again replaces its folder. A file that cannot
-    be read whole, has no rows or lacks a column lands nothing and leaves what was there; each problem is
-    one row of ``run_issues``, and the others land.
+    ``inbox`` is what ``archives.files`` lists. Files whose path, time and size are known from an earlier run are not
+    opened. Each new archive is opened once to list and hash its members, and a member whose content is new for its month once
+    more to read it as text, which is parsed from there.
+    Of two files for one month the one with the dashed name counts, then the newest publication, whichever inbox they
+    come in: an older publication that comes later lands nothing. A month that comes again replaces its folder. A file that
+    cannot be read whole, has no rows or lacks a column lands nothing and leaves what was there; each problem is
+    one row of ``run_issues``, once for each content, and the others land.
     """
-    members = _staged(archives.archive_members(inbox), root, "members")
+    files, seen, new_files = _unseen(spark, root, inbox, "files")
+    if not new_files:
+        return 0
+    opened = archives.reread(spark, [row["path"] for row in new_files])
+    members = _staged(archives.archive_members(opened), root, "members")
     unreadable = members.where(F.col("status") != "ok")
     _note(unreadable.select("path", "member", F.col("status").alias("problem"), F.lit(1).cast("bigint").alias("lines")), root)
     found = discover(members.where(F.col("status") == "ok"), "member")
     folder_of = F.create_map(*[F.lit(part) for kind, (folder, *_) in LANDING.items() for part in (kind, folder)])
-    found = found.withColumn("folder", folder_of[F.col("kind")])
+    found = found.withColumns({"folder": folder_of[F.col("kind")], "modified": F.col("modificationTime"), "dashed": dashed(F.col("member"))})
     book, index = _table(spark, f"{root}/index", INDEX)
-    known = index.select("folder", *PERIOD, F.col("impressao").alias("sha256"))
     # at most one file per kind and calendar month
-    new = lookup_join(found, known, {name: name for name in known.columns}, "left_anti").collect()
+    candidates = not_older(found, index).collect()
+    noted = [row for row in candidates if row["known"]]
     landed = []
     for kind, (folder, columns, encoding, skip, required) in LANDING.items():
-        mine = [row for row in new if row["kind"] == kind]
+        mine = [row for row in candidates if row["kind"] == kind and not row["known"]]
         if not mine:
             continue
         wanted: dict[str, list[str]] = {}
         for row in mine:
             wanted.setdefault(row["path"], []).append(row["member"])
         chosen = F.broadcast(spark.createDataFrame(list(wanted.items()), "path string, members array<string>"))
-        source = inbox.where(F.col("path").isin(list(wanted))).join(chosen, "path")
-        parsed = _staged(archives.file_rows(source, columns, encoding, skip, required), root, folder)
+        source = archives.reread(spark, list(wanted)).join(chosen, "path")
+        rows = archives.file_rows(source, columns, encoding, skip, required, f"{root}/staging/{folder}-text")
+        parsed = _staged(rows, root, folder)
         _note(archives.run_issues(parsed), root)
         whole = parsed.where(F.col("problem").isNotNull() & F.col("line").isNull())
         failed = {(row["path"], row["member"]) for row in whole.select("path", "member").distinct().collect()}
@@ -93,44 +113,114 @@ def land(spark: SparkSession, root: str, inbox: DataFrame) -> int:
         if good:
             rows = with_period(archives.good_rows(parsed).where(keep), "member")
             write_periods(rows.drop("path", "member"), f"{root}/landed/{folder}")
-        landed += [(folder, row["year"], row["month"], row["sha256"]) for row in good]
-    if landed:
-        book.replace(upsert(index, spark.createDataFrame(landed, INDEX), ["folder", *PERIOD]), allow_empty=True)
+        landed += good
+    entries = [tuple(row[name] for name in ("folder", *PERIOD, "sha256", "modified", "dashed")) for row in noted + landed]
+    if entries:
+        book.replace(upsert(index, spark.createDataFrame(entries, INDEX), ["folder", *PERIOD]), allow_empty=True)
+    _see(files, seen, new_files)
     return len(landed)
 
 
 def land_schedule(spark: SparkSession, root: str, inbox: DataFrame) -> bool:
-    """Replace the landed schedule by the newest publication; without a readable one the old one stays."""
-    members = archives.archive_members(inbox).where(F.lower("member") == SCHEDULE_FILE)
-    order = [F.desc("modificationTime")] if "modificationTime" in inbox.columns else []
-    newest = members.orderBy(*order, F.desc("path")).select("path", "member").head()
-    if newest is None:
-        return False
-    source = inbox.where(F.col("path") == newest["path"]).withColumn("members", F.array(F.lit(newest["member"])))
-    columns = list(L.SCHEDULE_RAW.values())
-    parsed = _staged(archives.file_rows(source, columns, "utf-8-sig", 1, columns[:1]), root, "schedule")
-    _note(archives.run_issues(parsed), root)
-    if not parsed.where(F.col("problem").isNotNull() & F.col("line").isNull()).isEmpty():
-        return False
-    Snapshots(spark, f"{root}/landed/schedule").replace(archives.good_rows(parsed).drop("path", "member"))
-    return True
-
+    """Replace the landed schedule by the newest publication; without a newer readable one of other content the old one stays.
 
-def collect(spark: SparkSession, root: str, inventory: DataFrame, fetched: DataFrame | None = None) -> DataFrame:
-    """Note what has been fetched, then plan what to fetch next: ``segment, ref, reason``.
-
-    ``inventory`` has the refs on offer with their size (``state.inventory`` columns); ``fetched`` has key, ``impressao``,
-    ``failure`` and any other manifest field of what came in since the last run. Its state is told by the fingerprint
-    against the manifest. Running again without anything new plans the same and changes no state.
+    Files that were seen before are not opened.
+    """
+    files, seen, new_files = _unseen(spark, root, inbox, "schedule_files")
+    if not new_files:
+        return False
+    members = archives.archive_members(archives.reread(spark, [row["path"] for row in new_files])).where(F.lower("member") == SCHEDULE_FILE)
+    order = [F.desc("modificationTime"), F.desc("path")]
+    newest = members.orderBy(*order).select("path", "member", "modificationTime", "sha256").head()
+    book, before = _table(spark, f"{root}/schedule_index", INDEX)
+    last = before.head()
+    fresh = newest is not None and (last is None or (newest["modificationTime"] >= last["modified"] and newest["sha256"] != last["impressao"]))
+    done = False
+    if fresh:
+        source = archives.reread(spark, [newest["path"]]).withColumn("members", F.array(F.lit(newest["member"])))
+        columns = list(L.SCHEDULE_RAW.values())
+        rows = archives.file_rows(source, columns, "utf-8-sig", 1, columns[:1], f"{root}/staging/schedule-text")
+        parsed = _staged(rows, root, "schedule")
+        _note(archives.run_issues(parsed), root)
+        if parsed.where(F.col("problem").isNotNull() & F.col("line").isNull()).isEmpty():
+            Snapshots(spark, f"{root}/landed/schedule").replace(archives.good_rows(parsed).drop("path", "member"))
+            entry = ("schedule", None, None, newest["sha256"], newest["modificationTime"], False)
+            book.replace(spark.createDataFrame([entry], INDEX))
+            done = True
+    _see(files, seen, new_files)
+    return done
+
+
+def collect(
+    spark: SparkSession, root: str, inventory: DataFrame, fetched: DataFrame | None = None, pages: DataFrame | None = None,
+    offered: DataFrame | None = None, publications: DataFrame | None = None, listing: DataFrame | None = None,
+    forced: bool = False, backfill: bool = False, complete: bool = False, oldest_year: int = L.OLDEST_YEAR,
+) -> DataFrame:
+    """Note what has been fetched, then plan what to fetch next of all publishers: ``segment, ref, reason``.
+
+    ``inventory`` has the refs on offer with their size and, if there are several, their ``page``; ``pages`` the dates that pages
+    show (``page, published, updated``); ``offered`` the fare years on offer (``segment, year``) and ``publications`` the months of
+    the fare tables that were opened (``segment, year, month, published_at``); ``listing`` the directory of the schedule (``name,
+    published_at, bytes``). What is not given is not looked at. ``fetched`` has key, ``impressao``, ``failure`` and any other
+    manifest field of what came in since the last run. ``forced`` sweeps all pages and plans the schedule whatever is announced,
+    ``complete`` looks at every fare year, ``backfill`` at all gaps of the movements.
+
+    The plan with the months of fare years is the newest version of ``collection_plan``. Running again without anything
+    new plans the same and changes no state; with everything fetched it plans nothing.
     """
     book, manifest = _table(spark, f"{root}/manifest", state.MANIFEST)
+    now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
     if fetched is not None:
-        now = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ssXXX")
-        book.replace(state.register(manifest, state.classify(fetched, manifest).drop("failure"), now))
+        told = collection.classified(fetched, manifest)
+        # what could not be fetched keeps what was known of its content
+        failed = told.where(F.col("failure").isNotNull()).select("key", "situacao", *[name for name in ("detalhe",) if name in told.columns])
+        came = told.where(F.col("failure").isNull()).drop("failure")
+        book.replace(state.register(state.register(manifest, came, now), failed, now))
         manifest = book.read()
-    plan = Snapshots(spark, f"{root}/collection_plan")
-    plan.replace(state.collection_plan(inventory, manifest).withColumn("planned", F.current_timestamp()), allow_empty=True)
-    return plan.read().drop("planned")
+    page_book, before = _table(spark, f"{root}/pages", collection.PAGES)
+    opened = None if pages is None else collection.gate(pages, before, forced)
+    moves = collection.movements(inventory, manifest, opened, backfill, oldest_year=oldest_year)
+    years = None if offered is None else collection.fare_years(manifest, offered, publications, complete, oldest_year)
+    announced = None
+    if listing is not None:
+        announced = state.schedule_skippable(collection.schedule_listing(listing), manifest, forced)
+
+    planned = Snapshots(spark, f"{root}/collection_plan")
+    planned.replace(collection.plan(moves, years, announced).withColumn("planned", F.current_timestamp()), allow_empty=True)
+    updates = collection.seen(years, announced)
+    if updates:
+        # a fare year or the schedule: a handful of rows
+        known = reduce(lambda rows, update: state.register(rows, update, now), updates, manifest)
+        book.replace(known, allow_empty=True)
+    if opened is not None:
+        page_book.replace(collection.pages_after(opened, before, moves, inventory), allow_empty=True)
+    return planned.read().select("segment", "ref", "reason")
+
+
+def report(spark: SparkSession, root: str, inventory: DataFrame) -> DataFrame:
+    """Write the status of all segments as the newest version of ``status``, and what to look at as that of ``to_look_at``; the
+    first of them, read back."""
+    _, manifest = _table(spark, f"{root}/manifest", state.MANIFEST)
+    Snapshots(spark, f"{root}/to_look_at").replace(state.to_look_at(manifest), allow_empty=True)
+    book = Snapshots(spark, f"{root}/status")
+    book.replace(state.status(manifest, inventory), allow_empty=True)
+    return book.read()
+
+
+def forget(spark: SparkSession, root: str, today: date, keys: DataFrame | None = None, year: int | None = None) -> int:
+    """Take entries out of the manifest, so that the next run collects them anew; how many there were.
+
+    ``keys`` names them; else those of a ``year``; else those of the newest month, the schedule and the domestic fares of its year.
+    """
+    book, manifest = _table(spark, f"{root}/manifest", state.MANIFEST)
+    if keys is None and year is not None:
+        keys = state.year_keys(spark.range(1).select(F.lit(year).alias("year")))
+    elif keys is None:
+        keys = state.current_month_keys(manifest, F.lit(today))
+    left = state.forget(manifest, keys)
+    before = manifest.count()
+    book.replace(left, allow_empty=True)
+    return before - book.read().count()
 
 
 def available_months(index: DataFrame) -> DataFrame:

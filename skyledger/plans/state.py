@@ -132,7 +132,7 @@ def refs_to_collect(
     refs above the newest known one. The year floor holds for all but a backfill."""
     if backfill:
         return missing_refs(inventory, manifest)
-    visible = inventory if oldest_year is None else inventory.where(F.left("ref", F.lit(4)).cast("int") >= oldest_year)
+    visible = inventory if oldest_year is None else inventory.where(F.left("ref", F.lit(4)).try_cast("int") >= oldest_year)
     open_refs = _with_newest(visible, manifest)
     later = open_refs.where(F.col("ref") > F.col("newest"))
     first = last_rows(open_refs.where(F.col("newest").isNull()), ["segment"], [F.desc("ref")], first_run)
@@ -159,7 +159,7 @@ def collection_plan(
     """What a collection run has to fetch, and why: refs above the newest known one (``new``), the last few of a segment
     on its first run (``first run``), and known refs whose announced size is another one (``size``). The year floor holds
     for all of them."""
-    visible = inventory if oldest_year is None else inventory.where(F.left("ref", F.lit(4)).cast("int") >= oldest_year)
+    visible = inventory if oldest_year is None else inventory.where(F.left("ref", F.lit(4)).try_cast("int") >= oldest_year)
     started = known_refs(visible, manifest).select("segment").distinct().withColumn("_started", F.lit(True))
     fresh = lookup_join(refs_to_collect(visible, manifest, first_run=first_run, oldest_year=None), started, {"segment": "segment"})
     why = F.when(F.col("_started"), "new").otherwise("first run")
@@ -337,3 +337,31 @@ def tracked(manifest: DataFrame) -> DataFrame:
         F.count_if(F.col("situacao").isin(L.PROBLEMS)).alias("problems"),
         F.count_if(F.col("situacao") == L.REPUBLISHED).alias("republished"),
     )
+
+
+def status(manifest: DataFrame, inventory: DataFrame) -> DataFrame:
+    """One row for each segment of the manifest or the inventory: its newest collected ref with its attributes, the newest
+    fare month and its date, how much of what is on offer is collected, and how many entries have problems or are republished.
+
+    One grouped pass over each of the two.
+    """
+    have = F.col("situacao").isin(L.COLLECTED)
+    attributes = F.struct("ref", "verificado_em", "bytes_zip", "situacao")
+    month = F.array_max(F.map_keys("meses"))
+    fare = F.struct(F.concat("ref", month).alias("month"), F.try_element_at("meses", month).alias("published_at"))
+    entries = with_parts(manifest).groupBy("segment").agg(
+        F.max_by(attributes, F.when(have, F.col("ref"))).alias("latest"), F.max_by(fare, F.concat("ref", month)).alias("fare"),
+        F.count("*").alias("tracked"), F.count_if(have).alias("collected"),
+        F.count_if(F.col("situacao").isin(L.PROBLEMS)).alias("problems"), F.count_if(F.col("situacao") == L.REPUBLISHED).alias("republished"),
+    )
+    counts = [F.coalesce(name, F.lit(0)).alias(name) for name in ("tracked", "collected", "problems", "republished")]
+    latest = [F.when(F.col("collected") > 0, F.col(f"latest.{name}")).alias(name) for name in ("ref", "verificado_em", "bytes_zip", "situacao")]
+    return entries.join(inventory_totals(inventory), "segment", "full").select(
+        "segment", *latest, F.col("fare.month").alias("fare_month"), F.col("fare.published_at").alias("fare_published_at"), *counts, "total", "first", "last"
+    )
+
+
+def to_look_at(manifest: DataFrame) -> DataFrame:
+    """``key, situacao, detalhe`` of the entries with problems and of those that were republished."""
+    again = manifest.where(F.col("situacao") == L.REPUBLISHED).select("key", "situacao", "detalhe")
+    return problems(manifest).unionByName(again)

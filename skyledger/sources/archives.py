@@ -1,8 +1,9 @@
-"""ZIP archives and bare delimited files to rows.
+"""ZIP archives and bare delimited files to rows, in two steps.
 
-Spark lists the files and hands each one to a task (``binaryFile``); inside the task the delimited
-text is parsed in record batches, so a member is never held whole as rows. The text is
-transcoded here, because Spark has no reader for Windows code pages.
+Spark lists the files and hands each one to a task (``binaryFile``). Inside the task a member is only unpacked, turned into
+UTF-8 and cut into numbered records, because Spark has no reader for ZIP files; what comes out is a table of text. It is
+written before it is parsed, by Spark's ``from_csv``: a ZIP file cannot be split, its text can, so the records of a huge
+member are parsed by as many tasks as they fill.
 """
 
 from __future__ import annotations
@@ -10,18 +11,21 @@ from __future__ import annotations
 import csv
 import hashlib
 import io
+import re
 import sys
 import zipfile
 import zlib
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyarrow import csv as arrow_csv
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyledger.layout import NULL_TOKENS
+from skyledger.functions.numbers import null_tokens
+from skyledger.operators.lookup import lookup_join
+from skyledger.session import scratch_folder
 
 # tasks get the functions below by value, so workers need no copy of this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -30,6 +34,13 @@ MEMBERS = (
     "path string, member string, bytes bigint, crc bigint, sha256 string, fingerprint string, status string"
 )
 _TARGETS = (".csv", ".txt")
+#: Records of text: the header of a member has line -1, problems of a whole file have no line.
+RECORDS = "path string, member string, line bigint, cells int, record string, header array<string>, problem string"
+#: Characters that are read at once, and the longest record: a quote that is not closed by then makes its member unreadable.
+CHUNK, LONGEST = 1 << 22, 1 << 20
+#: Bytes of text that are the least a task takes.
+SPLIT = 16 << 20
+_QUOTED, _OPEN = r'(^|;)"(?:[^"]|"")*"', r'(^|;)"'
 #: What reading a damaged member raises.
 UNREADABLE = (zipfile.BadZipFile, zlib.error, EOFError, OSError, NotImplementedError, RuntimeError)
 
@@ -42,6 +53,16 @@ def files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFra
     return reader.load(path)
 
 
+def listed(files: DataFrame) -> DataFrame:
+    """``path, modified, bytes`` of files: what a file system tells without opening one."""
+    return files.select("path", F.col("modificationTime").alias("modified"), F.col("length").alias("bytes"))
+
+
+def reread(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """These files and no others, so none but these is opened."""
+    return spark.read.format("binaryFile").load([re.sub(r"([\\{}\[\]*?^])", r"\\\1", path) for path in paths])
+
+
 def _directory_hash(archive: zipfile.ZipFile) -> str:
     """Content hash of an archive from names, sizes and checksums, whatever the times in it."""
     entries = sorted((i.filename, i.file_size, i.CRC) for i in archive.infolist() if not i.is_dir())
@@ -115,66 +136,46 @@ def archive_members(archives: DataFrame) -> DataFrame:
     return archives.select("path", "content", *kept).mapInArrow(members, fields)
 
 
-def _header(stream, encoding: str, skip: int) -> list[str]:
-    for _ in range(skip):
-        stream.readline()
-    cells = next(csv.reader([stream.readline().decode(encoding)], delimiter=";"), [])
-    return [name.strip() for name in cells]
-
-
-def _parse(stream, names: Sequence[str], columns: Sequence[str], encoding: str) -> Iterator[tuple[pa.Table, list]]:
-    """Batches of the wanted columns, all text, with place and text of the lines that do not fit the header."""
-    bad: list = []
-
-    def misfit(row):
-        bad.append((row.number - 1, row.actual_columns, row.text))
-        return "skip"
-
-    try:
-        reader = arrow_csv.open_csv(
-            stream,
-            read_options=arrow_csv.ReadOptions(column_names=names, encoding=encoding, use_threads=False),
-            parse_options=arrow_csv.ParseOptions(delimiter=";", invalid_row_handler=misfit),
-            convert_options=arrow_csv.ConvertOptions(
-                include_columns=list(columns), include_missing_columns=True,
-                column_types={name: pa.string() for name in columns},
-                strings_can_be_null=True, null_values=NULL_TOKENS,
-            ),
-        )
-    except pa.ArrowInvalid as error:
-        if "Empty CSV" in str(error):  # a header and nothing below it
-            return
-        raise
-    for batch in reader:
-        yield pa.Table.from_batches([batch]), bad[:]
-        bad.clear()
-    if bad:
-        yield pa.table({name: pa.array([], pa.string()) for name in columns}), bad[:]
-
-
-def _padded(text: str, names: Sequence[str], columns: Sequence[str]) -> dict:
-    cells = next(csv.reader([text], delimiter=";"), [])
-    row = dict(zip(names, cells))
-    return {name: None if row.get(name) in NULL_TOKENS else row.get(name) for name in columns}
-
-
-def file_rows(
-    source: DataFrame, columns: Sequence[str], encoding: str = "cp1252", skip: int = 0, required: Sequence[str] = ()
-) -> DataFrame:
-    """Rows of all data members of archives, and of bare files, as text columns by header name.
-
-    Adds ``path``, ``member``, ``line`` (position below the header, from 0) and ``problem``. A row with a
-    problem has no values; its ``line`` is null if the problem is that of a whole file: an archive that
-    cannot be opened, a member that cannot be read or decoded to its end, that has no rows, or that
-    lacks one of the ``required`` columns. One bad file never stops the others. A short line is filled
-    up with nulls, a line with too many cells is a problem. With a column ``members`` in ``source`` only
-    the members named there are read.
+def _cells(lines: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Cells of each line, and whether it ends inside of a quoted cell."""
+    bare = pc.replace_substring_regex(lines, _QUOTED, r"\1")
+    return pc.add(pc.count_substring(bare, ";"), 1), pc.match_substring_regex(bare, _OPEN)
+
+
+def _records(lines: list[str], before: str | None) -> tuple[list[str], list[int], str | None]:
+    """Records of some lines that follow an unfinished one, their cells, and what is unfinished at their end."""
+    if before is None and not any('"' in line for line in lines):
+        kept = [line for line in lines if line]
+        return kept, pc.add(pc.count_substring(pa.array(kept, pa.large_string()), ";"), 1).to_pylist(), None
+    cells, unfinished = (column.to_pylist() for column in _cells(pa.array(lines, pa.large_string())))
+    records, counts = [], []
+    for line, n, more in zip(lines, cells, unfinished):
+        if before is not None:
+            line = f"{before}\n{line}"
+            n, more = (column[0].as_py() for column in _cells(pa.array([line], pa.large_string()))) if '"' in line[len(before) :] else (0, True)
+            before = None
+        if more:
+            if len(line) > LONGEST:
+                raise ValueError("open quote")
+            before = line
+        elif line:
+            records.append(line)
+            counts.append(n)
+    return records, counts, before
+
+
+def records(source: DataFrame, encoding: str = "cp1252", skip: int = 0, required: Sequence[str] = ()) -> DataFrame:
+    """The text of all data members of archives, and of bare files, cut into records (``RECORDS``).
+
+    A record ends with a line unless a quoted cell is open there; empty lines are none. A record too long to hold and a
+    quote that is never closed are problems of their member, like a member that cannot be read or decoded. With a column
+    ``members`` in ``source`` only the members named there are read.
     """
-    columns = list(columns)
-    extra = [("path", pa.string()), ("member", pa.string()), ("line", pa.int64()), ("problem", pa.string())]
-    schema = pa.schema(extra + [(name, pa.string()) for name in columns])
-    fields = "path string, member string, line bigint, problem string, " + ", ".join(f"`{n}` string" for n in columns)
     chosen = "members" in source.columns
+    schema = pa.schema([
+        ("path", pa.string()), ("member", pa.string()), ("line", pa.int64()), ("cells", pa.int32()), ("record", pa.string()),
+        ("header", pa.list_(pa.string())), ("problem", pa.string()),
+    ])
 
     def streams(path: str, content: bytes):
         if path.lower().endswith(_TARGETS):
@@ -187,36 +188,34 @@ def file_rows(
         for info in targets:
             yield info.filename.rsplit("/", 1)[-1], archive.open(info), None
 
-    def member_rows(path: str, member: str, stream) -> Iterator[pa.RecordBatch]:
-        names = _header(stream, encoding, skip)
-        lacking = [name for name in required if name not in names]
+    def member_records(path: str, member: str, stream) -> Iterator[pa.RecordBatch]:
+        text = io.TextIOWrapper(stream, encoding, newline=None)
+        for _ in range(skip):
+            text.readline()
+        header = [name.strip() for name in next(csv.reader([text.readline()], delimiter=";"), [])]
+        lacking = [name for name in required if name not in header]
         if lacking:
             raise ValueError(f"missing columns: {', '.join(lacking)}")
-        line, seen, misfits = 0, 0, set()
-        for table, bad in _parse(stream, names, columns, encoding) if names else ():
-            misfits.update(number for number, _, _ in bad)
-            lines = []
-            while len(lines) < table.num_rows:  # misfits have numbers of their own in between
-                if line not in misfits:
-                    lines.append(line)
-                line += 1
-            n = len(lines)
-            filled = [
-                pa.array([path] * n, pa.string()), pa.array([member] * n, pa.string()),
-                pa.array(lines, pa.int64()), pa.nulls(n, pa.string()),
-            ]
-            if n:
-                yield from pa.Table.from_arrays(filled + [table[c] for c in columns], schema=schema).to_batches()
-            kept = []
-            for number, cells, text in bad:
-                short = cells is not None and cells < len(names)
-                values = _padded(text, names, columns) if short else {"problem": "too many cells"}
-                kept.append({"path": path, "member": member, "line": number, **values})
-                n += short
-            if kept:
-                yield pa.RecordBatch.from_pylist(kept, schema)
-            seen += n
-        if not seen:
+        yield pa.RecordBatch.from_pylist([{"path": path, "member": member, "line": -1, "header": header}], schema)
+        line, rest, unfinished, last = 0, "", None, False
+        while header and not last:
+            chunk = text.read(CHUNK)
+            last = not chunk
+            lines = (rest + chunk).split("\n")
+            rest = "" if last else lines.pop()
+            found, cells, unfinished = _records(lines, unfinished)
+            n = len(found)
+            for at in range(0, n, 1 << 16):
+                part = slice(at, at + (1 << 16))
+                size = len(found[part])
+                yield pa.RecordBatch.from_arrays([
+                    pa.repeat(path, size), pa.repeat(member, size), pa.array(range(line + at, line + at + size), pa.int64()),
+                    pa.array(cells[part], pa.int32()), pa.array(found[part], pa.string()), pa.nulls(size, schema.field("header").type), pa.nulls(size, pa.string()),
+                ], schema=schema)
+            line += n
+        if unfinished is not None:
+            raise ValueError("open quote")
+        if not line:
             raise ValueError("no rows")
 
     def rows(path: str, content: bytes, wanted: set[str] | None) -> Iterator[pa.RecordBatch]:
@@ -225,7 +224,7 @@ def file_rows(
                 continue
             if not trouble:
                 try:
-                    yield from member_rows(path, member, stream)
+                    yield from member_records(path, member, stream)
                 except UnicodeDecodeError:
                     trouble = "undecodable"
                 except UNREADABLE:
@@ -241,7 +240,51 @@ def file_rows(
                 wanted = set(batch.column("members")[at].as_py() or ()) if chosen else None
                 yield from rows(batch.column("path")[at].as_py(), batch.column("content")[at].as_py(), wanted)
 
-    return source.select("path", "content", *["members"] * chosen).mapInArrow(run, fields)
+    return source.select("path", "content", *["members"] * chosen).mapInArrow(run, RECORDS)
+
+
+def parsed(stored: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Records that have been written, as text columns by header name: ``path, member, line, problem`` and ``columns``.
+
+    The widest header is looked up first; each record is parsed once, into as many cells, and the places of the
+    columns come with the header of its member.
+    """
+    headers = stored.where("line = -1").select("path", "member", F.size("header").alias("_width"), *[
+        F.array_position("header", name).cast("int").alias(f"_at{i}") for i, name in enumerate(columns)
+    ])
+    width = headers.agg(F.max("_width")).head()[0] or 1
+    cells = ", ".join(f"c{k} string" for k in range(width))
+    row = F.from_csv("record", cells, {"sep": ";", "quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    found = stored.where("line >= 0").select("path", "member", "line", "cells", row.alias("_row"))
+    found = found.select("path", "member", "line", "cells", F.array(*[F.col(f"_row.c{k}") for k in range(width)]).alias("_cells"))
+    placed = lookup_join(found, headers, {"path": "path", "member": "member"}, "inner")
+    problem = F.when(F.col("cells") > F.col("_width"), "too many cells")
+    values = [
+        null_tokens(F.when(F.col("problem").isNull(), F.get("_cells", F.col(f"_at{i}") - 1))).alias(name) for i, name in enumerate(columns)
+    ]
+    good = placed.withColumn("problem", problem).select("path", "member", "line", "problem", *values)
+    whole = stored.where(F.col("problem").isNotNull()).select("path", "member", "line", "problem")
+    return good.unionByName(whole, allowMissingColumns=True)
+
+
+def file_rows(
+    source: DataFrame, columns: Sequence[str], encoding: str = "cp1252", skip: int = 0, required: Sequence[str] = (), place: str | None = None
+) -> DataFrame:
+    """Rows of all data members of archives, and of bare files, as text columns by header name.
+
+    Adds ``path``, ``member``, ``line`` (position below the header, from 0) and ``problem``. A row with a
+    problem has no values; its ``line`` is null if the problem is that of a whole file: an archive that
+    cannot be opened, a member that cannot be read or decoded to its end, that has no rows, or that
+    lacks one of the ``required`` columns. One bad file never stops the others. A short line is filled
+    up with nulls, a line with too many cells is a problem. With a column ``members`` in ``source`` only
+    the members named there are read. The text is written to ``place``, or a new folder of the shared one.
+    """
+    spark = source.sparkSession
+    path = place or scratch_folder(spark, "records")
+    text = records(source, encoding, skip, required)
+    writing = text.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
+    writing.option("parquet.block.size", SPLIT).parquet(path)
+    return parsed(spark.read.schema(RECORDS).parquet(path), list(columns))
 
 
 def good_rows(rows: DataFrame) -> DataFrame:
