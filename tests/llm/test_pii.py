@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 import re
+from collections import Counter, defaultdict
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -96,3 +100,65 @@ def test_terms_of_an_entity_in_one_text(spark):
     text = rows[-2][1]
     assert by[5000].split(",")[1:] == [f"term:{m.start()}:{m.end()}" for m in re.finditer("(?i)quorba", text)]
     assert all(by[k] == "" for k in range(2000))
+
+
+def _pairs_by_hand(rows):
+    """Pairs over the threshold from counts of rows, by the definitions of the module."""
+    n, held, terms, both, kinds, around = len(rows), Counter(), Counter(), Counter(), defaultdict(set), defaultdict(set)
+    for text in rows:
+        spans = pii.base_spans(text or "")
+        near = pii.surroundings(text, spans) if spans else []
+        held.update({pii._entity(kind, text[a:b]) for kind, a, b in spans})
+        terms.update(set(pii._TERM.findall((text or "").lower())))
+        both.update({(e, t) for e, t, _ in near})
+        for e, t, place in near:
+            kinds[e, t].add(place)
+            around[e].add(place)
+    over = set()
+    for (e, t), n_both in both.items():
+        bits, told = math.log2(n / held[e]), math.log2(n_both * n / (held[e] * terms[t]))
+        k, m = len(kinds[e, t]), len(around[e])
+        share = k / m
+        chosen = m * -(share * math.log2(share) + (1 - share) * math.log2(1 - share)) if k < m else 0.0
+        if bits >= pii.LEAST_BITS and told >= bits - pii.UNDISCLOSED and k * math.log2(n / terms[t]) - chosen >= pii.EVIDENCE:
+            over.add((e, t))
+    return over
+
+
+@pytest.mark.parametrize("parts", [(16, 4096), (2, 10)])
+def test_pairs_against_counts_by_hand(spark, monkeypatch, parts):
+    """Random texts with entities once and twice in a document, counted over parts of the corpus and at once."""
+    monkeypatch.setattr(pii, "PART", parts[0])
+    monkeypatch.setattr(pii, "FIRST_PART", parts[1])
+    rng = random.Random(5)
+    names, common = [f"name{chr(97 + k)}{chr(97 + j)}" for k in range(12) for j in range(5)], ["the", "river", "mill", "says", "alpha", "beta"]
+    rows = []
+    for k in range(1500):
+        words = rng.choices(common, k=6)
+        for _ in range(rng.choice([0, 0, 0, 1, 2])):
+            who = rng.randrange(12)
+            words[rng.randrange(6)] = f"{rng.choice(names[5 * who : 5 * who + 5])} u{who}@e.org {rng.choice(common)}\n"
+        rows.append(" ".join(words))
+    rows += ["Zorro u@e.org alpha\nZorro u@e.org beta"] + ["Zorro alone"] * 3 + ["Quorba q@e.org"] * 2 + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string").repartition(4)
+    found = pii.over_threshold(docs, pii.find(docs))
+    want = _pairs_by_hand(rows)
+    assert {tuple(r) for r in found.collect()} == want and len(want) > 5
+    # half of the documents with the name hold the address at least: one of four does not
+    assert not any(entity == "email:u@e.org" for entity, _ in want)
+
+
+def test_an_entity_of_many_documents(spark):
+    """20,000 documents hold one address, each with a name of its own: every name goes, in one row a document."""
+    rows = spark.range(20_000).selectExpr("id as doc_id", "concat('write to hot@e.org, says ', translate(cast(id + 100000 as string), '0123456789', 'abcdefghij'), ' of the mill') as text")
+    rest = spark.range(400_000).selectExpr("id + 100000 as doc_id", "'the mill says to write of it' as text")
+    docs = rows.unionByName(rest).repartition(8)
+    found = pii.spans(docs).where("base <> ''")
+    assert found.agg(F.count("*"), F.sum((F.size(F.split("spans", ",")) >= 2).cast("int"))).head()[0] == 20_000
+
+
+def test_long_zeros_and_clashing_names(spark):
+    address = "0" * 5000 + "1.2.3.4"
+    assert pii.joined(pii.base_spans(f"at {address} now")) == f"ip:3:{3 + len(address)}"
+    docs = spark.createDataFrame([(1, f"at {address} now", "k", "x")], "doc_id bigint, text string, _key string, _extra string")
+    assert [tuple(r) for r in pii.sanitise(docs).collect()] == [(1, "at <ip> now", "k", "x")]
