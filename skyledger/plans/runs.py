@@ -9,20 +9,21 @@ has been landed, with its content hash and the time of its publication), ``files
 from __future__ import annotations
 
 from calendar import monthrange
-from datetime import date
+from datetime import UTC, date, datetime
 from functools import reduce
+from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger import layout as L
-from skyledger.operators.dedup import upsert
-from skyledger.operators.lookup import lookup_join
-from skyledger.plans import collection, dimensions, fares, legs, markets, mart, schedule, state, years
-from skyledger.sinks.tables import Snapshots, exists, observed_write, rate_table, write_periods
+from skyledger.operators.dedup import keep_last, upsert
+from skyledger.operators.sums import set_digest
+from skyledger.plans import collection, dimensions, fares, history, legs, markets, mart, schedule, state, years
+from skyledger.sinks.tables import Snapshots, exists, export_text, observed_write, rate_table, write_periods
 from skyledger.sources import archives
 from skyledger.sources.landing import dashed, discover, not_older, unseen
-from skyledger.sources.tables import with_period
+from skyledger.sources.tables import rate_payload, with_period
 
 PERIOD = ["year", "month"]
 ISSUES = "path string, member string, problem string, lines bigint"
@@ -223,16 +224,27 @@ def forget(spark: SparkSession, root: str, today: date, keys: DataFrame | None =
     return before - book.read().count()
 
 
-def available_months(index: DataFrame) -> DataFrame:
+def available_months(index: DataFrame, dims: str = "") -> DataFrame:
     """Months that have both movement files or fares, with one fingerprint over all their files; ``paired`` tells
-    whether the movements are there."""
+    whether the movements are there. ``dims`` is the fingerprint of the dimensions, which are input of paired months."""
     entries = F.array_sort(F.collect_list(F.concat_ws("=", "folder", "impressao")))  # at most four per month
     months = index.groupBy(*PERIOD).agg(
         F.sha2(F.array_join(entries, "|"), 256).alias("impressao"),
         (F.count_if(F.col("folder").isin("legs", "combined")) == 2).alias("paired"),
         (F.count_if(F.col("folder").startswith("fares")) > 0).alias("_fares"),
     )
-    return months.where(F.col("paired") | F.col("_fares")).drop("_fares")
+    known = months.where(F.col("paired") | F.col("_fares")).drop("_fares")
+    return known.withColumn("impressao", F.when(F.col("paired"), F.concat_ws(":", "impressao", F.lit(dims))).otherwise(F.col("impressao")))
+
+
+def dimension_fingerprint(spark: SparkSession, root: str) -> str:
+    """One fingerprint over the rows of the dimensions that the legs are joined with."""
+    found = []
+    for name in ("aircraft", "airports"):
+        rows = spark.read.parquet(f"{root}/dims/{name}")
+        row = set_digest(rows.withColumn("_all", F.lit(1)), ["_all"], sorted(rows.columns)).head()
+        found.append(row["fingerprint"] if row else "")
+    return sha256("|".join(found).encode()).hexdigest()[:16]
 
 
 def fill_in(
@@ -242,7 +254,8 @@ def fill_in(
     movement files are there.
 
     With ``year`` that year alone, whatever its age; else all years from ``oldest_year`` on. A month
-    is open when its files are not the ones it was last built from. What is joined to the legs is stored
+    is open when its files, the dimensions or a rate of its fares are not those it was last built from. The counts of each
+    month go to ``history``. What is joined to the legs is stored
     first, cabotage sums and fares, one folder per month.
 
     A month whose international fares lack a rate does not stop the others: it is built without these
@@ -252,7 +265,10 @@ def fill_in(
     _, index = _table(spark, f"{root}/index", INDEX)
     finished, done = _table(spark, f"{root}/finished", "year int, month int, impressao string")
     # one row per calendar month, which then prunes the landed folders
-    open_months = state.pending(available_months(index.where(wanted)), done, forced).collect()
+    used_book, used = _table(spark, f"{root}/rate_use", "year int, month int, rate_key string, rate decimal(18,6)")
+    rates = _rates(spark, root)
+    available = available_months(index.where(wanted), dimension_fingerprint(spark, root))
+    open_months = state.pending(available, done, forced, reopened=fares.changed_rates(used, rates)).collect()
     counts = {"rows": 0, "with_fare": 0, "departures": 0}
     if not open_months:
         return {**counts, "failed": 0}
@@ -260,10 +276,13 @@ def fill_in(
     def stored(path: str, months) -> DataFrame | None:
         return spark.read.parquet(f"{root}/{path}").where(_months(months)) if exists(spark, f"{root}/{path}") else None
 
-    domestic, international, rates = stored("landed/fares_dom", open_months), stored("landed/fares_int", open_months), _rates(spark, root)
+    domestic, international = stored("landed/fares_dom", open_months), stored("landed/fares_int", open_months)
     failed = []
+    needed = used.limit(0)
     if international is not None:
-        failed = fares.missing_rates(fares.fare_rows(international, comma=False), rates, PERIOD).collect()
+        abroad = fares.fare_rows(international, comma=False)
+        failed = fares.missing_rates(abroad, rates, PERIOD).collect()
+        needed = fares.used_rates(abroad, rates)
     if failed:
         issues = [("fares_int", f"{r['year']}-{r['month']:02d}", f"no rate for {r['rate_key']}", r["rows"]) for r in failed]
         _note(spark.createDataFrame(issues, ISSUES), root)
@@ -271,6 +290,7 @@ def fill_in(
     routes = fare_routes(domestic, international, rates)
     if routes is not None:
         write_periods(routes, f"{root}/fares")
+    used_book.replace(used.where(~_months(open_months)).unionByName(needed), allow_empty=True)
     paired = [row for row in open_months if row["paired"]]
     if paired:
         write_periods(legs.combined_sums(stored("landed/combined", paired)), f"{root}/combined_sums")
@@ -278,9 +298,12 @@ def fill_in(
         leg_table = legs.leg_table(
             stored("landed/legs", paired), stored("combined_sums", paired), dimensions.aircraft(dims["aircraft"]), dimensions.airports(dims["airports"])
         )
-        # a month without fares now may still have a folder of an earlier run
-        current = None if routes is None else stored("fares", paired)
+        # a month without fares in this run may still have a folder of an earlier one
+        with_fares = set() if routes is None else {tuple(row) for row in routes.select(*PERIOD).distinct().collect()}
+        priced = [row for row in paired if (row["year"], row["month"]) in with_fares]
+        current = stored("fares", priced) if priced else None
         counts = observed_write(mart.mart(leg_table, current), f"{root}/mart")
+        history.note(stored("mart", paired), f"{root}/history", datetime.now(UTC))
     late = {(row["year"], row["month"]) for row in failed}
     built = [(row["year"], row["month"], row["impressao"]) for row in open_months if (row["year"], row["month"]) not in late]
     finished.replace(upsert(done, spark.createDataFrame(built, done.schema), PERIOD), allow_empty=True)
@@ -312,6 +335,27 @@ def refresh_rates(spark: SparkSession, root: str, new: DataFrame) -> None:
     Snapshots(spark, f"{root}/rates").replace(rate_table(upsert(rate_table(_rates(spark, root)), rate_table(new), ["rate_key"])))
 
 
+def land_rates(spark: SparkSession, root: str, answers: DataFrame, column: str = "value") -> None:
+    """Put the rates of landed answers of the rate service over the known ones."""
+    refresh_rates(spark, root, rate_payload(answers, column))
+
+
+def fallen(spark: SparkSession, root: str, tolerance: float = history.TOLERANCE) -> DataFrame:
+    """Months that lost rows or matches in their newest run."""
+    runs_of = history.compared(history.history(spark, f"{root}/history"), tolerance)
+    return keep_last(runs_of, PERIOD, ["run"]).where("fell")
+
+
+def export(spark: SparkSession, root: str, place: str, year: int | None = None) -> None:
+    """Text files for other programs: the mart by month (``;`` with a byte order mark), the market summaries (``,``)."""
+    table = spark.read.parquet(f"{root}/mart")
+    export_text(table if year is None else table.where(F.col("year") == year), f"{place}/mart", period=PERIOD)
+    for name in ("international_daily", "domestic_monthly"):
+        book = Snapshots(spark, f"{root}/{name}")
+        if book.present():
+            export_text(book.read(), f"{place}/{name}", separator=",", bom=False)
+
+
 def refresh_schedule(spark: SparkSession, root: str, today: date) -> None:
     """Rebuild the schedule, and freeze the running month unless that was done before."""
     raw = Snapshots(spark, f"{root}/landed/schedule").read()

@@ -285,12 +285,18 @@ def months_available(pairs: DataFrame, fares: DataFrame, keys: Sequence[str] = (
 
 
 def pending(
-    available: DataFrame, finished: DataFrame, forced: bool = False, keys: Sequence[str] = ("year", "month", "impressao")
+    available: DataFrame, finished: DataFrame, forced: bool = False, keys: Sequence[str] = ("year", "month", "impressao"),
+    reopened: DataFrame | None = None,
 ) -> DataFrame:
-    """Months not finished with the present content of their input."""
+    """Months not finished with the present content of their input, and those of ``reopened`` (the keys without the content),
+    which depend on something else that has changed."""
     if forced:
         return available
-    return lookup_join(available, finished.select(*keys).distinct(), {key: key for key in keys}, "left_anti")
+    done = finished.select(*keys).distinct()
+    if reopened is not None:
+        period = [name for name in keys if name in reopened.columns]
+        done = lookup_join(done, reopened.select(*period).distinct(), {name: name for name in period}, "left_anti")
+    return lookup_join(available, done, {key: key for key in keys}, "left_anti")
 
 
 # --- status report -----------------------------------------------------------------------

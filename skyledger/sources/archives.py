@@ -38,7 +38,7 @@ _TARGETS = (".csv", ".txt")
 RECORDS = "path string, member string, line bigint, cells int, record string, header array<string>, problem string"
 #: Characters that are read at once, and the longest record: a quote that is not closed by then makes its member unreadable.
 CHUNK, LONGEST = 1 << 22, 1 << 20
-#: Bytes of text that are the least a task takes.
+#: Bytes of packed text in a row group: what a task can take at least.
 SPLIT = 16 << 20
 _QUOTED, _OPEN = r'(^|;)"(?:[^"]|"")*"', r'(^|;)"'
 #: What reading a damaged member raises.

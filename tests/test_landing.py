@@ -136,10 +136,11 @@ def test_a_record_has_a_bound(spark, folder, monkeypatch):
     assert sorted((r["line"], r["a"]) for r in rows if r["member"] == "n.csv") == [(k, str(k)) for k in range(100)]
 
 
-def test_a_huge_member_is_parsed_by_many_tasks(spark, folder):
+def test_a_huge_member_is_parsed_by_many_tasks(spark, folder, monkeypatch):
+    monkeypatch.setattr(archives, "SPLIT", 64 << 10)
     line = ";".join(["text of a cell"] * 8)
     pack(Path(folder) / "in.zip", {"m.csv": "\n".join([";".join("abcdefgh")] + [f"{k};{line[15:]}" for k in range(400_000)]).encode()})
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
     try:
         rows = archives.file_rows(archives.files(spark, folder, "*.zip"), ["a", "h"])
         tasks = rows.groupBy(F.spark_partition_id().alias("task")).count().where("count > 1").count()
