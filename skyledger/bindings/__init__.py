@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = ("routes", "flights", "timetable", "consolidation", "values", "pages", "collection", "files")
+MODULES = ("routes", "flights", "timetable", "consolidation", "values", "pages", "collection", "files", "written")
 
 
 def all_queries() -> dict[str, Query]:
