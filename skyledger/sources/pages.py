@@ -10,37 +10,41 @@ from skyledger.functions.text import absolute_link, folded, without_tags
 from skyledger.operators.dedup import keep_last
 
 
-def links(pages: DataFrame, keep: list[str], html: str = "html", url: str = "url", ending: str | None = None) -> DataFrame:
-    """Every link of each page in page order (``position``), resolved and without its query.
-
-    ``ending`` is a pattern for the end of a link; it is tried before the link is resolved, which does
-    not change its last part.
-    """
+def _targets(pages: DataFrame, keep: list[str], html: str) -> DataFrame:
+    """What each quoted ``href`` of the pages names, as it stands there, with its place on the page."""
     # what is behind each "href =" begins with the quoted target; position counts them in page order
     parts = F.split(F.col(html), r"(?i)href\s*=\s*")
     behind = F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0)))
-    found = pages.select(*keep, F.col(url).alias("_page"), F.posexplode(behind).alias("position", "part"))
+    found = pages.select(*keep, F.posexplode(behind).alias("position", "part"))
     mark, rest = F.left("part", F.lit(1)), F.substr("part", F.lit(2))
-    hits = found.where(mark.isin("'", '"') & (F.instr(rest, mark) > 1)).select(
-        *keep, "_page", "position", F.split_part(rest, mark, F.lit(1)).alias("href")
+    return found.where(mark.isin("'", '"') & (F.instr(rest, mark) > 1)).select(
+        *keep, "position", F.split_part(rest, mark, F.lit(1)).alias("href")
     )
-    if ending:
-        hits = hits.where(F.split_part("href", F.lit("?"), F.lit(1)).rlike(ending))
+
+
+def links(pages: DataFrame, keep: list[str], html: str = "html", url: str = "url") -> DataFrame:
+    """Every link of each page in page order (``position``), resolved and without its query."""
+    hits = _targets(pages.withColumn("_page", F.col(url)), [*keep, "_page"], html)
     return hits.select(*keep, "position", absolute_link(F.col("href"), F.col("_page")).alias("link"))
 
 
 def inventory(pages: DataFrame, page_id: str, html: str = "html", url: str = "url") -> DataFrame:
     """Segment, month and link of every archive on the pages; the last link of a month counts.
 
-    Relative links start below the page: its URL is taken for a folder, with or without a slash at its end.
+    Relative links start below the page: its URL is taken for a folder, with or without a slash at its end. A page without the
+    name of an archive is not taken apart; segment and month are read from the link as it stands, and only the links that
+    count are resolved, which does not change their last part.
     """
-    below = pages.select(page_id, html, F.when(F.col(url).endswith("/"), F.col(url)).otherwise(F.concat(F.col(url), F.lit("/"))).alias(url))
-    found = links(below, [page_id], html, url, L.ARCHIVE_NAME).select(
-        F.lower(F.regexp_extract("link", L.ARCHIVE_NAME, 1)).alias("segment"),
-        F.concat(F.regexp_extract("link", L.ARCHIVE_NAME, 2), F.regexp_extract("link", L.ARCHIVE_NAME, 3)).alias("ref"),
-        F.col("link").alias("url"), page_id, "position",
-    )
-    return keep_last(found, ["segment", "ref"], [page_id, "position", "url"]).select("segment", "ref", "url")
+    named = pages.where(F.col(html).rlike(L.ARCHIVE_NAME.removesuffix("$"))).withColumn("_page", F.col(url))
+    hits = _targets(named, [page_id, "_page"], html).withColumn("href", F.split_part("href", F.lit("?"), F.lit(1)))
+    hits = hits.where(F.col("href").rlike(L.ARCHIVE_NAME))
+    # the name is the segment, six digits with or without a dash, and four characters
+    digits = F.replace(F.left("href", F.length("href") - 4), F.lit("-"), F.lit(""))
+    segment = F.when(F.lower(F.left(digits, F.length(digits) - 6)).endswith(L.SEGMENTS[1]), L.SEGMENTS[1]).otherwise(L.SEGMENTS[0])
+    found = hits.select(segment.alias("segment"), F.right(digits, F.lit(6)).alias("ref"), "href", "_page", page_id, "position")
+    last = keep_last(found, ["segment", "ref"], [page_id, "position", "href", "_page"])
+    below = F.when(F.col("_page").endswith("/"), F.col("_page")).otherwise(F.concat("_page", F.lit("/")))
+    return last.select("segment", "ref", absolute_link(F.col("href"), below).alias("url"))
 
 
 def _words(html: Column) -> Column:
