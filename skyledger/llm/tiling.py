@@ -28,6 +28,8 @@ SEED, COVERAGE = 5, 0.6
 #: all documents.
 BLOCK_CHARS = 16_000_000
 BASE = 0x9E3779B97F4A7C15
+#: Pairs of places with a shared seed that are listed for a text and an item; beyond it the tiles are found without a list.
+PAIRS = 100_000
 _WORD = re.compile(r"\w+")
 _FOUND = "doc_id bigint, text string, item_ids array<bigint>, covered array<int>, lengths array<int>, tiles array<string>"
 
@@ -95,6 +97,30 @@ def tile(matches: list[tuple[int, int, int]], seed: int) -> list[tuple[int, int,
     return tiles
 
 
+def long_tiles(numbers: np.ndarray, body: np.ndarray, seed: int) -> list[tuple[int, int, int]]:
+    """The same tiles without a list of matches, for texts that repeat themselves: the lengths of all common runs of free
+    words, item word by item word, in room for two rows of the text; a pass for each tile."""
+    doc_free, item_free = np.ones(len(numbers), bool), np.ones(len(body), bool)
+    tiles = []
+    while True:
+        best = (-seed + 1, 0, 0)
+        run = np.zeros(len(numbers), np.int32)
+        for place in range(len(body)):
+            same = (numbers == body[place]) & doc_free if item_free[place] else np.zeros(len(numbers), bool)
+            run[1:] = run[:-1] + 1
+            run[0] = 1
+            run *= same
+            end = int(np.argmax(run))
+            length = int(run[end])
+            best = min(best, (-length, end - length + 1, place - length + 1))
+        length, at, place = -best[0], *best[1:]
+        if length < seed:
+            return tiles
+        tiles.append((at, place, length))
+        doc_free[at : at + length] = False
+        item_free[place : place + length] = False
+
+
 def search(text: str, items: Items, seed: int = SEED) -> dict[int, list[tuple[int, int, int]]]:
     """Tiles of every item that shares a seed with the text."""
     get = items.vocabulary.get
@@ -105,19 +131,27 @@ def search(text: str, items: Items, seed: int = SEED) -> dict[int, list[tuple[in
     known = numbers > 0
     if int(np.count_nonzero(known)) < seed:
         return {}
-    marks = fingerprints(numbers, seed)
-    left = np.searchsorted(items.seeds, marks, "left")
-    hits = np.flatnonzero((left < len(items.seeds)) & (items.seeds[np.minimum(left, len(items.seeds) - 1)] == marks))
-    joined: dict[int, dict[tuple[int, int], None]] = {}
-    for at in hits.tolist():
-        k = int(left[at])
-        while k < len(items.seeds) and items.seeds[k] == marks[at]:
-            item, place = int(items.owners[k]), int(items.places[k])
-            if np.array_equal(items.bodies[item][place : place + seed], numbers[at : at + seed]):
-                joined.setdefault(item, {})[at, place] = None
-            k += 1
+    marks, where = np.unique(fingerprints(numbers, seed), return_inverse=True)
+    left, right = np.searchsorted(items.seeds, marks, "left"), np.searchsorted(items.seeds, marks, "right")
+    # each seed that the text has, once, however often it stands there
+    size = right - left
+    shared = np.repeat(left - np.cumsum(size) + size, size) + np.arange(size.sum())
+    mark_of = np.repeat(np.arange(len(marks)), size)
+    times = np.bincount(where, minlength=len(marks))
+    order = np.argsort(where, kind="stable")
+    begin = np.searchsorted(where[order], np.arange(len(marks) + 1))
     found = {}
-    for item, pairs in joined.items():
+    for item in np.unique(items.owners[shared]).tolist():
+        own = items.owners[shared] == item
+        body = items.bodies[item]
+        if times[mark_of[own]].sum() > PAIRS:
+            found[item] = long_tiles(numbers, body, seed)
+            continue
+        pairs: dict[tuple[int, int], None] = {}
+        for place, mark in zip(items.places[shared[own]].tolist(), mark_of[own].tolist()):
+            for at in order[begin[mark] : begin[mark + 1]].tolist():
+                if np.array_equal(body[place : place + seed], numbers[at : at + seed]):
+                    pairs[at, place] = None
         matches = []
         for at, place in pairs:
             if (at - 1, place - 1) in pairs:
@@ -126,7 +160,8 @@ def search(text: str, items: Items, seed: int = SEED) -> dict[int, list[tuple[in
             while (at + length - seed + 1, place + length - seed + 1) in pairs:
                 length += 1
             matches.append((at, place, length))
-        found[item] = tile(matches, seed)
+        if matches:
+            found[item] = tile(matches, seed)
     return found
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,6 +46,26 @@ def test_tiles(seed):
     assert sorted(found.get(0, [])) == plain_tiles(doc, item, 3)
 
 
+@pytest.mark.parametrize("seed", range(40))
+def test_tiles_without_a_list(seed, monkeypatch):
+    monkeypatch.setattr(tiling, "PAIRS", 0)
+    rng = random.Random(seed)
+    item = [rng.choice("ab") for _ in range(rng.randint(0, 20))]
+    doc = [rng.choice("abc") for _ in range(rng.randint(0, 40))] + item * rng.randint(0, 2)
+    found = tiling.search(" ".join(doc), tiling.Items.of([(7, " ".join(item)), (8, " ".join(item[::-1]))], 3), 3)
+    assert sorted(found.get(0, [])) == plain_tiles(doc, item, 3) and sorted(found.get(1, [])) == plain_tiles(doc, item[::-1], 3)
+
+
+def test_repetitive_texts_need_little_room():
+    items = tiling.Items.of([(1, "word " * 300), (2, "word other " * 150), (3, ITEM)])
+    tracemalloc.start()
+    found = tiling.search("word " * 200_000 + ITEM + " word other" * 100_000, items)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [sum(length for _, _, length in found[k]) for k in range(3)] == [300, 300, 16] and len(found[0]) == 1
+    assert most < 400 << 20
+
+
 def _tables(spark):
     words = ITEM.split()
     moved = " ".join(words[8:] + ["xx"] + words[:8])
