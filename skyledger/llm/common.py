@@ -25,9 +25,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders that this driver has taken and not removed.
+_FOLDERS: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder of these operators in the shared one."""
-    return scratch_folder(spark, f"llm/{name}")
+    folder = scratch_folder(spark, f"llm/{name}")
+    _FOLDERS.append(folder)
+    return folder
+
+
+def folders() -> list[str]:
+    """The folders of these operators that are there, oldest first."""
+    return list(_FOLDERS)
+
+
+def remove(spark: SparkSession, taken: Iterable[str]) -> None:
+    """Remove folders of these operators; results that still read them are lost."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for folder in list(taken):
+        path = hadoop.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _FOLDERS.remove(folder)
 
 
 def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:

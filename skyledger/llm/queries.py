@@ -42,11 +42,9 @@ def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents packed into sequences of at most 1,024 ids."""
+    """All documents packed into sequences of at most 1,024 ids, read back from the sequences."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    cut = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
-    slim = stored(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
-    return packing.assign(slim)
+    return packing.places(stored(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2), "sequences"))
 
 
 def op7_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,6 +69,41 @@ def test_pieces_and_places(spark):
     assert packing.assign(packing.pieces(docs.limit(0), BYTE, end_id=2)).count() == 0
 
 
+def test_sequences_of_documents(spark):
+    """Sequences against ids of the library, and places read out of them."""
+    docs = spark.createDataFrame(ROWS, "doc_id bigint, text string").withColumns({"ids": F.lit("x"), "offset": F.lit(1)})
+    packed = packing.pack(docs.repartition(2), BYTE, end_id=2, capacity=32, open_bins=3)
+    library, want = Tokenizer.from_file(BYTE), []
+    for doc, text in ROWS:
+        ids = library.encode(text or "", add_special_tokens=False).ids + [2]
+        cuts = [0, *range(len(ids) % 32 or 32, len(ids) + 1, 32)]
+        want += [(doc, n, a, b - a, zlib.crc32(struct.pack(f"<{b - a}I", *ids[a:b]))) for n, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1], r[4])
+    rows = packing.places(packed).collect()
+    assert sorted([tuple(r)[:5] for r in rows], key=key) == sorted(want, key=key)
+    at = defaultdict(int)
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == at[r["sequence_id"]]
+        at[r["sequence_id"]] += r["length"]
+    whole = {r["sequence_id"]: len(r["ids"]) // 4 for r in packed.collect()}
+    assert whole == dict(at) and max(at.values()) <= 32
+    assert packing.pack(docs.limit(0), BYTE, end_id=2).count() == 0
+
+
+def test_open_sequences_are_few(spark, monkeypatch):
+    """The bound binds: the packer of a task never holds more, and what it closes is what it sends on."""
+    monkeypatch.setattr(packing, "BATCH", 5)
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a b "), (F.pmod(F.xxhash64("id"), F.lit(90)) + 1).cast("int")).alias("text")).repartition(1)
+    counts = {}
+    for bins in (1, 8, 64):
+        packed = packing.pack(docs, BYTE, end_id=2, capacity=256, open_bins=bins)
+        places = packing.places(packed)
+        assert places.agg(F.count("*"), F.count_distinct("doc_id")).head()[1] == 3000
+        counts[bins] = packed.count()
+    least = -(-places.agg(F.sum("length")).head()[0] // 256)
+    assert least <= counts[64] <= counts[8] <= counts[1] and counts[64] <= 1.03 * least + 1
+
+
 def test_packs_nearly_full(spark):
     lengths = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), (1 + F.pmod(F.xxhash64("id"), F.lit(900))).cast("bigint").alias("length"))
     packed = packing.assign(lengths, tasks=2)

@@ -6,7 +6,7 @@ import public_tokenizers
 
 import corpus_pipeline
 from skyledger.llm import order_minhash, pii, queries, tiling, toxicity
-from skyledger.llm.common import table
+from skyledger.llm.common import folders, table
 from tests.conftest import SMALL
 
 
@@ -45,7 +45,11 @@ def test_stages(spark):
     assert set(got) == set(left)
     assert all(got[doc] == pii.cleaned(text, pii.base_spans(text)) for doc, text in left.items() if not pii.base_spans(text))
     assert not any(pii.base_spans(text) for text in got.values())
+    known = folders()
     packed = corpus_pipeline.run(spark, SMALL).collect()
+    # the last stage and the one before it; all else that was written on the way is gone
+    kept = [folder.rsplit("/", 1)[-1].rsplit("-", 1)[0] for folder in folders() if folder not in known]
+    assert kept == ["stage-personal_data", "sequences"]
     assert {r["doc_id"] for r in packed} == set(left)
     assert public_tokenizers.path("byte_bpe_50k.json")
 
@@ -55,4 +59,4 @@ def test_registered():
 
     found = __spark_entry__.queries()
     assert set(queries.QUERIES) < set(found) and found["pipeline"] is corpus_pipeline.run
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES) == list(range(1, 14))
