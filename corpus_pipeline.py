@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.llm import order_minhash, packing, pii, tiling, toxicity
-from skyledger.llm.common import stored, table
+from skyledger.llm.common import folders, remove, stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -36,9 +36,8 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its place in a sequence."""
-    cut = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
-    return packing.assign(stored(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces"))
+    """Every piece of every document with its place, read out of the sequences that were written."""
+    return packing.places(stored(packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2), "sequences"))
 
 
 STAGES: list[tuple[str, Stage]] = [
@@ -56,6 +55,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn over the documents; each result is written to the shared folder and read again."""
     docs = table(spark, sf_dir, "documents")
+    last: list[str] = []
     for name, stage in STAGES[:-1]:
+        known = set(folders())
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        *used, result = [folder for folder in folders() if folder not in known]
+        # what the stage has written on its way, and the stage before it, are not read any more
+        remove(spark, last + used)
+        last = [result]
     return STAGES[-1][1](spark, docs, sf_dir)
