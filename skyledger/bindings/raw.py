@@ -7,17 +7,27 @@ the same raw text: ``spark_rows`` runs one in Spark, and the expected SQL takes
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages labels".split()
 
 
-@lru_cache(maxsize=256)
+#: Tables that a session has opened; they go with the session.
+_OPENED: WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = WeakKeyDictionary()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table; kept, because every opening reads the file footers again."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path, opened = f"{sf_dir}/{name}.parquet", _OPENED.setdefault(spark, {})
+    application = spark.sparkContext.applicationId
+    if opened.get("", application) != application:
+        opened.clear()
+    opened[""] = application
+    if path not in opened:
+        opened[path] = spark.read.parquet(path)
+    return opened[path]
 
 
 def spark_rows(spark: SparkSession, sf_dir: str, select: str) -> DataFrame:

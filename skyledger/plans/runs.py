@@ -38,6 +38,11 @@ LANDING = {
     "tarifas/int": ("fares_int", L.FARE_RAW, "cp1252", 0, _FARE_REQUIRED),
 }
 SCHEDULE_FILE = "voos.csv"
+#: Tables that are replaced as a whole.
+REPLACED = [
+    "index", "schedule_index", "files", "schedule_files", "rates", "finished", "rate_use", "landed/schedule", "schedule", "manifest", "pages",
+    "collection_plan", "status", "to_look_at", "running_year", "international_daily", "domestic_monthly",
+]
 
 
 def _table(spark: SparkSession, path: str, schema: str) -> tuple[Snapshots, DataFrame]:
@@ -410,3 +415,30 @@ def running_year(spark: SparkSession, root: str, year: int) -> DataFrame:
     """The closed months of the mart and the scheduled flights: a view, history is stored once."""
     future = Snapshots(spark, f"{root}/running_year").read()
     return years.running_year(spark.read.parquet(f"{root}/mart"), future, year, future=future)
+
+
+def daily(spark: SparkSession, root: str, inbox: DataFrame, today: date, year: int | None = None, forced: bool = False) -> dict[str, object]:
+    """All steps in turn: land what is new, build every open month, renew schedule, summaries and the running year, retire old
+    versions. What each step returned, and under ``failed`` the names of those that raised, which is noted in ``run_issues`` and
+    stops no other.
+
+    With ``year`` the months of that year alone, and the running year stays as it is.
+    """
+    steps = {
+        "land": lambda: land(spark, root, inbox), "land_schedule": lambda: land_schedule(spark, root, inbox),
+        "fill_in": lambda: fill_in(spark, root, year=year, forced=forced),
+    }
+    if Snapshots(spark, f"{root}/landed/schedule").present() or not year:
+        steps |= {"refresh_schedule": lambda: refresh_schedule(spark, root, today), "market_tables": lambda: market_tables(spark, root, today)}
+    if not year:
+        steps["running_year"] = lambda: refresh_running_year(spark, root, today.year)
+    steps["retire"] = lambda: {name: Snapshots(spark, f"{root}/{name}").retire() for name in REPLACED}
+    done: dict[str, object] = {}
+    failed: list[str] = []
+    for name, step in steps.items():
+        try:
+            done[name] = step()
+        except Exception as error:  # a step must not stop the others, whatever it meets
+            failed.append(name)
+            _note(spark.createDataFrame([(name, None, str(error).splitlines()[0][:300], 1)], ISSUES), root)
+    return done | {"failed": failed}

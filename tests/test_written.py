@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime
 from pathlib import Path
 
 import pytest
 from skyledger import layout as L
 from skyledger.plans import history, runs
 from skyledger.sinks.tables import ConcurrentWrite, Snapshots, read_routed, write_routed
-from tests.test_plans import fare
-from tests.test_runs import inbox, land_all, month, put, root  # noqa: F401
+from skyledger.sources import archives
+from tests.test_plans import fare, flight
+from tests.test_runs import inbox, land_all, month, put, root, schedule_file  # noqa: F401
 
 
 def _rows(frame, *names):
@@ -124,3 +125,22 @@ def test_exports_of_a_run(spark, root):
     assert written and all(head.split(";") == [f'"{n}"' if '"' in n else n for n in L.MART_COLUMNS] for head in written)
     runs.export(spark, root, f"{root}/none", year=1999)
     assert not list(Path(root, "none").rglob("*.csv"))
+
+
+def test_a_day_in_one_run(spark, root, monkeypatch):
+    first = inbox(root, "in1")
+    month(first, 1)
+    schedule_file(first, flight())
+    today = date(2026, 3, 10)
+    files = lambda: archives.files(spark, str(first))
+    done = runs.daily(spark, root, files(), today)
+    assert done["land"] == 3 and done["land_schedule"] and done["fill_in"]["rows"] == 4 and done["running_year"] == {"after_cutoff": 2, "added": 2}
+    assert done["failed"] == []
+    again = runs.daily(spark, root, files(), today)
+    assert (again["land"], again["land_schedule"], again["fill_in"]["rows"]) == (0, False, 0)
+    # a step that fails is noted, and the others go on
+    monkeypatch.setattr(runs, "refresh_schedule", lambda *_: 1 / 0)
+    broken = runs.daily(spark, root, files(), today)
+    assert broken["failed"] == ["refresh_schedule"] and broken["running_year"] == {"after_cutoff": 2, "added": 2}
+    assert spark.read.parquet(f"{root}/run_issues").where("path = 'refresh_schedule'").count() == 1
+    assert "running_year" not in runs.daily(spark, root, files(), today, year=2025)
