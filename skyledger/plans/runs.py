@@ -294,6 +294,7 @@ def fill_in(
         international = international.where(~_months(failed))
     routes = fare_routes(domestic, international, rates)
     if routes is not None:
+        routes = _staged(routes, root, "fares")  # summed once, for the table and for the months that have any
         write_periods(routes, f"{root}/fares")
     used_book.replace(used.where(~_months(open_months)).unionByName(needed), allow_empty=True)
     paired = [row for row in open_months if row["paired"]]
