@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger import layout as L
@@ -83,9 +83,13 @@ def rate_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     rates = table(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyy - MM").alias("rate_key")).agg(F.max("o_totalprice").alias("rate"))
     place = scratch_folder(spark, "rates")
     rate_table(rates).write.parquet(place)
-    # a rate a month: the places are few
-    lying = Window.orderBy("_metadata.file_name", "_metadata.row_index")
-    return spark.read.parquet(place).select("rate_key", "rate", F.row_number().over(lying).cast("bigint").alias("place"))
+    rows = spark.read.parquet(place).select("rate_key", "rate", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+    # a handful of files, in the order of their names
+    starts, before = [], 0
+    for file in sorted(rows.groupBy("file").count().collect()):
+        starts += [F.lit(file["file"]), F.lit(before)]
+        before += file["count"]
+    return rows.select("rate_key", "rate", (F.create_map(*starts)[F.col("file")] + F.col("at") + 1).alias("place"))
 
 
 def schedule_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

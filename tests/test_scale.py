@@ -14,7 +14,7 @@ from skyledger.plans import markets, years
 from tests.conftest import SMALL
 
 # archives are the only thing that needs Python in a task
-PYTHON = {"archive_unpack", "archive_rows"}
+PYTHON = {"archive_unpack", "archive_rows", "archive_fingerprint"}
 
 
 def plan(df) -> str:
