@@ -6,7 +6,6 @@ import re
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
-from functools import cache
 from pathlib import Path
 
 import pyarrow as pa
@@ -58,16 +57,21 @@ def stored(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-@cache
-def _shipped(application: str) -> str:
-    """A file with the modules of this package, made once in a driver."""
+#: Applications whose workers have the modules of this package.
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the modules of this package to the workers, once for an application."""
+    if spark.sparkContext.applicationId in _SHIPPED:
+        return
     package = Path(__file__).resolve().parent.parent
     name = f"{tempfile.mkdtemp(prefix='package-')}/{package.name}-modules.zip"
     with zipfile.ZipFile(name, "w") as out:
         for module in sorted(package.rglob("*.py")):
             out.write(module, module.relative_to(package.parent))
-    SparkSession.active().sparkContext.addPyFile(name)
-    return name
+    spark.sparkContext.addPyFile(name)
+    _SHIPPED.add(spark.sparkContext.applicationId)
 
 
 def map_rows(
@@ -78,7 +82,7 @@ def map_rows(
     Spark has no limit by bytes; the session's limit by rows is lowered to ``BATCH_ROWS`` if it is higher. The modules
     of this package go to the workers by Spark's own file server, wherever the driver was started.
     """
-    _shipped(df.sparkSession.sparkContext.applicationId)
+    ship(df.sparkSession)
     rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(df.sparkSession.conf.get(rows)) <= BATCH_ROWS:
         df.sparkSession.conf.set(rows, BATCH_ROWS)
