@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import io
 import zipfile
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyledger.bindings.raw import table
 from skyledger.sources import archives
 
+#: Bytes of archives that are handed on at once.
+FULL = 1 << 20
+
 
 def _archives(documents: DataFrame, body: Column, encoding: str = "utf-8") -> DataFrame:
     """One archive per document: a member under a folder, a file that is no table, and a folder.
@@ -20,25 +24,34 @@ def _archives(documents: DataFrame, body: Column, encoding: str = "utf-8") -> Da
     German member ends with a byte that the code page does not have, and that of every tenth document is empty.
     """
 
-    def extra(member: str) -> bytes:
-        return b"\x81;\r\n" if encoding != "utf-8" and member.endswith(".de.csv") else b""
-
-    @F.pandas_udf("binary")
-    def zipped(name: pd.Series, text: pd.Series) -> pd.Series:
-        def one(member: str, content: str) -> bytes:
-            out = io.BytesIO()
-            with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("data/", "")
-                archive.writestr(f"data/{member}", content.encode(encoding) + extra(member))
-                archive.writestr("leia-me.pdf", b"%PDF")
-            return out.getvalue()
-
-        return pd.Series([one(n, t) for n, t in zip(name, text)])
+    def zipped(member: str, content: str) -> bytes:
+        extra = b"\x81;\r\n" if encoding != "utf-8" and member.endswith(".de.csv") else b""
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+            archive.writestr("data/", "")
+            archive.writestr(f"data/{member}", content.encode(encoding) + extra)
+            archive.writestr("leia-me.pdf", b"%PDF")
+        return out.getvalue()
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, contents, size = [], [], 0
+            for at in range(batch.num_rows):
+                path, member, content, bare = (column[at].as_py() for column in batch.columns)
+                paths.append(path)
+                contents.append(content.encode() if bare else zipped(member, content))
+                size += len(contents[-1])
+                if size >= FULL or at == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], names=["path", "content"])
+                    paths, contents, size = [], [], 0
 
     number = F.col("doc_id").cast("string")
     ending = F.when(F.col("lang") == "en", ".TXT").when(F.col("lang") == "fr", ".bin").otherwise(F.concat(F.lit("."), F.col("lang"), F.lit(".csv")))
-    packed = F.when(F.col("lang") == "es", F.encode("text", "UTF-8")).otherwise(zipped(F.concat(F.lit("doc"), number, ending), body))
-    return documents.select(F.concat(F.lit("in/"), number, F.lit(".zip")).alias("path"), packed.alias("content"))
+    bare = F.coalesce(F.col("lang") == "es", F.lit(False))
+    return documents.select(
+        F.concat(F.lit("in/"), number, F.lit(".zip")).alias("path"), F.concat(F.lit("doc"), number, ending).alias("member"),
+        F.when(bare, F.col("text")).otherwise(body).alias("content"), bare.alias("bare"),
+    ).mapInArrow(packed, "path string, content binary")
 
 
 def archive_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,3 +94,8 @@ def test_fares_meet_the_rates_after_the_sum(spark):
     """The rate join sees routes, not fare rows: the aggregate is below the join."""
     text = plan(all_queries()["fare_class_month"](spark, SMALL))
     assert text.index("rate_key") < text.index("partial_sum")
+
+
+def test_archives_are_handed_on_in_small_batches(spark):
+    """A pandas UDF holds the texts and the archives of a whole batch; the archives are made one by one instead."""
+    assert "ArrowEval" not in plan(all_queries()["archive_unpack"](spark, SMALL))
