@@ -171,3 +171,9 @@ def test_layout_sizes():
 def test_expected_passengers(spark, seats):
     rows = spark.createDataFrame([(s,) for s in seats], "s bigint").select("s", flights.expected_passengers(F.col("s")).alias("p")).collect()
     assert all(r.p == round(0.8 * r.s) for r in rows)
+
+
+def test_proper_case_marks_only_what_stands_before_a_letter(spark):
+    texts = ["a\x01 b-c", "PAÍS-12", "x\x01y-Z", "(ab) cD", "-", "é-1 b", "A-"]
+    got = spark.createDataFrame([(t,) for t in texts], "s string").select(text.proper_case(F.col("s")).alias("t"))
+    assert [r.t for r in got.collect()] == [t.title() for t in texts]
