@@ -99,3 +99,31 @@ def test_fares_meet_the_rates_after_the_sum(spark):
 def test_archives_are_handed_on_in_small_batches(spark):
     """A pandas UDF holds the texts and the archives of a whole batch; the archives are made one by one instead."""
     assert "ArrowEval" not in plan(all_queries()["archive_unpack"](spark, SMALL))
+
+
+def test_no_leg_text_is_shuffled(spark):
+    """The texts of a leg are written behind all joins: below the first shuffle of the plan there are only their sources."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.debug.maxToStringFields": "1000"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        for name in ("leg_enriched", "final_mart"):
+            text = plan(all_queries()[name](spark, SMALL))
+            top, below = text.split("Exchange", 1)
+            assert "kg_payload" in top and "hr_partida_real" in top
+            assert not re.search(r"kg_payload|hr_partida_real|nm_pais_destino", below), name
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_legs_are_not_shuffled_for_their_aircraft(spark):
+    """The aircraft are chosen from all parts; as a stored table they have their own size, and are broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "6k")
+    try:
+        text = plan(all_queries()["leg_enriched"](spark, SMALL))
+        assert not re.search(r"Exchange hashpartitioning\(coalesce\((sg_equipamento_icao|Aircraft)", text)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
