@@ -8,9 +8,11 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from skyledger.bindings import all_queries
-from skyledger.bindings.raw import table
-from skyledger.plans import markets, years
+from skyledger.bindings import all_queries, raw, routes
+from skyledger.bindings.raw import spark_rows, table
+from skyledger.functions import text
+from skyledger.plans import dimensions, legs, markets, mart, years
+from skyledger.sinks.tables import bucketed
 from tests.conftest import SMALL
 
 # archives are the only thing that needs Python in a task
@@ -127,3 +129,66 @@ def test_legs_are_not_shuffled_for_their_aircraft(spark):
         assert not re.search(r"Exchange hashpartitioning\(coalesce\((sg_equipamento_icao|Aircraft)", text)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_legs_meet_sums_and_fares_in_their_buckets(spark):
+    """Neither legs nor lines are shuffled by a key, and what they are made of is joined once."""
+    for name in ("leg_enriched", "leg_fare_merge", "final_mart"):
+        text = plan(all_queries()[name](spark, SMALL))
+        assert not re.search(r"Exchange hashpartitioning\([^\n]*(Chave|KeyTkt|l_orderkey)", text), name
+        assert "Bucketed: true" in text and "lineitem.parquet" not in text, name
+
+
+@pytest.mark.parametrize("buckets", ["3", "201"])
+def test_buckets_are_read_without_a_shuffle(spark, folder, buckets):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", buckets)
+    try:
+        df = spark.range(1000).select((F.col("id") % 7).alias("a"), F.col("id").alias("b"))
+        stored = bucketed(df.where("b <> 5"), ["a"], f"{folder}/rows")
+        assert not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+        both = stored.groupBy("a", "b").count().join(stored.withColumn("c", F.lit(1)).hint("merge"), ["a", "b"])
+        assert "Exchange" not in plan(both) and both.count() == 999
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_odd_lines_keep_their_legs_sums_and_fares(spark, folder):
+    """Null and repeated keys, hyphens and blanks in names: the same rows as with the raw legs, sums and fares joined as they are."""
+    day = "timestamp '1998-07-14 03:04:05'"
+    rows = {
+        "region": "values (0, 'R') as t(r_regionkey, r_name)",
+        "nation": "values (0, 'N', 0), (1, 'M', 0) as t(n_nationkey, n_name, n_regionkey)",
+        "customer": "values (1L, 'C-1', 0, 'A-B'), (2L, 'C 2', 1, 'A'), (2L, 'C2', 0, 'A '), (3L, null, null, 'A'), (4L, 'C4', 1, null)"
+                    " as t(c_custkey, c_name, c_nationkey, c_mktsegment)",
+        "supplier": "values (1L, 'S1', 0), (2L, 'S2', 1), (2L, 'S2', null) as t(s_suppkey, s_name, s_nationkey)",
+        "part": "values (1L, 'P', 'B', 'ECONOMY', 9, 5.5D), (1L, 'Q', 'B', 'SMALL', 8, 6.5D), (null, 'N', 'B', 'SMALL', 8, 6.5D)"
+                " as t(p_partkey, p_name, p_brand, p_type, p_size, p_retailprice)",
+        "orders": f"select id as o_orderkey, id % 5 as o_custkey, 'F' as o_orderstatus, if(id = 6, null, {day}) as o_orderdate from range(9)",
+        "lineitem": f"select id % 9 as l_orderkey, nullif(id % 3, 2) as l_partkey, 1 + id % 2 as l_suppkey, cast(1 + id % 4 as int) as l_linenumber,"
+                    " cast(1 + id % 5 as double) as l_quantity, 1000.5D as l_extendedprice, 0.05D as l_discount, 0.02D as l_tax,"
+                    f" 'A' as l_returnflag, if(id % 2 = 0, 'F', 'O') as l_linestatus, if(id % 11 = 3, null, {day}) as l_shipdate from range(90)",
+    }
+    for name, select in rows.items():
+        spark.sql(select if select.startswith("select") else f"select * from {select}").write.parquet(f"{folder}/{name}.parquet")
+    raw_legs, combined = spark_rows(spark, folder, raw.LEGS), spark_rows(spark, folder, raw.COMBINED)
+    airports = spark_rows(spark, folder, raw.AIRPORTS)
+    places = [airports.withColumn("OD ICAO", F.replace("OD ICAO", F.lit("A"), F.lit(x))) for x in "SC"]
+    table_ = legs.leg_table(
+        raw_legs, combined, dimensions.aircraft(spark_rows(spark, folder, raw.AIRCRAFT)), dimensions.airports(places[0].unionByName(places[1]))
+    )
+    expected = {"leg_enriched": table_, "final_mart": mart.mart(table_, routes.routes(spark, folder))}
+    for name, df in expected.items():
+        got = all_queries()[name](spark, folder)
+        assert got.columns == df.columns and sorted(map(str, got.collect())) == sorted(map(str, df.collect())), name
+    assert expected["final_mart"].where("`Tkt Avg` is not null").count() and table_.where("`CD Dest: PAX Pagos` > 0").count()
+
+
+def test_equal_keys_have_equal_route_ends(spark):
+    odd = ["A", "", "-", " ", "A-B", " A", "B -", "-A - B"]
+    pairs = spark.createDataFrame([(a, b) for a in odd for b in odd], "a string, b string")
+    ends = pairs.select(*[
+        F.replace(F.substring_index(key, "-", -2), F.lit(" "), F.lit("")) == text.route_end(F.col("a"), F.col("b"))
+        for key in (text.leg_key(F.lit("X"), F.lit("1"), F.col("a"), F.col("b")), text.fare_key(F.lit("X"), F.lit("1"), F.col("a"), F.col("b")))
+    ])
+    assert {value for row in ends.collect() for value in row} == {True}
