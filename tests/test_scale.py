@@ -139,6 +139,30 @@ def test_legs_meet_sums_and_fares_in_their_buckets(spark):
         assert "Bucketed: true" in text and "lineitem.parquet" not in text, name
 
 
+def test_wide_rows_are_made_by_methods_that_are_compiled(spark):
+    """The JVM leaves methods of more than 8,000 bytes to its interpreter; in one piece, wide rows had 22,000 bytes."""
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name in ("leg_enriched", "leg_fare_merge", "final_mart"):
+            execution = all_queries()[name](spark, SMALL)._jdf.queryExecution()
+            code = spark._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(execution, "codegen")
+            sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+            assert sizes and max(sizes) <= 8000, name
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_legs_are_sorted_by_the_hash_of_their_key(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(all_queries()["leg_enriched"](spark, SMALL))
+        assert re.search(r"SortMergeJoin \[_hash#\w+, year", text)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @pytest.mark.parametrize("buckets", ["3", "201"])
 def test_buckets_are_read_without_a_shuffle(spark, folder, buckets):
     before = spark.conf.get("spark.sql.shuffle.partitions")
