@@ -163,6 +163,13 @@ def test_legs_are_sorted_by_the_hash_of_their_key(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_dates_are_read_before_a_leg_becomes_two_rows(spark):
+    """Each date text was read once for either view, out of rows that were made by an interpreted expression."""
+    text = plan(all_queries()["final_mart"](spark, SMALL))
+    above = text.split("Generate explode", 1)[0]
+    assert "inline(array(" not in text and len(above) < len(text) and "RLIKE" not in above
+
+
 @pytest.mark.parametrize("buckets", ["3", "201"])
 def test_buckets_are_read_without_a_shuffle(spark, folder, buckets):
     before = spark.conf.get("spark.sql.shuffle.partitions")
